@@ -63,23 +63,22 @@ def land_files(
     if skip_periods:
         wanted = wanted.filter(~F.col("period").isin(sorted(skip_periods)))
     # File names only: one short line per monthly file.
-    files = [row.path for row in wanted.orderBy("path").collect()]
-    manifests = []
-    for group in _by_schema(spark, files).values():
-        rows = spark.read.parquet(*group).withColumn("source_file", F.col("_metadata.file_name"))
-        landed = accepted_for_landing(rows, "source_file", streaming_period)
-        landed = landed.withColumn("year", F.substring("source_period", 1, 4)).withColumn(
-            "month", F.substring("source_period", 6, 2)
-        )
-        (
-            landed.drop("source_file", "source_period")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "snappy")
-            .partitionBy("year", "month")
-            .parquet(target)
-        )
-        manifests.append(landing_manifest(rows, "source_file", streaming_period))
+    period_of = {r.path: r.period for r in wanted.orderBy("path").collect()}
+    manifests, landed = [], set()
+    for group in _by_schema(spark, list(period_of)).values():
+        # A month whose files differ in schema meets two groups: the first
+        # replaces what was there, later ones add to it.
+        for mode, paths in (
+            ("overwrite", [p for p in group if period_of[p] not in landed]),
+            ("append", [p for p in group if period_of[p] in landed]),
+        ):
+            if paths:
+                rows = spark.read.parquet(*paths).withColumn(
+                    "source_file", F.col("_metadata.file_name")
+                )
+                _write_landed(rows, target, streaming_period, mode)
+                manifests.append(landing_manifest(rows, "source_file", streaming_period))
+        landed |= {period_of[p] for p in group}
     if not manifests:
         return spark.createDataFrame(
             [], "source_period string, row_count bigint, source_files bigint"
@@ -89,6 +88,20 @@ def land_files(
     )
 
 
+def _write_landed(rows: DataFrame, target: str, streaming_period: str, mode: str) -> None:
+    accepted = accepted_for_landing(rows, "source_file", streaming_period)
+    (
+        accepted.withColumn("year", F.substring("source_period", 1, 4))
+        .withColumn("month", F.substring("source_period", 6, 2))
+        .drop("source_file", "source_period")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy("year", "month")
+        .parquet(target)
+    )
+
+
 def _by_schema(spark: SparkSession, paths: list[str]) -> dict[tuple, list[str]]:
     """Group paths by physical schema; reads one footer per path."""
     groups: dict[tuple, list[str]] = defaultdict(list)
