@@ -121,8 +121,10 @@ def with_engineered(df: DataFrame) -> DataFrame:
     )
 
 
-def duration_features(trips: DataFrame, period: str = "source_year_month") -> DataFrame:
-    """Feature rows with label, and the period for the split."""
+def duration_features(
+    trips: DataFrame, period: str = "source_year_month", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Feature rows with label, the period for the split, and columns to keep."""
     rows = model_rows(trips).withColumn(
         "pickup_day_of_week_num", day_number_from_monday(F.col("pickup_day_of_week"))
     )
@@ -130,7 +132,7 @@ def duration_features(trips: DataFrame, period: str = "source_year_month") -> Da
     typed = [
         F.col(c).cast("double" if c in _DOUBLES else "int").alias(c) for c in DATASET_COLUMNS
     ]
-    return featured.select(*typed, F.col(period).alias("source_year_month"))
+    return featured.select(*keep, *typed, F.col(period).alias("source_year_month"))
 
 
 def split_by_period(features: DataFrame, test_period: str) -> tuple[DataFrame, DataFrame]:

@@ -17,10 +17,15 @@ JSON_OPTIONS = {
 }
 
 
-def to_messages(rows: DataFrame, period: str) -> DataFrame:
-    """``key`` and ``value`` of each row; all columns but the period are sent."""
-    sent = [name for name in rows.columns if name != period]
+def to_messages(rows: DataFrame, period: str, beside: tuple[str, ...] = ()) -> DataFrame:
+    """``key`` and ``value`` of each row.
+
+    Sent are all columns but the period and those named in ``beside``, which are
+    carried along next to the message.
+    """
+    sent = [name for name in rows.columns if name != period and name not in beside]
     return rows.select(
+        *beside,
         F.col(period).cast("binary").alias("key"),
         F.to_json(F.struct(*sent), JSON_OPTIONS).cast("binary").alias("value"),
     )
