@@ -32,7 +32,7 @@ def _key(row: tuple) -> tuple:
     return tuple((value is None, str(value)) for value in row)
 
 
-def differences(df, relation) -> list[str]:
+def differences(df, rows: list, relation) -> list[str]:
     names = sorted(df.columns)
     if names != sorted(relation.columns):
         return [f"columns {names} vs {sorted(relation.columns)}"]
@@ -41,7 +41,7 @@ def differences(df, relation) -> list[str]:
     for name, kind in df.dtypes:
         if SPARK_TO_DUCKDB.get(kind) != kinds[name]:
             found.append(f"type of {name}: {kind} vs {kinds[name]}")
-    left = sorted((tuple(r) for r in df.select(*names).collect()), key=_key)
+    left = sorted((tuple(r) for r in rows), key=_key)
     quoted = ", ".join(f'"{n}"' for n in names)
     right = sorted(relation.select(quoted).fetchall(), key=_key)
     if len(left) != len(right):
@@ -65,6 +65,7 @@ def main(sf_dir: str, chosen: list[str]) -> int:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -75,19 +76,22 @@ def main(sf_dir: str, chosen: list[str]) -> int:
     for name, function in QUERIES.items():
         if chosen and name not in chosen:
             continue
-        started = time.monotonic()
+        started, taken = time.monotonic(), 0.0
         try:
             df = function(spark, sf_dir)
             if name in ORACLE:
+                left = df.select(*sorted(df.columns)).collect()
+                taken = time.monotonic() - started
                 relation = con.sql(ORACLE[name])
-                found = differences(df, relation)
+                found = differences(df, left, relation)
                 note = "ok" if not found else "DIFFERS"
             else:
                 found, note = [], f"rows only: {df.count()}"
+                taken = time.monotonic() - started
         except Exception as error:  # report and go on with the next query
             found, note = [str(error)[:1500]], "ERROR"
         bad += bool(found)
-        print(f"{name:28s} {time.monotonic() - started:6.2f}s {note}", *found, sep="\n   "
+        print(f"{name:28s} {taken:6.2f}s of {time.monotonic() - started:6.2f}s {note}", *found, sep="\n   "
               if found else " ", flush=True)
     print("failures:", bad)
     return 1 if bad else 0

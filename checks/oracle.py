@@ -237,7 +237,8 @@ RECONCILED = """reconciled AS (
     count(DISTINCT (pickup_year, pickup_month)) AS expected_periods FROM trips) w)"""
 
 ZONE_TOTALS = """SELECT pickup_location_id, pickup_zone, pickup_borough,
-  CAST(sum(trip_count) AS BIGINT) AS trip_count, sum(total_revenue) AS total_revenue,
+  CAST(sum(trip_count) AS BIGINT) AS trip_count,
+  CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue,
   avg(avg_trip_duration_minutes) AS avg_trip_duration_minutes,
   avg(avg_trip_distance) AS avg_trip_distance, avg(avg_tip_amount) AS avg_tip_amount
   FROM zone_rows GROUP BY pickup_location_id, pickup_zone, pickup_borough"""
@@ -291,38 +292,38 @@ def _features(select: str, *more: str) -> str:
     return _day_trips(select, MODEL_ROWS, FEATURES, *more)
 
 
-def _encoded(column: str, learn_from: str, apply_to: str, condition: str) -> str:
-    """Smoothed encoding of one column by a correlated pass over the learning rows."""
-    return f"""{column}_stats AS (
-  SELECT a.event_id, any_value(g.mean) AS prior, any_value(g.variance) AS overall,
-    count(t.label) AS n, avg(t.label) AS mean, var_pop(t.label) AS inside
-  FROM {apply_to} a
-  JOIN (SELECT o.part, avg(t.label) AS mean, var_pop(t.label) AS variance
-        FROM (SELECT DISTINCT part FROM {apply_to}) o
-        JOIN {learn_from} t ON {condition.format(outer="o")} GROUP BY o.part) g ON g.part = a.part
-  LEFT JOIN {learn_from} t ON {condition.format(outer="a")} AND t.{column} = a.{column}
-  GROUP BY a.event_id)"""
-
-
 def _encoded_value(column: str) -> str:
     s = f"{column}_stats"
-    weight = f"({s}.n * {s}.overall / ({s}.n * {s}.overall + {s}.inside))"
-    return f"""round(coalesce({weight} * {s}.mean + (1 - {weight}) * {s}.prior, {s}.prior), 6)
+    weight = f"({s}.n * g.variance / ({s}.n * g.variance + {s}.inside))"
+    return f"""round(coalesce({weight} * {s}.mean + (1 - {weight}) * g.mean, g.mean), 6)
       AS {column}_te"""
 
 
 def _encoding(learn_from: str, apply_to: str, condition: str, extra: str) -> str:
-    parts = [_encoded(c, learn_from, apply_to, condition) for c in CATEGORIES]
+    """Encode ``apply_to`` from the rows of ``learn_from`` that each part may see."""
+    stats = [
+        f"""{c}_stats AS (SELECT seen_by, {c}, count(*) AS n, avg(label) AS mean,
+        var_pop(label) AS inside FROM seen GROUP BY seen_by, {c})"""
+        for c in CATEGORIES
+    ]
     values = ", ".join(_encoded_value(c) for c in CATEGORIES)
-    joins = " ".join(f"JOIN {c}_stats USING (event_id)" for c in CATEGORIES)
-    select = f"SELECT a.event_id{extra}, {values} FROM {apply_to} a {joins}"
+    joins = " ".join(
+        f"LEFT JOIN {c}_stats ON {c}_stats.seen_by = a.part AND {c}_stats.{c} = a.{c}"
+        for c in CATEGORIES
+    )
     setup = (
         f"folded AS (SELECT *, CAST(floor(({HASH}) * 5 / 1000000.0) AS INTEGER) AS part "
         "FROM features)",
         "tested AS (SELECT *, 0 AS part FROM test)",
         "trained AS (SELECT *, 0 AS part FROM train)",
+        f"""seen AS (SELECT o.part AS seen_by, t.*
+        FROM (SELECT DISTINCT part FROM {apply_to}) o JOIN {learn_from} t ON {condition})""",
+        "g AS (SELECT seen_by, avg(label) AS mean, var_pop(label) AS variance "
+        "FROM seen GROUP BY seen_by)",
     )
-    return _features(select, *TRAIN_TEST, *setup, *parts)
+    select = f"""SELECT a.event_id{extra}, {values} FROM {apply_to} a
+        JOIN g ON g.seen_by = a.part {joins}"""
+    return _features(select, *TRAIN_TEST, *setup, *stats)
 
 
 def _row_hash(columns: dict[str, str]) -> str:
@@ -546,7 +547,7 @@ ORACLE = {
             ELSE 'input changed' END AS reason FROM decided""",
     "overview_kpis": _trips(
         """SELECT CAST(sum(trip_count) AS BIGINT) AS total_trips,
-        round(sum(total_revenue), 6) AS total_revenue,
+        round(CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE), 6) AS total_revenue,
         round(sum(avg_trip_duration_minutes * trip_count) / sum(trip_count), 6)
           AS avg_trip_duration_minutes,
         round(sum(avg_trip_distance * trip_count) / sum(trip_count), 6) AS avg_trip_distance
@@ -645,9 +646,9 @@ ORACLE = {
               FROM features)"""
     ),
     "target_encode_oof": _encoding(
-        "folded", "folded", "t.part <> {outer}.part", ", a.part AS fold"
+        "folded", "folded", "t.part <> o.part", ", a.part AS fold"
     ),
-    "target_encode_test": _encoding("trained", "tested", "t.part = {outer}.part", ""),
+    "target_encode_test": _encoding("trained", "tested", "t.part = o.part", ""),
     "mean_baseline": _features(
         """SELECT event_id, label,
         (SELECT round(avg(label), 6) FROM train) AS prediction FROM test""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -287,7 +288,8 @@ def clean_removed_pct(spark, sf):
 
 
 def _serving_from_state(spark, sf) -> dict[str, DataFrame]:
-    state = metrics.metric_state(fx.trips(spark, sf))
+    # The job stores the state as a table; here it is kept for the roll-ups.
+    state = metrics.metric_state(fx.trips(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
     return {
         name: metrics.serving_table_from_state(state, name) for name in metrics.serving_tables()
     }
@@ -644,6 +646,5 @@ def score_features(spark, sf):
 @query
 def batch_score(spark, sf):
     train, _ = features.split_by_period(_features(spark, sf), TEST_DAY)
-    texts = encoding.with_category_text(train)
-    model = models.boosted_pipeline(SEED).fit(texts)
+    model = models.fit_model(train, "gbt", SEED)
     return scoring.score_trips(model, _planned(spark, sf))

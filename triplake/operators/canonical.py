@@ -50,18 +50,21 @@ def batch_to_canonical(df: DataFrame, period: Column | str, wall_clock: bool = F
     return df.select(*columns, *_lineage("batch", period, missing, missing, missing))
 
 
-def _payload(raw: Column) -> Column:
-    """Parse a message once, every wanted key as text.
+def _with_payload(df: DataFrame) -> DataFrame:
+    """Parse each message once and add every wanted key as text: k0, k1, and so on.
 
-    Keys that differ only by case cannot share a struct that is addressed by
-    name, so the parsed struct is renamed by position to k0, k1, and so on.
+    Keys that differ only by case cannot be addressed by name, so the parsed
+    struct is renamed by position. It is unpacked by a generator because filters
+    are not pushed below one: pushed below a projection, every filter on a
+    parsed field would parse the message again.
     """
     keys = [key for field in TRIP_FIELDS for key in field.sources]
     parsed = T.StructType([T.StructField(key, T.StringType()) for key in keys])
     renamed = T.StructType(
         [T.StructField(f"k{i}", T.StringType()) for i in range(len(keys))]
     )
-    return F.from_json(raw, parsed).cast(renamed)
+    payload = F.from_json("raw_json", parsed).cast(renamed)
+    return df.select("*", F.inline(F.array(payload)))
 
 
 def messages_to_canonical(df: DataFrame, wall_clock: bool = False) -> DataFrame:
@@ -72,10 +75,9 @@ def messages_to_canonical(df: DataFrame, wall_clock: bool = False) -> DataFrame:
         "string": lambda text: text,
         "time": lambda text: to_kind(text, T.StringType(), "time", wall_clock),
     }
-    parsed = df.withColumn("_payload", _payload(F.col("raw_json")))
     columns, position = [], 0
     for field in TRIP_FIELDS:
-        texts = [F.col(f"_payload.k{position + i}") for i in range(len(field.sources))]
+        texts = [F.col(f"k{position + i}") for i in range(len(field.sources))]
         position += len(texts)
         text = texts[0] if len(texts) == 1 else F.coalesce(*texts)
         columns.append(readers[field.kind](text).alias(field.name))
@@ -90,4 +92,4 @@ def messages_to_canonical(df: DataFrame, wall_clock: bool = False) -> DataFrame:
         F.col("kafka_offset"),
         F.col("kafka_timestamp"),
     )
-    return parsed.select(*columns, *lineage)
+    return _with_payload(df).select(*columns, *lineage)

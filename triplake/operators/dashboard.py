@@ -6,12 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplake.functions.casts import nullable_int
+from triplake.functions.exact import MONEY_STEPS, exact_sum
 from triplake.functions.timeparts import DAY_NAMES, day_number_from_monday
 
+
+
+def _revenue_sum(name: str) -> Column:
+    return exact_sum(F.col(name), MONEY_STEPS)
+
+
 # Metrics a zone map can show, and how a zone's rows combine.
 ZONE_METRICS = {
     "trip_count": F.sum,
-    "total_revenue": F.sum,
+    "total_revenue": _revenue_sum,
     "avg_trip_duration_minutes": F.avg,
     "avg_trip_distance": F.avg,
     "avg_tip_amount": F.avg,
@@ -55,7 +62,7 @@ def overview(daily: DataFrame, start=None, end=None) -> DataFrame:
 
     return between_dates(daily, start, end).agg(
         trips.alias("total_trips"),
-        F.sum("total_revenue").alias("total_revenue"),
+        _revenue_sum("total_revenue").alias("total_revenue"),
         weighted("avg_trip_duration_minutes").alias("avg_trip_duration_minutes"),
         weighted("avg_trip_distance").alias("avg_trip_distance"),
     )

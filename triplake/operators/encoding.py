@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplake.functions.hashing import HASH_BUCKETS, key_bucket
-from triplake.operators.enrich import lookup_join
+from triplake.operators.enrich import lookup_join, measured_bytes
 from triplake.operators.features import CATEGORICAL, LABEL
 
 
@@ -111,7 +112,13 @@ def encode(
     columns: tuple[str, ...] = CATEGORICAL,
     out_of_fold: bool = False,
 ) -> DataFrame:
-    """Add ``<column>_te``. Training rows use their own fold's encodings."""
+    """Add ``<column>_te``. Training rows use their own fold's encodings.
+
+    The table is small (one row per category and fold), so it is computed once
+    and kept while the four lookups use it.
+    """
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    size = measured_bytes(table)
     result = df
     for column in columns:
         rows = table.filter(F.col("feature") == column)
@@ -124,6 +131,8 @@ def encode(
         )
         own = [F.col(column).cast("string")] + ([F.col("fold")] if out_of_fold else [])
         keyed = result.withColumn("_row_key", F.concat_ws("#", *own))
-        joined = lookup_join(keyed, lookup, "_row_key", "_te_key").drop("_row_key")
-        result = joined.withColumn(f"{column}_te", F.coalesce(f"{column}_te", prior))
+        joined = lookup_join(keyed, lookup, "_row_key", "_te_key", known_bytes=size)
+        result = joined.drop("_row_key").withColumn(
+            f"{column}_te", F.coalesce(f"{column}_te", prior)
+        )
     return result

@@ -61,17 +61,20 @@ def lookup_join(
     lookup_key: str,
     how: str = "left",
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    known_bytes: int | None = None,
 ) -> DataFrame:
     """Join rows to a table with one row per key, whatever the key skew.
 
     A small lookup is broadcast. For a larger one, rows with a hot or NULL key
     meet the few lookup rows of the hot keys by broadcast, and only the rest is
-    shuffled. ``lookup_key`` is dropped from the result.
+    shuffled. ``lookup_key`` is dropped from the result. ``known_bytes`` passes
+    on a size that was measured before.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     matched = F.col(row_key) == F.col(lookup_key)
-    if measured_bytes(lookup) <= limit_bytes:
+    size = measured_bytes(lookup) if known_bytes is None else known_bytes
+    if size <= limit_bytes:
         return rows.join(F.broadcast(lookup), matched, how).drop(lookup_key)
 
     per_key = rows.filter(F.col(row_key).isNotNull()).groupBy(row_key).count()
@@ -86,7 +89,9 @@ def lookup_join(
     return joined_hot.unionByName(joined_rest).drop(lookup_key)
 
 
-def with_zone(trips: DataFrame, zones: DataFrame, role: str) -> DataFrame:
+def with_zone(
+    trips: DataFrame, zones: DataFrame, role: str, known_bytes: int | None = None
+) -> DataFrame:
     """Add zone, borough and service zone of one end of the trip."""
     key = f"_{role}_zone_id"
     named = zones.select(
@@ -95,8 +100,13 @@ def with_zone(trips: DataFrame, zones: DataFrame, role: str) -> DataFrame:
         F.col("borough").alias(f"{role}_borough"),
         F.col("service_zone").alias(f"{role}_service_zone"),
     )
-    return lookup_join(trips, named, f"{role}_location_id", key)
+    return lookup_join(
+        trips, named, f"{role}_location_id", key, "left", known_bytes=known_bytes
+    )
 
 
 def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    return with_zone(with_zone(trips, zones, "pickup"), zones, "dropoff")
+    """Add the zones of both ends; the dimension is measured once."""
+    size = measured_bytes(zones)
+    at_pickup = with_zone(trips, zones, "pickup", size)
+    return with_zone(at_pickup, zones, "dropoff", size)

@@ -98,6 +98,15 @@ def chosen_models(names: str) -> list[str]:
     return wanted
 
 
+def fit_model(train: DataFrame, name: str, seed: int = 42) -> PipelineModel:
+    """Fit one model; training rows are kept on the executors meanwhile."""
+    ready = with_category_text(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PIPELINES[name](seed).fit(ready)
+    finally:
+        ready.unpersist()
+
+
 class Comparison(NamedTuple):
     scores: DataFrame
     best: DataFrame

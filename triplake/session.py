@@ -17,6 +17,8 @@ OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Splitting a hot join key is worth an extra shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # No Python stack capture per column expression; it slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",
     # A task that meets few periods keeps one writer open per period instead
     # of sorting its rows first.
