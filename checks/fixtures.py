@@ -11,6 +11,7 @@ from triplake.operators.enrich import lookup_join
 from triplake.plans.trips import trip_table
 from triplake.sources.bronze import union_all
 from triplake.sources.messages import to_messages
+from triplake.sources.tables import spread_if_few
 from triplake.streaming.ingest import accept, decode
 
 TOPIC = "trips"
@@ -43,7 +44,7 @@ def event_files(spark: SparkSession, sf_dir: str, unit: str = "month") -> DataFr
         *[F.lit(v) for v in ("click", 1, "view", 2, "purchase", 3, "signup", 4)]
     )
     # A generator keeps later filters from repeating the parse.
-    events = table(spark, sf_dir, "events").select("*", F.explode(F.array(k)).alias("k"))
+    events = spread_if_few(table(spark, sf_dir, "events")).select("*", F.explode(F.array(k)).alias("k"))
     return events.select(
         "event_id",
         (F.col("k") % 5).alias("VendorID"),
@@ -127,9 +128,11 @@ def events_stream(spark: SparkSession, sf_dir: str, unit: str = "month") -> Data
 
 def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as rows of monthly files, with source period and file name."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax",
+    lines = spread_if_few(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax",
+        )
     )
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"

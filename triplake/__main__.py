@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--replay-folder")
     job.add_argument("--trigger-seconds", type=int, default=5)
     job.add_argument("--max-per-trigger", type=int)
+    job.add_argument("--min-partitions", type=int)
     job.add_argument("--until-done", action="store_true")
 
     job = jobs.add_parser("trips", help="build the trip table")
@@ -106,7 +107,11 @@ def _run(spark, args) -> int:
             source = ingest.replay_source(spark, args.replay_folder, args.max_per_trigger)
         else:
             source = ingest.kafka_source(
-                spark, args.bootstrap_servers, args.topic, args.max_per_trigger
+                spark,
+                args.bootstrap_servers,
+                args.topic,
+                args.max_per_trigger,
+                args.min_partitions,
             )
         query = ingest.start_ingest(
             source,

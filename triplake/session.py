@@ -17,6 +17,8 @@ OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Splitting a hot join key is worth an extra shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Numbers inside messages need not keep their exact spelling; values stay.
+    "spark.sql.json.enableExactStringParsing": "false",
     # No Python stack capture per column expression; it slows plan building.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections import defaultdict
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from triplake.functions.timeparts import two_digits
 from triplake.operators.canonical import batch_to_canonical, messages_to_canonical
@@ -102,15 +105,49 @@ def _write_landed(rows: DataFrame, target: str, streaming_period: str, mode: str
     )
 
 
+def _schema_key(schema: T.StructType) -> tuple:
+    return tuple((f.name, f.dataType.simpleString()) for f in schema)
+
+
 def _by_schema(spark: SparkSession, paths: list[str]) -> dict[tuple, list[str]]:
-    """Group paths by physical schema; reads one footer per path."""
+    """Group files by their physical schema."""
     groups: dict[tuple, list[str]] = defaultdict(list)
     for path in paths:
-        schema = spark.read.parquet(path).schema
-        groups[tuple((f.name, f.dataType.simpleString()) for f in schema)].append(path)
+        groups[_schema_key(spark.read.parquet(path).schema)].append(path)
     return groups
 
 
+def _month_groups(
+    spark: SparkSession, months: list[str]
+) -> list[tuple[T.StructType, list[str]]]:
+    """Group month folders whose files can be read with one schema.
+
+    The footers of a month are merged by a Spark job, so a column that only some
+    of its files have is not lost. Only a month whose files disagree on a type is
+    taken apart file by file.
+    """
+    schemas: dict[tuple, T.StructType] = {}
+    members: dict[tuple, list[str]] = defaultdict(list)
+
+    def add(path: str, schema: T.StructType) -> None:
+        schemas.setdefault(_schema_key(schema), schema)
+        members[_schema_key(schema)].append(path)
+
+    merging = spark.read.option("mergeSchema", "true")
+    for month in months:
+        try:
+            add(month, merging.parquet(month).schema)
+        except (Py4JJavaError, PySparkException) as error:
+            if "CANNOT_MERGE_SCHEMAS" not in str(error):
+                raise
+            files = spark.read.format("binaryFile").option(
+                "pathGlobFilter", "*.parquet"
+            ).load(month).select("path")
+            for row in files.orderBy("path").collect():
+                add(row.path, spark.read.parquet(row.path).schema)
+    return [(schemas[key], paths) for key, paths in members.items()]
+
+
 def read_months(
     spark: SparkSession,
     root: str,
@@ -124,8 +161,8 @@ def read_months(
     """
     months = folders.period_folders(spark, root, wanted)
     frames = []
-    for group in _by_schema(spark, [path for _, path in months]).values():
-        rows = spark.read.option("basePath", root).parquet(*group)
+    for schema, paths in _month_groups(spark, [path for _, path in months]):
+        rows = spark.read.schema(schema).option("basePath", root).parquet(*paths)
         period = F.concat_ws("-", F.col("year").cast("string"), two_digits(F.col("month")))
         frames.append(batch_to_canonical(rows, period, wall_clock))
     return union_all(frames)

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from triplake.schemas import PERIOD_COLUMNS
 
 
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    For scans in front of costly parsing. A scan of many splits, the normal case
+    for large data, is returned as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def period_slice(
     trips: DataFrame, year: int | None = None, month: int | None = None
 ) -> DataFrame:

@@ -16,8 +16,13 @@ def kafka_source(
     bootstrap_servers: str,
     topic: str,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
-    """All messages from the earliest offset; lost offsets stop the query."""
+    """All messages from the earliest offset; lost offsets stop the query.
+
+    Messages of one month share a key and therefore one Kafka partition.
+    ``min_partitions`` lets Spark read ranges of its offsets in parallel.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -28,6 +33,9 @@ def kafka_source(
     if max_offsets_per_trigger is not None:
         _require_positive(max_offsets_per_trigger, "max_offsets_per_trigger")
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions is not None:
+        _require_positive(min_partitions, "min_partitions")
+        reader = reader.option("minPartitions", min_partitions)
     return reader.load()
 
 
