@@ -40,11 +40,11 @@ def encoding_table(
 ) -> DataFrame:
     """Encodings learnt from ``train``: feature, category, fold, encoding.
 
-    With a ``fold`` column, the row of fold f is learnt from all other folds;
-    the row with a NULL fold is learnt from everything and is for unseen data.
-    The row with a NULL category is the overall mean, for unseen categories.
-    One pass over the rows; what follows works on one row per feature, category
-    and fold.
+    With a ``fold`` column, the row of fold f is learnt from all other folds, for
+    every pair of category and fold that occurs. The row with a NULL fold is
+    learnt from everything and is for unseen data. The row with a NULL category
+    is the overall mean, for unseen categories. Trips are read once; what follows
+    works on one row per feature, category and fold.
     """
     folded = train if "fold" in train.columns else train.withColumn("fold", F.lit(0))
     pairs = ", ".join(f"'{c}', cast({c} as string)" for c in columns)
@@ -62,48 +62,49 @@ def encoding_table(
             F.sum(F.col("y") * F.col("y")).alias("ss"),
         )
     )
-    # Small from here on: the windows see one row per category and fold.
+    # Kept for the steps below, so that trips are not read again.
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
     sums = ("n", "s", "ss")
+
+    def total(rows: DataFrame, prefix: str, *keys: str, source: str = "") -> DataFrame:
+        columns = [F.sum(f"{source}{c}").alias(f"{prefix}{c}") for c in sums]
+        return rows.groupBy(*keys).agg(*columns)
+
+    # One row per feature and fold, and one per feature: fit for broadcast.
+    per_fold = total(cells, "fold_", "feature", "fold")
+    per_feature = total(per_fold, "all_", "feature", source="fold_")
+    # A group of this window has one row per fold.
     in_category = Window.partitionBy("feature", "category")
-    in_feature = Window.partitionBy("feature")
-    in_fold = Window.partitionBy("feature", "fold")
-    full_grid = (
-        cells.select("feature", "fold").distinct()
-        .join(cells.select("feature", "category").distinct(), "feature")
-        .join(cells, ["feature", "category", "fold"], "left")
-        .fillna(0, list(sums))
-    )
-    out = full_grid.select(
-        "feature",
-        "category",
-        "fold",
-        *[(F.sum(c).over(in_category) - F.col(c)).alias(c) for c in sums],
-        *[
-            (F.sum(c).over(in_feature) - F.sum(c).over(in_fold)).alias(f"all_{c}")
-            for c in sums
-        ],
-    )
-    per_category = cells.groupBy("feature", "category").agg(
-        *[F.sum(c).alias(c) for c in sums]
+    others = (
+        cells.join(F.broadcast(per_fold), ["feature", "fold"])
+        .join(F.broadcast(per_feature), "feature")
+        .select(
+            "feature",
+            "category",
+            "fold",
+            *[(F.sum(c).over(in_category) - F.col(c)).alias(c) for c in sums],
+            *[(F.col(f"all_{c}") - F.col(f"fold_{c}")).alias(f"all_{c}") for c in sums],
+        )
     )
-    whole = per_category.select(
-        "feature",
-        "category",
-        F.lit(None).cast("int").alias("fold"),
-        *sums,
-        *[F.sum(c).over(in_feature).alias(f"all_{c}") for c in sums],
+    no_fold = F.lit(None).cast("int").alias("fold")
+    whole = (
+        total(cells, "", "feature", "category")
+        .join(F.broadcast(per_feature), "feature")
+        .select("feature", "category", no_fold, *sums, *[f"all_{c}" for c in sums])
     )
-    everything = whole.groupBy("feature").agg(
-        (F.max("all_s") / F.max("all_n")).alias("encoding")
-    ).select("feature", F.lit(None).cast("string").alias("category"),
-             F.lit(None).cast("int").alias("fold"), "encoding")
-    encoded = out.unionByName(whole).select(
+    encoded = others.unionByName(whole).select(
         "feature",
         "category",
         "fold",
         _smoothed(*[F.col(c) for c in (*sums, "all_n", "all_s", "all_ss")]).alias("encoding"),
     )
-    return encoded.unionByName(everything)
+    means = per_feature.select(
+        "feature",
+        F.lit(None).cast("string").alias("category"),
+        no_fold,
+        (F.col("all_s") / F.nullif("all_n", F.lit(0))).alias("encoding"),
+    )
+    return encoded.unionByName(means)
 
 
 def encode(
