@@ -113,6 +113,19 @@ def test_lookup_join_with_hot_and_null_keys(spark, how):
         assert len(got) == len(expected) and set(got) == expected
 
 
+def test_size_checks(spark, tmp_path):
+    path = str(tmp_path / "lookup")
+    spark.range(1000).selectExpr("id k", "repeat('x', 84) v").write.parquet(path)
+    scan = spark.read.parquet(path)
+    assert enrich.measured_bytes(scan) == 1000 * (8 + 100)
+    assert 0 < enrich.scan_bytes(scan.select("k")) <= enrich.scan_bytes(scan)
+    assert enrich.scan_bytes(scan.groupBy("k").count()) is None
+    assert enrich.fits_broadcast(scan, 108_000) and not enrich.fits_broadcast(scan, 107_999)
+    assert not enrich.fits_broadcast(scan, 10)
+    plan = enrich.lookup_join(spark.range(9), scan, "id", "k")
+    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def zones_of(spark):
     return spark.createDataFrame(
         [(10, "B1", "Z10", "S"), (20, "B2", "Z20", "S")],

@@ -12,6 +12,9 @@ from triplake.schemas import ZONE_FILE_COLUMNS
 # A dimension is broadcast only when it was measured to be at most this large.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
+# Files this many times larger are not read just to be measured.
+FAR_TOO_LARGE = 16
+
 # A key with more than 1/HOT_KEYS of all rows is hot; there are fewer than
 # HOT_KEYS of them, whatever the data.
 HOT_KEYS = 1000
@@ -54,6 +57,25 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(total).alias("bytes")).first()["bytes"] or 0
 
 
+def scan_bytes(df: DataFrame) -> int | None:
+    """File size behind a plain scan, known without reading it; else None."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    node = plan
+    while node.nodeName() == "Project":
+        node = node.children().head()
+    if node.nodeName() != "LogicalRelation":
+        return None
+    return int(str(plan.stats().sizeInBytes()))
+
+
+def fits_broadcast(lookup: DataFrame, limit_bytes: int) -> bool:
+    """Measure the rows, unless the files alone are far too large."""
+    on_disk = scan_bytes(lookup)
+    if on_disk is not None and on_disk > FAR_TOO_LARGE * limit_bytes:
+        return False
+    return measured_bytes(lookup) <= limit_bytes
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -73,8 +95,11 @@ def lookup_join(
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     matched = F.col(row_key) == F.col(lookup_key)
-    size = measured_bytes(lookup) if known_bytes is None else known_bytes
-    if size <= limit_bytes:
+    if known_bytes is None:
+        small = fits_broadcast(lookup, limit_bytes)
+    else:
+        small = known_bytes <= limit_bytes
+    if small:
         return rows.join(F.broadcast(lookup), matched, how).drop(lookup_key)
 
     per_key = rows.filter(F.col(row_key).isNotNull()).groupBy(row_key).count()
