@@ -78,7 +78,7 @@ def per_row(
     names = [f.name for f in fields]
     keep = other_columns(df, names) if keep is None else keep
     schema = T.StructType([df.schema[k] for k in keep] + list(fields))
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
     # Kept columns come first, then the inputs under names of their own.
     source = df.select(
         *[F.col(f"`{k}`") for k in keep],
@@ -110,7 +110,7 @@ def to_rows(
 ) -> DataFrame:
     """Like per_row, but each call may give any number of result rows."""
     python_ready(df.sparkSession)
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
     source = df.select(*[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(inputs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
