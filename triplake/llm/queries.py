@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import bpe
-from triplake.llm.common import documents
+from triplake.llm import bpe, fingerprints, quality
+from triplake.llm.common import documents, labels
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,27 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each text and its edited form, and how alike they are."""
+    found = fingerprints.compare_edited(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each document, and the verdict of rules learned from the labels."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rules = quality.fit(docs, labels(spark, sf_dir))
+    return quality.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "rule", "kept",
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_quality": op4_quality,
 }
