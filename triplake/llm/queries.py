@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import bpe, fingerprints, quality
+from triplake.llm import bpe, fingerprints, quality, secrets
 from triplake.llm.common import documents, labels
 
 
@@ -20,6 +20,26 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of each document; sources own the documents they hold."""
+    found = secrets.scan(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def standing(name: str):
+        return F.size(F.filter("spans", lambda s: s["standing"] == name)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        standing("live").alias("n_live"), standing("example").alias("n_example"),
+    )
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of each text and its edited form, and how alike they are."""
     found = fingerprints.compare_edited(documents(spark, sf_dir))
@@ -41,6 +61,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_secrets": op2_secrets,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
 }
