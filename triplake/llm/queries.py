@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import bpe, fingerprints, quality, secrets
+from triplake.llm import bpe, fingerprints, jaccard, quality, secrets
 from triplake.llm.common import documents, labels
 
 
@@ -59,9 +59,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of three-word shingles are 90 % alike."""
+    return jaccard.link(documents(spark, sf_dir), words=3, percent=90)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
+    "op10_jaccard": op10_jaccard,
 }
