@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import bpe, fingerprints, jaccard, quality, secrets
+from triplake.llm import bpe, fingerprints, jaccard, lines, quality, secrets
 from triplake.llm.common import documents, labels
 
 
@@ -59,6 +59,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand earlier, alike or one edit away."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return lines.dedup(docs)
+
+
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles are 90 % alike."""
     return jaccard.link(documents(spark, sf_dir), words=3, percent=90)
@@ -69,5 +75,6 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
+    "op9_lines": op9_lines,
     "op10_jaccard": op10_jaccard,
 }

@@ -2,4 +2,54 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+# One edit apart is tested as: equal lengths with one place that differs, or
+# lengths that differ by one and a place whose removal makes the lines equal.
+OP9_LINES = r"""
+WITH split AS (
+  SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+every AS (
+  SELECT doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS raw FROM split),
+trimmed AS (
+  SELECT doc_id, pos, raw,
+    trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM every),
+firsts AS (
+  SELECT line, length(line) AS n, min({'d': doc_id, 'a': pos}) AS first
+  FROM trimmed WHERE line <> '' GROUP BY line),
+halves AS (
+  SELECT *, left(line, n // 2) AS head, right(line, n // 2) AS tail,
+    left(line, (n - 1) // 2) AS head1, right(line, (n - 1) // 2) AS tail1
+  FROM firsts WHERE n >= 20),
+same AS (
+  SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy FROM halves a
+  JOIN halves b ON a.n = b.n AND a.head = b.head AND a.first > b.first
+  UNION
+  SELECT a.line, b.line, a.first, b.first FROM halves a
+  JOIN halves b ON a.n = b.n AND a.tail = b.tail AND a.first > b.first),
+longer AS (
+  SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy, a.n FROM halves a
+  JOIN halves b ON b.n = a.n + 1 AND a.head = b.head1
+  UNION
+  SELECT a.line, b.line, a.first, b.first, a.n FROM halves a
+  JOIN halves b ON b.n = a.n + 1 AND a.tail = b.tail1),
+near AS (
+  SELECT x AS line FROM same WHERE len(list_filter(
+    list_zip(string_split(x, ''), string_split(y, '')), lambda z: z[1] <> z[2])) = 1
+  UNION
+  SELECT CASE WHEN fx > fy THEN x ELSE y END FROM longer WHERE len(list_filter(
+    range(n + 1), lambda i: left(x, i) = left(y, i) AND right(x, n - i) = right(y, n - i))) > 0),
+judged AS (
+  SELECT t.doc_id, t.pos, t.raw,
+    t.line <> '' AND {'d': t.doc_id, 'a': t.pos} <> f.first AS again,
+    t.line <> '' AND {'d': t.doc_id, 'a': t.pos} = f.first AND t.line IN (SELECT line FROM near)
+      AS near
+  FROM trimmed t LEFT JOIN firsts f ON t.line = f.line)
+SELECT d.doc_id,
+  CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(string_agg(j.raw, chr(10) ORDER BY j.pos)
+    FILTER (WHERE NOT coalesce(j.again, false) AND NOT coalesce(j.near, false)), '') END AS text,
+  count_if(coalesce(j.again, false))::BIGINT AS n_exact,
+  count_if(coalesce(j.near, false))::BIGINT AS n_near
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id
+GROUP BY d.doc_id, d.text
+"""
+
+ORACLE: dict[str, str] = {"op9_lines": OP9_LINES}
