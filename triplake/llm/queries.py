@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplake.llm import bpe, fingerprints, jaccard, lines, quality, secrets
-from triplake.llm.common import documents, labels
+from triplake.llm import (
+    bpe, fingerprints, jaccard, lines, packing, quality, secrets, token_counts, warc,
+)
+from triplake.llm.common import documents, labels, pages
+from triplake.session import new_scratch
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,23 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
+    path = new_scratch(spark, "warc")
+    warc.write_archives(pages(spark, sf_dir), path)
+    return warc.read_archives(spark, path, with_payload=False).drop("payload")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals for every context limit, from the exact histogram of lengths."""
+    return token_counts.histogram(documents(spark, sf_dir))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines that stand earlier, alike or one edit away."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -75,6 +95,9 @@ QUERIES = {
     "op2_secrets": op2_secrets,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
+    "op5_warc": op5_warc,
+    "op6_token_counts": op6_token_counts,
+    "op7_packing": op7_packing,
     "op9_lines": op9_lines,
     "op10_jaccard": op10_jaccard,
 }
