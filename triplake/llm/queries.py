@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.llm import (
-    bpe, fingerprints, jaccard, lines, packing, quality, secrets, token_counts, warc,
+    bpe, fingerprints, html, jaccard, lines, packing, quality, secrets, token_counts, warc,
 )
 from triplake.llm.common import documents, labels, pages
 from triplake.session import new_scratch
@@ -79,6 +79,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, without the templates of its site."""
+    found = html.extract(pages(spark, sf_dir).select("page_id", "url", "html"))
+    return found.select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_template"
+    )
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without lines that stand earlier, alike or one edit away."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -98,6 +106,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op8_html": op8_html,
     "op9_lines": op9_lines,
     "op10_jaccard": op10_jaccard,
 }
