@@ -133,10 +133,12 @@ def with_following(
     ).withColumn("key", F.col("id").cast("double"))
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = source.approxQuantile("key", probabilities, 1 / (4 * ranges)) if ranges > 1 else []
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
     bucketed = Bucketizer(
         splits=splits, inputCol="key", outputCol="range", handleInvalid="keep"
-    ).transform(source).withColumn("range", F.col("range").cast("int")).drop("key")
+    ).transform(source).withColumn(
+        "range", F.coalesce(F.col("range").cast("int"), F.lit(len(splits)))  # NULL ids last
+    ).drop("key")
     # One row for each range, as many as there are partitions.
     firsts = (
         bucketed.groupBy("range").agg(F.min("id").alias("first")).orderBy("range").collect()
