@@ -284,23 +284,19 @@ def deletable(node: Element, in_main: bool) -> bool:
 
 
 def subtrees(page: str | None) -> tuple[int, list[int]]:
-    """Digest of the page's longest block, and of each subtree that may be a
-    template."""
+    """Digest of the longest block of the article, and of each subtree that may
+    be a template."""
     root = parse(page or "")
-    order = _mark(root)
-    _hash(order)
-    longest = ""
+    _hash(_mark(root))
+    blocks = [b for start in _content(root) for b in _blocks(start, set(), start.tag != "#root")]
     found, stack = set(), [(root, False)]
     while stack:
         node, inside = stack.pop()
         inside = inside or node.tag in ("article", "main") and node.holds_main
-        own = [c for c in node.children if isinstance(c, str)]
-        if own and node.tag not in GONE:
-            longest = max(longest, " ".join("".join(own).split()), key=len)
         if deletable(node, inside):
             found.add(_signed(node.digest))
-        if node.tag not in RAW:
-            stack += [(c, inside) for c in node.children if isinstance(c, Element)]
+        stack += [(c, inside) for c in node.children if isinstance(c, Element)]
+    longest = max(blocks, key=len, default="")
     return _signed(xxhash.xxh3_64_intdigest(longest)), sorted(found)
 
 
@@ -320,7 +316,7 @@ def main_text(page: str | None, template: set[int]) -> tuple[str, int]:
 def template_subtrees(pages: DataFrame) -> DataFrame:
     """host, digest of the subtrees that recur on many pages of a host.
 
-    ``pages`` has host, main (the longest block's digest) and subtrees. Pages with
+    ``pages`` has host, main (digest of the article's longest block) and subtrees. Pages with
     the same longest block count once, so copies of an article do not make it a
     template. Counting falls together before it is shuffled.
     """
