@@ -30,6 +30,9 @@ from pyspark.sql import types as T
 
 from triplake.llm.common import OUT_ROWS, per_row, python_ready, stored, to_rows
 
+#: Bits of the sketch that rules out pairs before their whole sets are compared.
+SKETCH_BITS = 512
+
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -128,7 +131,6 @@ class Signatures:
 
 
 _KEYED = T.StructType([T.StructField("key", T.LongType()), T.StructField("node", T.LongType())])
-_PLACED = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "group", "node")])
 _PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -230,30 +232,51 @@ def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within a signature whose nodes are in different groups.
+def sketch(found: np.ndarray) -> np.ndarray:
+    """For each of SKETCH_BITS cells, whether an odd number of elements is in it.
+
+    An element that one set has and another lacks changes one bit, so the bits in
+    which two sketches differ never number more than the sets' difference.
+    """
+    cells = _mixed(found + _STEP) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)
+    odd = np.bincount(cells.astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs within a signature whose nodes are in different groups, as far as
+    sizes and sketches allow them to be similar.
 
     Rows come sorted by signature, group, node. A node meets the nodes of the
-    groups before its own; those met already sit in a list that ends with the
-    signature. Pairs with the first node have been tried.
+    groups before its own, which sit in arrays that end with the signature.
     """
-    key, groups, nodes = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key, met = None, None
     for batch in batches:
         all_keys = batch.column(0).to_numpy()
-        all_groups, all_nodes = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        rows = [batch.column(i).to_numpy() for i in (1, 2, 3)]
+        words = b"".join(batch.column(4).to_pylist())
+        rows.append(np.frombuffer(words, np.uint64).reshape(len(all_keys), -1))
         edges = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]]))
         for begin, end in zip(edges, [*edges[1:], len(all_keys)]):
+            new = [r[begin:end] for r in rows]
             if all_keys[begin] != key:
-                key, groups, nodes = all_keys[begin], groups[:0], nodes[:0]
-            groups = np.concatenate([groups, all_groups[begin:end]])
-            nodes = np.concatenate([nodes, all_nodes[begin:end]])
+                key, met = all_keys[begin], new
+            else:
+                met = [np.concatenate([m, n]) for m, n in zip(met, new)]
+            groups, nodes, sizes, sketches = met
             if groups[0] == groups[-1]:
                 continue
             for i in range(len(nodes) - (end - begin), len(nodes)):
-                met = nodes[: np.searchsorted(groups, groups[i])]
-                if len(met):
+                before = int(np.searchsorted(groups, groups[i]))
+                if not before:
+                    continue
+                most = (sizes[:before] + sizes[i]) * (100 - percent) // (100 + percent)
+                apart = np.bitwise_count(sketches[:before] ^ sketches[i]).sum(axis=1)
+                close = nodes[:before][apart <= most]
+                if len(close):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(met, nodes[i])), pa.array(np.maximum(met, nodes[i]))],
+                        [pa.array(np.minimum(close, nodes[i])),
+                         pa.array(np.maximum(close, nodes[i]))],
                         names=["a", "b"],
                     )
 
@@ -370,12 +393,16 @@ def link(
     edges = stored(_similar(pairs, sets, percent), "similar-pairs")
     groups = components(edges)
     # What the stars did not bring together is compared directly.
-    placed = shared.join(groups, "node", "left").select(
-        "key", F.coalesce("group", "node").alias("group"), "node"
+    placed = stored(
+        sets.select("node", "size", "sketch").join(groups, "node", "left").select(
+            "node", F.coalesce("group", "node").alias("group"), "size", "sketch"
+        ),
+        "placed-nodes",
     )
     across = (
-        placed.repartition("key").sortWithinPartitions("key", "group", "node")
-        .mapInArrow(lambda batches: _across(_runs(batches)), _PAIRS).distinct()
+        shared.join(placed, "node").select("key", "group", "node", "size", "sketch")
+        .repartition("key").sortWithinPartitions("key", "group", "node")
+        .mapInArrow(lambda batches: _across(_runs(batches), percent), _PAIRS).distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
     more = stored(_similar(stored(across, "cross-pairs"), sets, percent), "similar-cross-pairs")
@@ -395,17 +422,23 @@ def link(
 
 
 def _elements(df: DataFrame, words: int) -> DataFrame:
+    """node, its set, the size of it and its sketch."""
     fields = T.StructType(
         [
             T.StructField("node", T.LongType()),
             T.StructField("elements", T.ArrayType(T.LongType(), False)),
+            T.StructField("size", T.LongType()),
+            T.StructField("sketch", T.BinaryType()),
         ]
     )
 
     def start():
-        return lambda rows: [
-            (node, np.sort(shingles(text, words).view(np.int64))) for node, text in rows
-        ]
+        def compute(rows):
+            for node, text in rows:
+                found = shingles(text, words)
+                yield node, np.sort(found.view(np.int64)), len(found), sketch(found).tobytes()
+
+        return compute
 
     return to_rows(df, ["id", "text"], fields, start)
 
