@@ -11,7 +11,6 @@ from triplake.operators.enrich import lookup_join
 from triplake.plans.trips import trip_table
 from triplake.sources.bronze import union_all
 from triplake.sources.messages import to_messages
-from triplake.sources.tables import spread_if_few
 from triplake.streaming.ingest import accept, decode
 
 TOPIC = "trips"
@@ -23,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """One small file over all cores, in front of costly parsing."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -44,7 +48,9 @@ def event_files(spark: SparkSession, sf_dir: str, unit: str = "month") -> DataFr
         *[F.lit(v) for v in ("click", 1, "view", 2, "purchase", 3, "signup", 4)]
     )
     # A generator keeps later filters from repeating the parse.
-    events = spread_if_few(table(spark, sf_dir, "events")).select("*", F.explode(F.array(k)).alias("k"))
+    events = _spread(table(spark, sf_dir, "events")).select(
+        "*", F.explode(F.array(k)).alias("k")
+    )
     return events.select(
         "event_id",
         (F.col("k") % 5).alias("VendorID"),
@@ -128,11 +134,9 @@ def events_stream(spark: SparkSession, sf_dir: str, unit: str = "month") -> Data
 
 def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as rows of monthly files, with source period and file name."""
-    lines = spread_if_few(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax",
-        )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax",
     )
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"

@@ -15,7 +15,12 @@ from checks.queries import (
     YEAR,
 )
 
-HASH = f"((event_id % 1000000) * 435761 + {SEED}) % 1000000"
+def _bucket(purpose: str, seed: int = SEED) -> str:
+    text = f"'{purpose}|{seed}|' || event_id"
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT) % 1000000"
+
+
+HASH, FOLD_HASH = _bucket("sample"), _bucket("fold of 5")
 
 
 def _file_events(unit: str) -> str:
@@ -312,7 +317,7 @@ def _encoding(learn_from: str, apply_to: str, condition: str, extra: str) -> str
         for c in CATEGORIES
     )
     setup = (
-        f"folded AS (SELECT *, CAST(floor(({HASH}) * 5 / 1000000.0) AS INTEGER) AS part "
+        f"folded AS (SELECT *, CAST(floor(({FOLD_HASH}) * 5 / 1000000.0) AS INTEGER) AS part "
         "FROM features)",
         "tested AS (SELECT *, 0 AS part FROM test)",
         "trained AS (SELECT *, 0 AS part FROM train)",
@@ -327,10 +332,28 @@ def _encoding(learn_from: str, apply_to: str, condition: str, extra: str) -> str
 
 
 def _row_hash(columns: dict[str, str]) -> str:
-    texts = ", ".join(f"coalesce({columns[name]}, '~')" for name in sorted(columns))
+    texts = ", ".join(
+        f"coalesce('{name}=' || length({columns[name]}) || ':' || {columns[name]}, '{name}~')"
+        for name in sorted(columns)
+    )
     return f"CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 15) AS BIGINT)"
 
 
+def _double_text(name: str) -> str:
+    first = f"(({name} - floor({name})) * 1e9::DOUBLE)"
+    second = f"(({first} - floor({first})) * 1e9::DOUBLE)"
+    parts = [f"CAST(CAST(floor({x}) AS BIGINT) AS VARCHAR)" for x in (name, first, second)]
+    return " || '+' || ".join(parts)
+
+
+def _time_text(name: str) -> str:
+    return f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def _text(name: str) -> str:
+    return f"CAST({name} AS VARCHAR)"
+
+
 def _scores(select: str) -> str:
     return _day_trips(
         select,
@@ -521,18 +544,37 @@ ORACLE = {
         FILE_ORDERS,
         select=f"""SELECT source_year_month AS source_period, count(*) AS row_count,
         CAST(sum({_row_hash({
-            "VendorID": "CAST(vendor_id AS VARCHAR)",
-            "fare_amount": "CAST(CAST(round(fare_amount * 10000) AS BIGINT) AS VARCHAR)",
-            "payment_type": "CAST(payment_type AS VARCHAR)",
+            "l_orderkey": _text("l_orderkey"),
+            "VendorID": _text("vendor_id"),
+            "tpep_pickup_datetime": _time_text("pickup_datetime"),
+            "tpep_dropoff_datetime": _time_text("dropoff_datetime"),
+            "passenger_count": _text("passenger_count"),
+            "trip_distance": _double_text("trip_distance"),
+            "RatecodeID": _text("rate_code_id"),
+            "PULocationID": _text("pickup_location_id"),
+            "DOLocationID": _text("dropoff_location_id"),
+            "payment_type": _text("payment_type"),
+            "fare_amount": _double_text("fare_amount"),
+            "extra": _double_text("extra"),
+            "tip_amount": _double_text("tip_amount"),
+            "total_amount": _double_text("total_amount"),
             "source_period": "source_year_month",
-            "tpep_pickup_datetime": "strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S.%f')",
+            "file_name": "file_name",
         })}) AS VARCHAR) AS fingerprint FROM file_orders GROUP BY 1""",
     ),
+    "fingerprint_typed": _with(
+        FILE_ORDERS,
+        select="""SELECT source_year_month AS source_period, count(*) AS row_count,
+        true AS same_for_other_layout, true AS sees_a_change, true AS sees_a_moved_value
+        FROM file_orders GROUP BY 1""",
+    ),
     "rebuild_plan": f"""WITH rows AS (
           SELECT strftime(ts, '%Y-%m-%d') AS period, day(ts) AS day,
-            dayofweek(ts) + 1 AS weekday, event_id, event_type FROM events),
+            dayofweek(ts) + 1 AS weekday, * FROM events),
         hashed AS (SELECT *, {_row_hash({
-            "event_id": "CAST(event_id AS VARCHAR)", "period": "period"})} AS h FROM rows),
+            "event_id": _text("event_id"), "ts": _time_text("ts"), "user_id": _text("user_id"),
+            "event_type": "event_type", "value": _double_text("value"), "props": "props",
+            "period": "period"})} AS h FROM rows),
         state AS (SELECT period, sum(h) AS desired,
             sum(h) FILTER (WHERE day <= 24 AND (day > 10 OR event_type <> 'error')) AS previous,
             bool_or(day >= 4 AND weekday <> 2) AS present,
@@ -629,6 +671,31 @@ ORACLE = {
         *TRAIN_TEST,
     ),
     "sample_hash": f"SELECT event_id, event_type FROM events WHERE {HASH} < 50000",
+    "sample_independence": f"""SELECT CAST(floor(({FOLD_HASH}) * 5 / 1000000.0) AS INTEGER) AS fold,
+        count_if({HASH} < 500000)::BIGINT AS in_first,
+        count_if({_bucket("sample", SEED + 1)} < 500000)::BIGINT AS in_second,
+        count_if({HASH} < 500000 AND {_bucket("sample", SEED + 1)} < 500000)::BIGINT AS in_both
+        FROM events GROUP BY 1""",
+    "sample_bernoulli": "SELECT true AS near, true AS each_once",
+    "model_comparison": """SELECT model, model <> 'mean_baseline' AS beats_the_mean,
+        true AS errors_in_order
+        FROM (VALUES ('mean_baseline'), ('linear'), ('rf'), ('gbt')) AS t(model)""",
+    "linear_fit": _features(
+        """SELECT round(regr_slope(label, trip_distance), 6) AS slope,
+        round(regr_intercept(label, trip_distance), 6) AS intercept FROM train""",
+        *TRAIN_TEST,
+    ),
+    "encoded_boosting": _features(
+        """SELECT count(*) AS predicted, true AS beats_the_mean, true AS many_trees FROM test""",
+        *TRAIN_TEST,
+    ),
+    "batch_score": _events(
+        """SELECT event_id, failed_rule IS NULL AS valid, failed_rule,
+        failed_rule IS NULL AS predicted FROM checked""",
+        "day",
+        PLANNED,
+        CHECKED,
+    ),
     "label_stats": _features(
         """SELECT min(label) AS min_duration, round(avg(label), 6) AS avg_duration,
         quantile_disc(label, 0.5) AS median_duration, max(label) AS max_duration FROM features"""
@@ -640,10 +707,13 @@ ORACLE = {
     ),
     "string_index": _features(f"SELECT event_id, {TEXT_INDEX} FROM features"),
     "one_hot_width": _features(
-        """SELECT pickup_location_id_cat, CAST(count(*) OVER () + 1 AS INTEGER) AS width,
-        CAST(row_number() OVER (ORDER BY pickup_location_id_cat) - 1 AS INTEGER) AS slot
-        FROM (SELECT DISTINCT CAST(pickup_location_id AS VARCHAR) AS pickup_location_id_cat
-              FROM features)"""
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS feature, category,
+            CAST(count(*) OVER () + 1 AS INTEGER) AS width,
+            CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS slot
+            FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS category FROM features)"""
+            for c in CATEGORIES
+        )
     ),
     "target_encode_oof": _encoding(
         "folded", "folded", "t.part <> o.part", ", a.part AS fold"

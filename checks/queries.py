@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from triplake.functions.hashing import in_sample
 from triplake.functions.timeparts import period_text
 from triplake.operators import (
     canonical,
@@ -24,6 +27,7 @@ from triplake.operators import (
     regression,
     scoring,
 )
+from triplake.plans import serving
 from triplake.session import new_scratch
 from triplake.sources import bronze, messages, tables
 from triplake.streaming import audit, ingest
@@ -283,32 +287,30 @@ def month_coverage(spark, sf):
 
 @query
 def clean_removed_pct(spark, sf):
-    before = fx.unified(spark, sf)
-    return quality.cleaning_loss(before, cleaning.keep_usable(before))
+    return quality.cleaning_loss(fx.unified(spark, sf), cleaning.usable())
 
 
-def _serving_from_state(spark, sf) -> dict[str, DataFrame]:
-    # The job stores the state as a table; here it is kept for the roll-ups.
-    state = metrics.metric_state(fx.trips(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
-    return {
-        name: metrics.serving_table_from_state(state, name) for name in metrics.serving_tables()
-    }
+def _built(spark, sf) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Trips and serving tables as the jobs write and read them."""
+    base = new_scratch(spark, "gold")
+    tables.write_periods(fx.trips(spark, sf), f"{base}/trips", rebalance=True)
+    serving.build_serving(spark, f"{base}/trips", f"{base}/serving")
+    return tables.read_trips(spark, f"{base}/trips"), serving.read_serving(spark, f"{base}/serving")
 
 
 @query
 def gold_profile(spark, sf):
-    return quality.table_profile(_serving_from_state(spark, sf))
+    return quality.table_profile(_built(spark, sf)[1])
 
 
 @query
 def gold_reconcile(spark, sf):
-    return quality.reconcile(fx.trips(spark, sf), _serving_from_state(spark, sf))
+    return quality.reconcile(*_built(spark, sf))
 
 
 @query
 def gold_verdict(spark, sf):
-    report = quality.reconcile(fx.trips(spark, sf), _serving_from_state(spark, sf))
-    return quality.all_pass(report)
+    return quality.all_pass(quality.reconcile(*_built(spark, sf)))
 
 
 # ---------------------------------------------------------------- manifests
@@ -324,15 +326,33 @@ def period_manifest(spark, sf):
 
 @query
 def fingerprint(spark, sf):
-    rows = fx.order_files(spark, sf).select(
-        "source_period", "VendorID", "tpep_pickup_datetime", "fare_amount", "payment_type"
-    )
-    return manifest.fingerprints(rows, "source_period", portable=True)
+    """Over all columns of the files, in a form that SQL can repeat."""
+    return manifest.fingerprints(fx.order_files(spark, sf), "source_period", portable=True)
 
 
 @query
 def fingerprint_typed(spark, sf):
-    return manifest.fingerprints(fx.order_files(spark, sf), "source_period")
+    """Is the engine's own form the same for another layout, and does it see a
+    change of one column, or of one value moved to another column?"""
+    rows = fx.order_files(spark, sf)
+    one = manifest.fingerprints(rows, "source_period")
+
+    def against(other: DataFrame, name: str) -> DataFrame:
+        found = manifest.fingerprints(other, "source_period")
+        return found.select("source_period", F.col("fingerprint").alias(name))
+
+    moved = rows.withColumns({"extra": F.lit(None).cast("double"), "tip_amount": F.col("extra")})
+    return (
+        one.join(against(rows.repartition(5), "again"), "source_period")
+        .join(against(rows.withColumn("extra", F.col("extra") + 0.01), "changed"), "source_period")
+        .join(against(moved, "moved"), "source_period")
+        .select(
+            "source_period", "row_count",
+            (F.col("again") == F.col("fingerprint")).alias("same_for_other_layout"),
+            (F.col("changed") != F.col("fingerprint")).alias("sees_a_change"),
+            (F.col("moved") != F.col("fingerprint")).alias("sees_a_moved_value"),
+        )
+    )
 
 
 @query
@@ -343,12 +363,12 @@ def rebuild_plan(spark, sf):
         period_text(F.col("ts"), "day").alias("period"),
         F.dayofmonth("ts").alias("day"),
         F.dayofweek("ts").alias("weekday"),
-        "event_id",
-        "event_type",
+        *events.columns,
     )
-    current = manifest.fingerprints(rows.select("period", "event_id"), "period", portable=True)
+    whole = ("period", *events.columns)
+    current = manifest.fingerprints(rows.select(*whole), "period", portable=True)
     known = rows.filter("day <= 24 AND (day > 10 OR event_type != 'error')")
-    saved = manifest.fingerprints(known.select("period", "event_id"), "period", portable=True)
+    saved = manifest.fingerprints(known.select(*whole), "period", portable=True)
     outputs = rows.filter("day >= 4 AND weekday != 2").select("period").distinct()
     parents = rows.select(
         "period",
@@ -504,9 +524,29 @@ def sample_hash(spark, sf):
     return features.keyed_sample(events, "event_id", 0.05, SEED)
 
 
+@query
+def sample_independence(spark, sf):
+    """Samples of two seeds, and folds inside a sample, do not depend on each other."""
+    events = fx.table(spark, sf, "events").select("event_id")
+    folded = encoding.with_fold(events, "event_id", 5, SEED)
+    first = in_sample(F.col("event_id"), 0.5, SEED)
+    second = in_sample(F.col("event_id"), 0.5, SEED + 1)
+    return folded.groupBy("fold").agg(
+        F.count_if(first).alias("in_first"), F.count_if(second).alias("in_second"),
+        F.count_if(first & second).alias("in_both"),
+    )
+
+
 @query
 def sample_bernoulli(spark, sf):
-    return features.bernoulli_sample(_features(spark, sf), 0.05, SEED)
+    """A random share of the rows, near what was asked for; rows are whole."""
+    rows = _features(spark, sf)
+    share = rows.count() * 0.05
+    kept = features.bernoulli_sample(rows, 0.05, SEED)
+    return kept.agg(
+        F.count(F.lit(1)).between(share - 6 * share**0.5, share + 6 * share**0.5).alias("near"),
+        (F.count_distinct("event_id") == F.count(F.lit(1))).alias("each_once"),
+    )
 
 
 @query
@@ -532,18 +572,20 @@ def string_index(spark, sf):
 
 @query
 def one_hot_width(spark, sf):
-    """Length of each one-hot vector and the slot that is set, per category."""
-    from pyspark.ml.functions import vector_to_array
-
+    """Length of each one-hot vector and the slot that is set, per feature and category."""
     texts = encoding.with_category_text(_features(spark, sf))
     indexed = models.category_indexer().fit(texts).transform(texts)
     encoded = models.one_hot().fit(indexed).transform(indexed)
-    column = "pickup_location_id_ohe"
-    slots = encoded.select(
-        "pickup_location_id_cat", vector_to_array(column).alias("slots")
-    ).distinct()
+    cells = F.array(*[
+        F.struct(
+            F.lit(name).alias("feature"), F.col(f"{name}_cat").alias("category"),
+            vector_to_array(f"{name}_ohe").alias("slots"),
+        )
+        for name in features.CATEGORICAL
+    ])
+    slots = encoded.select(F.explode(cells).alias("c")).select("c.*").distinct()
     return slots.select(
-        "pickup_location_id_cat",
+        "feature", "category",
         F.size("slots").alias("width"),
         (F.array_position("slots", 1.0) - 1).cast("int").alias("slot"),
     )
@@ -604,17 +646,52 @@ def best_model(spark, sf):
     return regression.best_model(_scores(spark, sf))
 
 
+def _fares(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Model rows whose label follows distance and duration, so that models can learn."""
+    rows = _features(spark, sf).withColumn(
+        "label", 3.0 + 2.5 * F.col("trip_distance") + 0.2 * F.col("pickup_hour")
+    )
+    return features.split_by_period(rows, TEST_DAY)
+
+
 @query
 def model_comparison(spark, sf):
-    train, test = features.split_by_period(_features(spark, sf), TEST_DAY)
-    return models.compare_models(train, test, models.chosen_models("linear,rf,gbt")).scores
+    """Every model, and whether it is better than the mean where there is a signal."""
+    scores = models.compare_models(
+        *_fares(spark, sf), models.chosen_models("linear,rf,gbt")
+    ).scores
+    base = scores.filter(F.col("model") == regression.BASELINE).agg(F.max("rmse")).scalar()
+    return scores.select(
+        "model", (F.col("rmse") < base).alias("beats_the_mean"),
+        (F.col("mae") <= F.col("rmse")).alias("errors_in_order"),
+    )
+
+
+@query
+def linear_fit(spark, sf):
+    """Least squares with one input, held against the closed form."""
+    train, _ = features.split_by_period(_features(spark, sf), TEST_DAY)
+    rows = VectorAssembler(inputCols=["trip_distance"], outputCol="features").transform(train)
+    fitted = LinearRegression(labelCol="label", regParam=0.0, solver="normal").fit(rows)
+    return spark.range(1).select(
+        F.round(F.lit(float(fitted.coefficients[0])), 6).alias("slope"),
+        F.round(F.lit(float(fitted.intercept)), 6).alias("intercept"),
+    )
 
 
 @query
 def encoded_boosting(spark, sf):
-    train, test = features.split_by_period(_features(spark, sf), TEST_DAY)
-    fitted = models.fit_encoded_boosting(train, "event_id")
-    return models.prediction_columns(models.predict_encoded(fitted, test))
+    """Every test row is predicted, by more than a few trees, better than the mean."""
+    train, test = _fares(spark, sf)
+    fitted = models.fit_encoded_boosting(train, "event_id", iterations=40)
+    predicted = models.predict_encoded(fitted, test)
+    base = regression.regression_metrics(regression.predict_mean(train, test))
+    return predicted.agg(
+        F.count("prediction").alias("predicted"),
+        (F.sqrt(F.avg((F.col("prediction") - F.col("label")) ** 2)) < base.select("rmse").scalar())
+        .alias("beats_the_mean"),
+        F.lit(fitted.trees > 10).alias("many_trees"),
+    )
 
 
 def _planned(spark, sf) -> DataFrame:
@@ -647,4 +724,6 @@ def score_features(spark, sf):
 def batch_score(spark, sf):
     train, _ = features.split_by_period(_features(spark, sf), TEST_DAY)
     model = models.fit_model(train, "gbt", SEED)
-    return scoring.score_trips(model, _planned(spark, sf))
+    return scoring.score_trips(model, _planned(spark, sf)).select(
+        "event_id", "valid", "failed_rule", F.col("prediction").isNotNull().alias("predicted")
+    )

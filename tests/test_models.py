@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from statistics import fmean, pvariance
 
 import pytest
@@ -12,6 +11,7 @@ from triplake.__main__ import main
 from triplake.operators import encoding, features, models, regression, scoring
 from triplake.operators.canonical import batch_to_canonical
 from triplake.operators.cleaning import with_calendar
+from triplake.plans import duration
 
 
 def random_dataset(spark, n=800):
@@ -63,7 +63,11 @@ def test_samples(spark):
     ids = spark.range(10_000).withColumnRenamed("id", "k")
     kept = {r.k for r in features.keyed_sample(ids, "k", 0.05, 42).collect()}
     again = {r.k for r in features.keyed_sample(ids.repartition(7), "k", 0.05, 42).collect()}
-    assert kept == again and len(kept) == 500
+    assert kept == again and 400 < len(kept) < 600
+    other = {r.k for r in features.keyed_sample(ids, "k", 0.05, 43).collect()}
+    assert len(kept & other) < 60
+    folds = encoding.with_fold(features.keyed_sample(ids, "k", 0.5, 42), "k", 5, 42)
+    assert all(850 < r["count"] < 1150 for r in folds.groupBy("fold").count().collect())
     assert 300 < features.bernoulli_sample(ids, 0.05, 42).count() < 700
     for bad in (0, 1.5, -1):
         with pytest.raises(ValueError):
@@ -155,6 +159,72 @@ def test_scoring_keeps_rejected_rows_with_a_reason(spark):
     assert all((r.prediction is not None) == r.valid for r in rows.values())
 
 
+def test_encoded_boosting_goes_on_while_it_learns(spark, tmp_path):
+    base = random_dataset(spark, 3000).withColumn(
+        "label", 3 * F.col("trip_distance") + F.sin(F.col("pickup_hour")) * 9 + F.col("dropoff_location_id")
+    )
+    for name, part in (("train", "row_id % 5 <> 0"), ("test", "row_id % 5 = 0")):
+        base.filter(part).drop("row_id").write.parquet(f"{tmp_path}/{name}")
+    scores = duration.train_encoded(spark, str(tmp_path), f"{tmp_path}/model", iterations=30).first()
+    assert scores.trees == 30 and scores.training_rows == 2400 and scores.r2 > 0.8
+    test = spark.read.parquet(f"{tmp_path}/test")
+    one = duration.predict_with_encoded(spark, f"{tmp_path}/model", test, f"{tmp_path}/out")
+    again = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(map(str, one.collect())) == sorted(map(str, again.collect()))
+    assert again.filter("prediction IS NOT NULL").count() == 600
+
+
+def test_forest_learns(spark):
+    data = random_dataset(spark)
+    model = models.fit_model(data, "rf")
+    predicted = model.transform(encoding.with_category_text(data))
+    assert regression.regression_metrics(predicted).first().r2 > 0.5
+
+
+def test_dataset_does_not_depend_on_layout(spark, file_rows, tmp_path):
+    rows = file_rows(*[
+        {"tpep_pickup_datetime": f"2025-{11 + i % 2}-{1 + i % 28:02d} {i % 24:02d}:00:00",
+         "tpep_dropoff_datetime": f"2025-{11 + i % 2}-{1 + i % 28:02d} {i % 24:02d}:{5 + i % 50:02d}:00",
+         "PULocationID": 1 + i % 30, "trip_distance": 1 + i / 50} for i in range(400)
+    ])
+    period = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    trips = with_calendar(batch_to_canonical(rows, period, wall_clock=True))
+    found = []
+    for parts in (1, 7):
+        path = f"{tmp_path}/trips{parts}"
+        trips.repartition(parts).write.parquet(path)
+        duration.build_dataset(spark, path, f"{tmp_path}/ml{parts}", "2025-12", 0.3, 0.5)
+        found.append([
+            sorted(map(str, spark.read.parquet(f"{tmp_path}/ml{parts}/{n}").collect()))
+            for n in ("train", "test")
+        ])
+    assert found[0] == found[1] and 30 < len(found[0][0]) < 90
+
+
+def test_a_full_build_forgets_vanished_periods(spark, file_rows, tmp_path):
+    from triplake.plans import serving
+    from triplake.sources.tables import write_periods
+
+    def trips(*months):
+        rows = file_rows(*[
+            {"tpep_pickup_datetime": f"2025-{m}-05 08:00:00", "tpep_dropoff_datetime": f"2025-{m}-05 08:20:00"}
+            for m in months
+        ])
+        period = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+        canonical = with_calendar(batch_to_canonical(rows, period, wall_clock=True))
+        return canonical.withColumns({
+            f"{end}_{c}": F.lit("z") for end in ("pickup", "dropoff") for c in ("zone", "borough", "service_zone")
+        })
+
+    write_periods(trips("10", "11"), f"{tmp_path}/trips", whole=True)
+    serving.build_serving(spark, f"{tmp_path}/trips", f"{tmp_path}/gold")
+    write_periods(trips("11"), f"{tmp_path}/trips", whole=True)
+    serving.build_serving(spark, f"{tmp_path}/trips", f"{tmp_path}/gold")
+    months = {r.pickup_month for t in serving.read_serving(spark, f"{tmp_path}/gold").values() for r in t.collect()}
+    assert months == {11}
+    assert serving.check_serving(spark, f"{tmp_path}/trips", f"{tmp_path}/gold")[1]
+
+
 def test_all_jobs_end_to_end(spark, file_rows, tmp_path, capsys):
     """Land, stream, build, check, export, train and predict by command line."""
     from test_tables import ZONE_FILE, write_file
@@ -204,8 +274,11 @@ def test_all_jobs_end_to_end(spark, file_rows, tmp_path, capsys):
         p / "scores", "--predictions", p / "predictions", "--models", "linear")
     tested = spark.read.parquet(str(p / "ml/test"))
     assert spark.read.parquet(str(p / "predictions")).count() == tested.count() > 0
-    info = next((p / "models/best_model_info").glob("part-*.json")).read_text()
-    assert json.loads(info)["best_model"] == "linear"
+    assert len(list((p / "models/best_model_info").glob("part-*.json"))) == 1
+    assert spark.read.json(str(p / "models/best_model_info")).first().best_model == "linear"
+    job("train-encoded", "--dataset", p / "ml", "--target", p / "encoded", "--iterations", 3)
+    job("predict-encoded", "--model", p / "encoded", "--inputs", p / "ml/test", "--target", p / "enc_out")
+    assert spark.read.parquet(str(p / "enc_out")).count() == tested.count()
     tested.withColumn("pickup_day_of_week", F.lit("Monday")).write.parquet(str(p / "planned"))
     job("predict", "--models-base", p / "models", "--inputs", p / "planned", "--target",
         p / "scored")

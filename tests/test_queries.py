@@ -35,9 +35,3 @@ def test_query_equals_sql(spark, duck, name):
 @needs_data
 def test_flagship(spark):
     assert "trip_count" in entry(spark).columns
-
-
-@needs_data
-@pytest.mark.parametrize("name", ["fingerprint_typed", "sample_bernoulli"])
-def test_rows_only(spark, name):
-    assert queries()[name](spark, DATA).columns

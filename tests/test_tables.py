@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from triplake.operators import dashboard, enrich, manifest, metrics, quality
+from triplake.functions import exact
+from triplake.operators import cleaning, dashboard, enrich, manifest, metrics, quality
 from triplake.operators.canonical import batch_to_canonical
 from triplake.plans.trips import gather_sources, trip_table
 from triplake.sources import bronze, folders, messages, tables
@@ -96,12 +97,13 @@ def test_zone_file(spark, tmp_path):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_join_with_hot_and_null_keys(spark, how):
+def test_lookup_join_with_hot_and_null_keys(spark, setting, how):
     keys = [1] * 4000 + [None] * 3000 + list(range(2, 3000)) + [999_999]
     rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, key int")
     lookup = spark.createDataFrame([(k, f"v{k}") for k in range(2500)], "k int, v string")
     small = enrich.lookup_join(rows, lookup, "key", "k", how)
-    large = enrich.lookup_join(rows, lookup, "key", "k", how, limit_bytes=0)
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    large = enrich.lookup_join(rows, lookup, "key", "k", how)
     assert "k" not in large.columns
     expected = {
         (i, k, f"v{k}" if k is not None and k < 2500 else None) for i, k in enumerate(keys)
@@ -113,19 +115,6 @@ def test_lookup_join_with_hot_and_null_keys(spark, how):
         assert len(got) == len(expected) and set(got) == expected
 
 
-def test_size_checks(spark, tmp_path):
-    path = str(tmp_path / "lookup")
-    spark.range(1000).selectExpr("id k", "repeat('x', 84) v").write.parquet(path)
-    scan = spark.read.parquet(path)
-    assert enrich.measured_bytes(scan) == 1000 * (8 + 100)
-    assert 0 < enrich.scan_bytes(scan.select("k")) <= enrich.scan_bytes(scan)
-    assert enrich.scan_bytes(scan.groupBy("k").count()) is None
-    assert enrich.fits_broadcast(scan, 108_000) and not enrich.fits_broadcast(scan, 107_999)
-    assert not enrich.fits_broadcast(scan, 10)
-    plan = enrich.lookup_join(spark.range(9), scan, "id", "k")
-    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()
-
-
 def zones_of(spark):
     return spark.createDataFrame(
         [(10, "B1", "Z10", "S"), (20, "B2", "Z20", "S")],
@@ -214,7 +203,7 @@ def test_state_rolls_up_to_the_same_tables(spark, file_rows):
 
 def test_reports_on_empty_input(spark, file_rows):
     empty = batch_to_canonical(file_rows({}), "2024-01", True).limit(0)
-    loss = quality.cleaning_loss(empty, empty).first()
+    loss = quality.cleaning_loss(empty, cleaning.usable()).first()
     assert (loss.bronze_rows, loss.removed, loss.removed_pct) == (0, 0, 0.0)
 
 
@@ -226,6 +215,30 @@ def test_fingerprint_ignores_order_and_sees_duplicates(spark):
     assert manifest.fingerprints(make(rows + rows[:2], 3), "p").first().fingerprint != one.fingerprint
 
 
+@pytest.mark.parametrize("portable", [False, True])
+def test_fingerprints_do_not_collide(spark, portable):
+    def of(*values, kinds="x double, y double, s string, t string"):
+        names = [k.split()[0] for k in kinds.split(", ")]
+        df = spark.createDataFrame([("p", *values)], "p string, " + kinds)
+        return manifest.fingerprints(df.select("p", *names), "p", portable).first().fingerprint
+
+    rows = [
+        (1.0, None, "a", "b"), (None, 1.0, "a", "b"), (None, None, "a", "b"),
+        (float("nan"), None, "a", "b"), (1e300, None, "a", "b"), (float("inf"), None, "a", "b"),
+        (1.0, None, "a|b", "c"), (1.0, None, "a", "b|c"), (1.00000001, None, "a", "b"),
+        (1.0, None, "a", None), (1.0, None, "~", "b"), (-1.0, None, "a", "b"),
+        (1.0 + 2**-50, None, "a", "b"),
+    ]
+    assert len({of(*r) for r in rows}) == len(rows)
+
+
+def test_exact_sums_hold_any_size(spark):
+    rows = spark.range(0, 1_000_000, 1, 8).select(F.lit(9.9e8).alias("x"))
+    assert rows.agg(exact.exact_sum(F.col("x"), exact.MONEY_STEPS)).first()[0] == 9.9e14
+    odd = spark.createDataFrame([(0.1,), (0.2,), (None,), (1e300,), (-1e300,)], "x double")
+    assert odd.agg(exact.exact_sum(F.col("x"), exact.MONEY_STEPS)).first()[0] == pytest.approx(0.3)
+
+
 def test_rebuild_decisions(spark):
     frame = lambda rows, s: spark.createDataFrame(rows, s)
     current = frame([(p, "1") for p in "abcdefg"], "period string, fingerprint string")

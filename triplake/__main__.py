@@ -76,6 +76,17 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--models", default="linear,rf,gbt")
     job.add_argument("--seed", type=int, default=duration.SEED)
 
+    job = jobs.add_parser("train-encoded", help="boosted model on target encodings")
+    job.add_argument("--dataset", required=True)
+    job.add_argument("--target", required=True)
+    job.add_argument("--iterations", type=int, default=250)
+    job.add_argument("--seed", type=int, default=duration.SEED)
+
+    job = jobs.add_parser("predict-encoded", help="predict feature rows with that model")
+    job.add_argument("--model", required=True)
+    job.add_argument("--inputs", required=True)
+    job.add_argument("--target", required=True)
+
     job = jobs.add_parser("predict", help="score a table of planned trips")
     job.add_argument("--models-base", required=True)
     job.add_argument("--inputs", required=True)
@@ -168,6 +179,14 @@ def _run(spark, args) -> int:
             args.models,
             args.seed,
         ).show(truncate=False)
+    elif args.job == "train-encoded":
+        duration.train_encoded(
+            spark, args.dataset, args.target, args.iterations, args.seed
+        ).show(truncate=False)
+    elif args.job == "predict-encoded":
+        duration.predict_with_encoded(
+            spark, args.model, spark.read.parquet(args.inputs), args.target
+        )
     elif args.job == "predict":
         duration.predict_table(
             spark, args.models_base, spark.read.parquet(args.inputs), args.target

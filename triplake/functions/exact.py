@@ -1,10 +1,11 @@
 """Sums that do not depend on the order in which tasks finish.
 
 Money, miles and minutes sit on a grid: cents, hundredths of a mile, whole
-seconds. Each value is counted in grid steps as a long, and what is left over
+seconds. Each value is counted in grid steps as a decimal, and what is left over
 is summed beside it as a double. For values on the grid the rest is exactly
-zero, so the sum is exact and every run gives the same bits. Values off the
-grid, NaN and infinities pass through the rest, as in a plain sum.
+zero, so the sum is exact and every run gives the same bits, whatever the size
+of the values or their number. Values off the grid, NaN, infinities and values
+beyond 28 digits pass through the rest, as in a plain sum.
 """
 
 from __future__ import annotations
@@ -17,13 +18,12 @@ MONEY_STEPS = 10_000
 MINUTE_STEPS = 60
 COUNT_STEPS = 1
 
-# Beyond this the step count could overflow a sum over a hot group.
-_GRID_LIMIT = 1e9
+# Ten digits are left for the number of values in a sum.
+_STEPS = "decimal(28,0)"
 
 
 def steps(value: Column, per_unit: int) -> Column:
-    inside = F.abs(value) < F.lit(_GRID_LIMIT)
-    return F.when(inside, F.round(value * F.lit(float(per_unit))).cast("bigint"))
+    return F.round(value * F.lit(float(per_unit))).try_cast(_STEPS)
 
 
 def step_sum(value: Column, per_unit: int) -> Column:
@@ -31,8 +31,8 @@ def step_sum(value: Column, per_unit: int) -> Column:
 
 
 def rest_sum(value: Column, per_unit: int) -> Column:
-    on_grid = F.coalesce(steps(value, per_unit), F.lit(0)) / F.lit(float(per_unit))
-    return F.sum(value - on_grid)
+    on_grid = F.coalesce(steps(value, per_unit).cast("double"), F.lit(0.0))
+    return F.sum(value - on_grid / F.lit(float(per_unit)))
 
 
 def joined_sum(step_total: Column, rest_total: Column, per_unit: int) -> Column:

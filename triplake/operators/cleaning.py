@@ -19,7 +19,8 @@ def usable(period: str = "source_year_month", period_unit: str = "month") -> Col
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
 
     def absent_or_at_least_zero(name: str) -> Column:
-        return F.coalesce(F.col(name) >= 0, F.lit(True))
+        # In this form the scan can use it, too.
+        return F.col(name).isNull() | (F.col(name) >= 0)
 
     rules = [
         pickup.isNotNull(),

@@ -110,8 +110,8 @@ def weekday_by_hour(hourly: DataFrame) -> DataFrame:
     week = hourly.sparkSession.createDataFrame(
         [(name,) for name in DAY_NAMES], "pickup_day_of_week string"
     )
-    # Seven rows at most on either side.
-    return F.broadcast(week).join(cells, "pickup_day_of_week", "left").orderBy(
+    # One row for each name of a weekday.
+    return week.join(F.broadcast(cells), "pickup_day_of_week", "left").orderBy(
         day_number_from_monday(F.col("pickup_day_of_week"))
     )
 

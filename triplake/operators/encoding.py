@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from triplake.functions.exact import MINUTE_STEPS, exact_sum
 from triplake.functions.hashing import HASH_BUCKETS, key_bucket
-from triplake.operators.enrich import lookup_join, measured_bytes
 from triplake.operators.features import CATEGORICAL, LABEL
+from triplake.sources.tables import stored
 
 
 def with_category_text(df: DataFrame) -> DataFrame:
@@ -16,8 +16,9 @@ def with_category_text(df: DataFrame) -> DataFrame:
 
 
 def with_fold(df: DataFrame, key: str, folds: int = 5, seed: int = 42) -> DataFrame:
-    """Assign each row to a fold by its integer key."""
-    fold = F.floor(key_bucket(F.col(key), seed) * F.lit(folds) / F.lit(HASH_BUCKETS))
+    """Assign each row to a fold by its key, independently of any sampling."""
+    bucket = key_bucket(F.col(key), seed, f"fold of {folds}")
+    fold = F.floor(bucket * F.lit(folds) / F.lit(HASH_BUCKETS))
     return df.withColumn("fold", fold.cast("int"))
 
 
@@ -58,12 +59,12 @@ def encoding_table(
         .groupBy("feature", "category", "fold")
         .agg(
             F.count("y").alias("n"),
-            F.sum("y").alias("s"),
-            F.sum(F.col("y") * F.col("y")).alias("ss"),
+            exact_sum(F.col("y"), MINUTE_STEPS).alias("s"),
+            exact_sum(F.col("y") * F.col("y"), MINUTE_STEPS * MINUTE_STEPS).alias("ss"),
         )
     )
-    # Kept for the steps below, so that trips are not read again.
-    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    # Written for the steps below, so that trips are not read again.
+    cells = stored(cells, "encoding-cells")
     sums = ("n", "s", "ss")
 
     def total(rows: DataFrame, prefix: str, *keys: str, source: str = "") -> DataFrame:
@@ -115,25 +116,21 @@ def encode(
 ) -> DataFrame:
     """Add ``<column>_te``. Training rows use their own fold's encodings.
 
-    The table is small (one row per category and fold), so it is computed once
-    and kept while the four lookups use it.
+    ``table`` is best a stored one: it is small (one row per category and fold),
+    and each column takes its lookup from it.
     """
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
-    size = measured_bytes(table)
     result = df
     for column in columns:
         rows = table.filter(F.col("feature") == column)
         prior = rows.filter(F.col("category").isNull()).agg(F.max("encoding")).scalar()
         wanted = F.col("fold").isNotNull() if out_of_fold else F.col("fold").isNull()
-        parts = ["category", "fold"] if out_of_fold else ["category"]
         lookup = rows.filter(wanted & F.col("category").isNotNull()).select(
-            F.concat_ws("#", *parts).alias("_te_key"),
+            F.col("category").alias("_category"), F.col("fold").alias("_fold"),
             F.col("encoding").alias(f"{column}_te"),
         )
-        own = [F.col(column).cast("string")] + ([F.col("fold")] if out_of_fold else [])
-        keyed = result.withColumn("_row_key", F.concat_ws("#", *own))
-        joined = lookup_join(keyed, lookup, "_row_key", "_te_key", known_bytes=size)
-        result = joined.drop("_row_key").withColumn(
-            f"{column}_te", F.coalesce(f"{column}_te", prior)
-        )
+        same = F.col(column).cast("string") == F.col("_category")
+        if out_of_fold:
+            same = same & (F.col("fold") == F.col("_fold"))
+        joined = result.join(lookup, same, "left").drop("_category", "_fold")
+        result = joined.withColumn(f"{column}_te", F.coalesce(f"{column}_te", prior))
     return result

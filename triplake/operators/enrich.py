@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from triplake.functions.casts import text_to_long
 from triplake.schemas import ZONE_FILE_COLUMNS
 
-# A dimension is broadcast only when it was measured to be at most this large.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-# Files this many times larger are not read just to be measured.
-FAR_TOO_LARGE = 16
-
-# A key with more than 1/HOT_KEYS of all rows is hot; there are fewer than
-# HOT_KEYS of them, whatever the data.
-HOT_KEYS = 1000
-
 
 def zones_from_file_rows(rows: DataFrame) -> DataFrame:
     """Check and rename the columns of the zone file; one row per id."""
@@ -45,78 +34,21 @@ def one_row_per_zone(zones: DataFrame) -> DataFrame:
     )
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows, by one distributed aggregate."""
-
-    def width(field: T.StructField) -> Column:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + F.lit(16)
-        return F.lit(8)
-
-    total = sum((width(f).cast("bigint") for f in df.schema), F.lit(0).cast("bigint"))
-    return df.agg(F.sum(total).alias("bytes")).first()["bytes"] or 0
-
-
-def scan_bytes(df: DataFrame) -> int | None:
-    """File size behind a plain scan, known without reading it; else None."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    node = plan
-    while node.nodeName() == "Project":
-        node = node.children().head()
-    if node.nodeName() != "LogicalRelation":
-        return None
-    return int(str(plan.stats().sizeInBytes()))
-
-
-def fits_broadcast(lookup: DataFrame, limit_bytes: int) -> bool:
-    """Measure the rows, unless the files alone are far too large."""
-    on_disk = scan_bytes(lookup)
-    if on_disk is not None and on_disk > FAR_TOO_LARGE * limit_bytes:
-        return False
-    return measured_bytes(lookup) <= limit_bytes
-
-
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    row_key: str,
-    lookup_key: str,
-    how: str = "left",
-    limit_bytes: int = BROADCAST_LIMIT_BYTES,
-    known_bytes: int | None = None,
+    rows: DataFrame, lookup: DataFrame, row_key: str, lookup_key: str, how: str = "left"
 ) -> DataFrame:
-    """Join rows to a table with one row per key, whatever the key skew.
+    """Join rows to a table with one row per key; ``lookup_key`` is dropped.
 
-    A small lookup is broadcast. For a larger one, rows with a hot or NULL key
-    meet the few lookup rows of the hot keys by broadcast, and only the rest is
-    shuffled. ``lookup_key`` is dropped from the result. ``known_bytes`` passes
-    on a size that was measured before.
+    Spark broadcasts the lookup when its statistics, or its size once shuffled,
+    are below spark.sql.autoBroadcastJoinThreshold, and splits hot keys of a
+    larger join at run time.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
-    matched = F.col(row_key) == F.col(lookup_key)
-    if known_bytes is None:
-        small = fits_broadcast(lookup, limit_bytes)
-    else:
-        small = known_bytes <= limit_bytes
-    if small:
-        return rows.join(F.broadcast(lookup), matched, how).drop(lookup_key)
+    return rows.join(lookup, F.col(row_key) == F.col(lookup_key), how).drop(lookup_key)
 
-    per_key = rows.filter(F.col(row_key).isNotNull()).groupBy(row_key).count()
-    share = rows.count() / HOT_KEYS
-    hot = [row[0] for row in per_key.filter(F.col("count") > share).collect()]
-    is_hot = F.col(row_key).isNull() | F.col(row_key).isin(hot)
-    hot_rows, other_rows = rows.filter(is_hot), rows.filter(~is_hot)
-    # One lookup row per key, so this side has fewer than HOT_KEYS rows.
-    hot_lookup = lookup.filter(F.col(lookup_key).isin(hot))
-    joined_hot = hot_rows.join(F.broadcast(hot_lookup), matched, how)
-    joined_rest = other_rows.join(lookup, matched, how)
-    return joined_hot.unionByName(joined_rest).drop(lookup_key)
 
-
-def with_zone(
-    trips: DataFrame, zones: DataFrame, role: str, known_bytes: int | None = None
-) -> DataFrame:
+def with_zone(trips: DataFrame, zones: DataFrame, role: str) -> DataFrame:
     """Add zone, borough and service zone of one end of the trip."""
     key = f"_{role}_zone_id"
     named = zones.select(
@@ -125,13 +57,9 @@ def with_zone(
         F.col("borough").alias(f"{role}_borough"),
         F.col("service_zone").alias(f"{role}_service_zone"),
     )
-    return lookup_join(
-        trips, named, f"{role}_location_id", key, "left", known_bytes=known_bytes
-    )
+    return lookup_join(trips, named, f"{role}_location_id", key)
 
 
 def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """Add the zones of both ends; the dimension is measured once."""
-    size = measured_bytes(zones)
-    at_pickup = with_zone(trips, zones, "pickup", size)
-    return with_zone(at_pickup, zones, "dropoff", size)
+    """Add the zones of both ends."""
+    return with_zone(with_zone(trips, zones, "pickup"), zones, "dropoff")

@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.operators.encoding import encode, encoding_table, with_category_text, with_fold
@@ -22,12 +22,14 @@ from triplake.operators.regression import (
     regression_metrics,
 )
 from triplake.schemas import BEST_MODEL_SCHEMA, MODEL_SCORE_SCHEMA
+from triplake.sources.tables import stored, write_whole
 
 TEXTS = [f"{c}_cat" for c in CATEGORICAL]
 INDEXES = [f"{c}_idx" for c in CATEGORICAL]
 ONE_HOTS = [f"{c}_ohe" for c in CATEGORICAL]
 ENCODED = [f"{c}_te" for c in CATEGORICAL]
 
+# Columns of a stored prediction.
 PREDICTION_COLUMNS = (
     "pickup_location_id",
     "dropoff_location_id",
@@ -154,6 +156,18 @@ class EncodedModel(NamedTuple):
     model: PipelineModel
     encodings: DataFrame
 
+    @property
+    def trees(self) -> int:
+        return self.model.stages[-1].getNumTrees
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/model")
+        write_whole(self.encodings, f"{path}/encodings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> EncodedModel:
+        return cls(PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/encodings"))
+
 
 def fit_encoded_boosting(
     train: DataFrame, key: str, iterations: int = 250, seed: int = 42
@@ -161,11 +175,12 @@ def fit_encoded_boosting(
     """Boosting on target-encoded categories.
 
     Training rows are encoded out of fold. A tenth of them, by key, is held out
-    to stop early. Spark trees have a depth limit where the portable model has a
+    to stop early, at the first tree that does not help; the portable model waits
+    20 trees longer. Spark trees have a depth limit where the portable model has a
     leaf limit (31 leaves, about depth 5), and no L2 penalty on leaves.
     """
     folded = with_fold(train, key, folds=5, seed=seed)
-    table = encoding_table(folded).persist(StorageLevel.MEMORY_AND_DISK)
+    table = stored(encoding_table(folded), "encodings")
     encoded = encode(folded, table, out_of_fold=True)
     held_out = with_fold(encoded.drop("fold"), key, folds=10, seed=seed + 1)
     ready = held_out.withColumn("is_validation", F.col("fold") == 0)
@@ -173,6 +188,8 @@ def fit_encoded_boosting(
     regressor = GBTRegressor(
         labelCol=LABEL, maxIter=iterations, maxDepth=5, maxBins=255, stepSize=0.08,
         minInstancesPerNode=40, validationIndicatorCol="is_validation", seed=seed,
+        # Training goes on as long as the held-out error falls at all.
+        validationTol=1e-9,
     )
     try:
         model = Pipeline(stages=[_assemble(ENCODED), regressor]).fit(ready)

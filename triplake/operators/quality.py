@@ -47,11 +47,14 @@ def enrichment_gaps(trips: DataFrame) -> DataFrame:
     return trips.agg(*nulls, *unknown)
 
 
-def cleaning_loss(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before and after cleaning, removed rows and percent (0 for no rows)."""
-    bronze = F.count(F.lit(1)).alias("bronze_rows")
-    silver = after.agg(F.count(F.lit(1))).scalar().alias("silver_rows")
-    counted = before.agg(bronze).select("bronze_rows", silver)
+def cleaning_loss(before: DataFrame, kept: Column) -> DataFrame:
+    """Rows before and after cleaning, removed rows and percent (0 for no rows).
+
+    ``kept`` is the cleaning condition; the rows are read once.
+    """
+    counted = before.agg(
+        F.count(F.lit(1)).alias("bronze_rows"), F.count_if(kept).alias("silver_rows")
+    )
     removed = F.col("bronze_rows") - F.col("silver_rows")
     share = F.when(F.col("bronze_rows") > 0, removed / F.col("bronze_rows") * 100.0)
     return counted.select(

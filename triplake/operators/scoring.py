@@ -64,12 +64,15 @@ def scoring_features(inputs: DataFrame) -> DataFrame:
 def score_trips(model: PipelineModel, inputs: DataFrame) -> DataFrame:
     """Predict valid rows; invalid rows are kept with a reason and no prediction."""
     checked = with_validity(inputs)
-    valid = checked.filter("valid")
-    scored = model.transform(with_category_text(scoring_features(valid)))
-    # A valid value fits the type it came with, so casting back loses nothing.
-    original = [F.col(f.name).cast(f.dataType).alias(f.name) for f in checked.schema]
-    prediction = F.col("prediction").cast("double").alias("prediction")
-    rejected = checked.filter("NOT valid").withColumn(
-        "prediction", F.lit(None).cast("double")
-    )
-    return scored.select(*original, prediction).unionByName(rejected)
+    # Rejected rows take the least allowed inputs through the model, so that one
+    # pass serves all rows; what is predicted for them is dropped.
+    least = {name: bounds[0] for name, bounds in INPUT_RANGES.items()}
+    allowed = {
+        name: F.when(F.col("valid"), F.col(name)).otherwise(F.lit(value))
+        for name, value in {**least, "pickup_day_of_week": DAY_NAMES[0]}.items()
+    }
+    row = F.struct(*[F.col(f"`{c}`") for c in checked.columns]).alias("_row")
+    ready = checked.select(row, *[c.alias(n) for n, c in allowed.items()], "valid")
+    scored = model.transform(with_category_text(scoring_features(ready)))
+    prediction = F.when(F.col("_row.valid"), F.col("prediction").cast("double"))
+    return scored.select("_row.*", prediction.alias("prediction"))

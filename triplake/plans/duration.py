@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triplake.functions.hashing import row_hash
 from triplake.operators.encoding import with_category_text
 from triplake.operators.features import (
-    bernoulli_sample,
     duration_features,
+    keyed_sample,
     label_stats,
     require_dataset_columns,
     split_by_period,
 )
-from triplake.operators.models import chosen_models, compare_models, prediction_columns
+from triplake.operators.models import (
+    EncodedModel,
+    chosen_models,
+    compare_models,
+    fit_encoded_boosting,
+    predict_encoded,
+    prediction_columns,
+)
+from triplake.operators.regression import regression_metrics
 from triplake.operators.scoring import score_trips
 from triplake.schemas import BEST_MODEL_SCHEMA
 from triplake.sources.tables import write_whole
@@ -35,10 +46,12 @@ def build_dataset(
     seed: int = SEED,
 ) -> DataFrame:
     """Write ``train`` and ``test`` and return their label statistics."""
-    features = duration_features(spark.read.parquet(trips_path))
-    train, test = split_by_period(features, test_period)
-    write_whole(bernoulli_sample(train, train_fraction, seed), f"{base}/train")
-    write_whole(bernoulli_sample(test, test_fraction, seed), f"{base}/test")
+    trips = spark.read.parquet(trips_path)
+    # A key from the row's content: the sample does not depend on files or splits.
+    keyed = trips.withColumn("_key", row_hash(trips))
+    train, test = split_by_period(duration_features(keyed, keep=("_key",)), test_period)
+    for name, part, share in (("train", train, train_fraction), ("test", test, test_fraction)):
+        write_whole(keyed_sample(part, "_key", share, seed).drop("_key"), f"{base}/{name}")
     parts = []
     for name in ("train", "test"):
         saved = spark.read.parquet(f"{base}/{name}")
@@ -70,7 +83,8 @@ def train_models(
     test = require_dataset_columns(spark.read.parquet(f"{dataset_base}/test"))
     result = compare_models(train, test, names, seed, model_base)
     write_whole(result.scores, scores_path)
-    result.best.write.mode("overwrite").json(f"{model_base}/best_model_info")
+    # One row, one file.
+    result.best.coalesce(1).write.mode("overwrite").json(f"{model_base}/best_model_info")
     if names:
         best = load_best_model(spark, model_base)
         predicted = best.transform(with_category_text(test))
@@ -93,3 +107,43 @@ def predict_table(
     if target is not None:
         write_whole(scored, target)
     return scored
+
+
+def train_encoded(
+    spark: SparkSession,
+    dataset_base: str,
+    target: str,
+    iterations: int = 250,
+    seed: int = SEED,
+) -> DataFrame:
+    """Train the boosted model on target encodings, save both, and score it.
+
+    Returns, and stores as one JSON file, rows, seconds, trees and errors.
+    """
+    train = require_dataset_columns(spark.read.parquet(f"{dataset_base}/train"))
+    test = require_dataset_columns(spark.read.parquet(f"{dataset_base}/test"))
+    started = time.monotonic()
+    # Rows alike share a fold, so none is encoded with the help of its copy.
+    fitted = fit_encoded_boosting(
+        train.withColumn("_key", row_hash(train)), "_key", iterations, seed
+    )
+    seconds = time.monotonic() - started
+    fitted.save(target)
+    scores = regression_metrics(predict_encoded(EncodedModel.load(spark, target), test))
+    result = scores.select(
+        F.lit(train.count()).alias("training_rows"), F.lit(test.count()).alias("test_rows"),
+        F.lit(seconds).alias("training_seconds"), F.lit(fitted.trees).alias("trees"),
+        "mae", "rmse", "r2",
+    )
+    result.coalesce(1).write.mode("overwrite").json(f"{target}/metrics")
+    return spark.read.json(f"{target}/metrics")
+
+
+def predict_with_encoded(
+    spark: SparkSession, model_path: str, inputs: DataFrame, target: str | None = None
+) -> DataFrame:
+    """Predict feature rows with the saved model and encodings."""
+    predicted = prediction_columns(predict_encoded(EncodedModel.load(spark, model_path), inputs))
+    if target is not None:
+        write_whole(predicted, target)
+    return predicted

@@ -1,20 +1,13 @@
-"""The four serving tables from one scan of the trip table."""
+"""The four serving tables from the trip table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from triplake.operators.metrics import (
-    metric_state,
-    serving_table_from_state,
-    serving_tables,
-)
+from triplake.operators.metrics import serving_table, serving_tables
 from triplake.operators.quality import all_pass, reconcile
 from triplake.sources.tables import read_trips, write_periods, write_whole
 
-STATE_TABLE = "_metric_state"
-
-
 def build_serving(
     spark: SparkSession,
     trips_path: str,
@@ -23,20 +16,17 @@ def build_serving(
     month: int | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Aggregate the trips once to a stored state and roll the tables up from it.
+    """Aggregate the trips to each table, reading the columns it needs.
 
-    The state is a table in ``base``, so it survives lost executors and the
-    trips are read once instead of once per table. In append mode only the new
-    state is rolled up, from the periods chosen.
+    Rows are summed before the shuffle, which so is as small as the tables. A run
+    over all periods replaces the tables, and with them periods that the trips
+    no longer have; a run over one period replaces that period only.
     """
     trips = read_trips(spark, trips_path, year, month)
-    state_path = f"{base.rstrip('/')}/{STATE_TABLE}"
-    write_periods(metric_state(trips), state_path, "overwrite", rebalance=True)
-    state = read_trips(spark, state_path, year, month)
     for name, spec in serving_tables().items():
-        table = serving_table_from_state(state, name)
         write_periods(
-            table, f"{base.rstrip('/')}/{name}", mode, rebalance=True, order=spec.order
+            serving_table(trips, name), f"{base.rstrip('/')}/{name}", mode,
+            rebalance=True, order=spec.order, whole=year is None and month is None,
         )
 
 

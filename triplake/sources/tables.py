@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.schemas import PERIOD_COLUMNS
+from triplake.session import new_scratch
 
 
-def spread_if_few(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame below the shared folder and read it back.
 
-    For scans in front of costly parsing. A scan of many splits, the normal case
-    for large data, is returned as it is and not shuffled.
+    For results that several steps read: they are computed once, and a lost
+    executor does not take them along, as it would a cache.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    path = new_scratch(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def period_slice(
@@ -46,8 +48,10 @@ def write_periods(
     mode: str = "overwrite",
     rebalance: bool = False,
     order: tuple = (),
+    whole: bool = False,
 ) -> None:
-    """Write by period; overwriting replaces only the periods that are present.
+    """Write by period; overwriting replaces only the periods that are present,
+    or, with ``whole``, the whole table.
 
     ``rebalance`` evens out the files. It lets Spark split a hot period over
     many tasks and merge small ones, where a plain repartition by period would
@@ -58,7 +62,7 @@ def write_periods(
         df = df.sortWithinPartitions(*PERIOD_COLUMNS, *order)
     (
         df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")
         .partitionBy(*PERIOD_COLUMNS)
         .parquet(path)
