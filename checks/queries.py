@@ -290,27 +290,30 @@ def clean_removed_pct(spark, sf):
     return quality.cleaning_loss(fx.unified(spark, sf), cleaning.usable())
 
 
-def _built(spark, sf) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Trips and serving tables as the jobs write and read them."""
-    base = new_scratch(spark, "gold")
-    tables.write_periods(fx.trips(spark, sf), f"{base}/trips", rebalance=True)
-    serving.build_serving(spark, f"{base}/trips", f"{base}/serving")
-    return tables.read_trips(spark, f"{base}/trips"), serving.read_serving(spark, f"{base}/serving")
+def _trips_and_tables(spark, sf) -> tuple[DataFrame, dict[str, DataFrame]]:
+    trips = tables.stored(fx.trips(spark, sf), "trips")
+    return trips, {
+        name: metrics.serving_table(trips, name) for name in metrics.serving_tables()
+    }
 
 
 @query
 def gold_profile(spark, sf):
-    return quality.table_profile(_built(spark, sf)[1])
+    """Of the tables as the jobs write and read them."""
+    base = new_scratch(spark, "gold")
+    tables.write_periods(fx.trips(spark, sf), f"{base}/trips", rebalance=True)
+    serving.build_serving(spark, f"{base}/trips", f"{base}/serving")
+    return quality.table_profile(serving.read_serving(spark, f"{base}/serving"))
 
 
 @query
 def gold_reconcile(spark, sf):
-    return quality.reconcile(*_built(spark, sf))
+    return quality.reconcile(*_trips_and_tables(spark, sf))
 
 
 @query
 def gold_verdict(spark, sf):
-    return quality.all_pass(quality.reconcile(*_built(spark, sf)))
+    return quality.all_pass(quality.reconcile(*_trips_and_tables(spark, sf)))
 
 
 # ---------------------------------------------------------------- manifests
