@@ -474,7 +474,7 @@ ORACLE = {
     ),
     "stream_completion": """SELECT count(*) AS stored_rows, count(*) AS expected_rows,
         count(*) + 1 AS expected_messages, count(*) - count(DISTINCT event_id) AS duplicates,
-        'complete' AS state FROM events""",
+        count(*) + 1 AS end_offset, true AS committed, 'complete' AS state FROM events""",
     "clean_trips": _trips("SELECT * FROM kept"),
     "time_features": _events(
         f"SELECT {EVENT_KEY}, {CALENDAR} FROM kept", "month", _kept("stream_rows", "month")

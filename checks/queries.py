@@ -189,8 +189,14 @@ def offset_audit_replayed(spark, sf):
 
 @query
 def stream_completion(spark, sf):
+    """Stored rows, and the end that a checkpoint of these messages would have."""
     sent = fx.table(spark, sf, "events").count()
-    return audit.completion(audit.offset_audit(fx.event_bronze(spark, sf)), sent)
+    ends = fx.event_messages(spark, sf).groupBy("partition").agg(F.max("offset").alias("last"))
+    progress = ends.agg(F.sum(F.col("last") + 1).alias("end_offset")).select(
+        F.lit(0).cast("bigint").alias("batch_id"), "end_offset", F.lit(True).alias("committed")
+    )
+    stored = audit.offset_audit(fx.event_bronze(spark, sf))
+    return audit.completion(stored, sent, progress)
 
 
 # ---------------------------------------------------------------- trip table

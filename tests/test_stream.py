@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from triplake.operators.canonical import messages_to_canonical
+from triplake.plans import stream
 from triplake.schemas import MESSAGE_SCHEMA
+from triplake.sources import messages
 from triplake.sources.bronze import read_messages
 from triplake.sources.messages import eof_messages, to_messages
 from triplake.streaming import audit, ingest
@@ -98,3 +100,40 @@ def test_checkpoint_progress(spark, tmp_path):
     commits.mkdir()
     (commits / "10").write_text('v1\n{"nextBatchWatermarkMs":0}')
     assert tuple(audit.checkpoint_progress(spark, checkpoint, "trips").first()) == (10, 51, True)
+
+
+def test_a_month_is_sent_and_complete(spark, file_rows, tmp_path):
+    """Rows in turn over partitions, the control row after them, then the audit."""
+    source, folder = str(tmp_path / "month"), str(tmp_path / "topic")
+    file_rows(*[{"VendorID": i} for i in range(50)]).repartition(3).write.parquet(source)
+    calls = []
+
+    def publish(rows):
+        calls.append(rows.count())
+        messages.store(rows, folder, "trips")
+
+    assert stream.send_month(spark, source, "2024-01", publish, max_rows=40) == 40
+    assert calls == [40, 1]
+    sent = spark.read.parquet(folder)
+    per = {r.partition: (r.n, r.last) for r in sent.groupBy("partition").agg(
+        F.count("*").alias("n"), F.max("offset").alias("last")).collect()}
+    assert all(n == last + 1 for n, last in per.values()) and len(per) == 3
+    query = ingest.start_ingest(
+        ingest.replay_source(spark, folder), "2024-01", str(tmp_path / "bronze"),
+        str(tmp_path / "cp"), until_done=True,
+    )
+    query.awaitTermination()
+    stored = audit.offset_audit(spark.read.parquet(str(tmp_path / "bronze")))
+
+    def progress(end, committed):
+        return spark.createDataFrame([(3, end, committed)], "batch_id long, end_offset long, committed boolean")
+
+    assert audit.completion(stored, 40, progress(41, True)).first().state == "complete"
+    for wrong in (progress(40, True), progress(41, False), progress(41, True).limit(0)):
+        assert audit.completion(stored, 40, wrong).first().state == "incomplete"
+    assert audit.completion(stored, 41, progress(42, True)).first().state == "incomplete"
+    assert audit.completion(stored, 39, progress(40, True)).first().state == "overshoot"
+    nothing = stream.stream_state(spark, str(tmp_path / "none"), str(tmp_path / "none"), "trips", 40)
+    assert nothing.first().state == "incomplete"
+    with pytest.raises(ValueError):
+        stream.send_month(spark, source, "2024-01", publish, max_rows=0)

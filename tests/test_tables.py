@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from triplake.functions import exact
 from triplake.operators import cleaning, dashboard, enrich, manifest, metrics, quality
 from triplake.operators.canonical import batch_to_canonical
+from triplake.plans import trips as trip_plans
 from triplake.plans.trips import gather_sources, trip_table
 from triplake.sources import bronze, folders, messages, tables
 from triplake.sources.zones import read_zones
@@ -306,3 +309,42 @@ def test_top_zones_break_ties_by_id(spark):
     assert ids == list(range(10))
     with pytest.raises(ValueError):
         dashboard.top_zones(totals, "vendor_id")
+
+
+def test_only_changed_periods_are_landed_and_rebuilt(spark, file_rows, tmp_path):
+    source, zone_file = tmp_path / "source", tmp_path / "zones.csv"
+    zone_file.write_text(ZONE_FILE)
+
+    def month(name, rows):
+        write_file(file_rows(*rows), source, f"trips_{name}.parquet", tmp_path)
+
+    def land():
+        landed = bronze.land_files(
+            spark, str(source), str(tmp_path / "batch"), "2025-12", only_changed=True
+        )
+        return {r.source_period for r in landed.collect()}
+
+    def rebuild():
+        plan = trip_plans.rebuild_trips(
+            spark, str(tmp_path / "batch"), None, str(zone_file), str(tmp_path / "trips"),
+            str(tmp_path / "manifest"), wall_clock=True,
+        )
+        return {r.period: r.status for r in plan.collect()}
+
+    month("2025-09", [day_trip("2025-09"), day_trip("2025-09", 11)])
+    month("2025-10", [day_trip("2025-10")])
+    assert land() == {"2025-09", "2025-10"}
+    assert rebuild() == {"2025-09": "rebuilt", "2025-10": "rebuilt"}
+    assert land() == set()
+    assert rebuild() == {"2025-09": "unchanged", "2025-10": "unchanged"}
+    files = sorted((tmp_path / "trips").rglob("*.parquet"))
+    (source / "trips_2025-10.parquet").unlink()
+    shutil.rmtree(tmp_path / "_trips_2025-10.parquet")
+    month("2025-10", [day_trip("2025-10"), day_trip("2025-10", 12)])
+    month("2025-11", [day_trip("2025-11")])
+    assert land() == {"2025-10", "2025-11"}
+    assert rebuild() == {"2025-09": "unchanged", "2025-10": "rebuilt", "2025-11": "rebuilt"}
+    assert spark.read.parquet(str(tmp_path / "trips")).count() == 5
+    assert {f for f in files if "month=9" in str(f) or "month=09" in str(f)} <= set((tmp_path / "trips").rglob("*.parquet"))
+    shutil.rmtree(tmp_path / "manifest")
+    assert set(rebuild().values()) == {"bootstrapped"}

@@ -6,9 +6,9 @@ import argparse
 import sys
 
 from triplake.operators import quality
-from triplake.plans import duration, serving, trips
+from triplake.plans import duration, serving, stream, trips
 from triplake.session import open_session
-from triplake.sources import bronze, folders
+from triplake.sources import bronze, folders, messages
 from triplake.sources.tables import read_trips
 from triplake.streaming import ingest
 
@@ -22,6 +22,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--target", required=True)
     job.add_argument("--streaming-month", required=True, type=folders.require_period)
     job.add_argument("--skip-month", action="append", default=[])
+    job.add_argument("--again", action="store_true", help="land unchanged months as well")
 
     job = jobs.add_parser("ingest", help="store one month of messages")
     job.add_argument("--streaming-month", required=True, type=folders.require_period)
@@ -44,6 +45,29 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     job.add_argument("--rebalance", action="store_true")
 
+    job = jobs.add_parser("rebuild", help="rebuild the periods of the trip table that changed")
+    job.add_argument("--batch-root")
+    job.add_argument("--stream-root")
+    job.add_argument("--zones", required=True)
+    job.add_argument("--target", required=True)
+    job.add_argument("--manifest", required=True)
+    job.add_argument("--rebalance", action="store_true")
+
+    job = jobs.add_parser("send", help="send the rows of a month as messages")
+    job.add_argument("--source", required=True)
+    job.add_argument("--month", required=True, type=folders.require_period)
+    job.add_argument("--topic", required=True)
+    job.add_argument("--bootstrap-servers")
+    job.add_argument("--folder", help="store messages here instead, for a replay")
+    job.add_argument("--max-rows", type=int)
+    job.add_argument("--partitions", type=int, default=stream.PARTITIONS)
+
+    job = jobs.add_parser("complete", help="is the stream of a month complete?")
+    job.add_argument("--stream-root", required=True)
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--topic", required=True)
+    job.add_argument("--rows", type=int, required=True)
+
     job = jobs.add_parser("serving", help="build the serving tables")
     job.add_argument("--trips", required=True)
     job.add_argument("--base", required=True)
@@ -110,7 +134,8 @@ def main(argv: list[str] | None = None) -> int:
 def _run(spark, args) -> int:
     if args.job == "land":
         manifest = bronze.land_files(
-            spark, args.source, args.target, args.streaming_month, set(args.skip_month)
+            spark, args.source, args.target, args.streaming_month, set(args.skip_month),
+            only_changed=not args.again,
         )
         manifest.orderBy("source_period").show(truncate=False)
     elif args.job == "ingest":
@@ -144,6 +169,30 @@ def _run(spark, args) -> int:
             args.mode,
             args.rebalance,
         )
+    elif args.job == "rebuild":
+        trips.rebuild_trips(
+            spark, args.batch_root, args.stream_root, args.zones, args.target, args.manifest,
+            args.rebalance,
+        ).orderBy("period").show(1000, truncate=False)
+    elif args.job == "send":
+        if (args.folder is None) == (args.bootstrap_servers is None):
+            raise SystemExit("give either --bootstrap-servers or --folder")
+
+        def publish(rows) -> None:
+            if args.folder is not None:
+                messages.store(rows, args.folder, args.topic)
+            else:
+                messages.send(rows, args.bootstrap_servers, args.topic)
+
+        print("rows sent:", stream.send_month(
+            spark, args.source, args.month, publish, args.max_rows, args.partitions
+        ))
+    elif args.job == "complete":
+        state = stream.stream_state(
+            spark, args.stream_root, args.checkpoint, args.topic, args.rows
+        )
+        state.show(truncate=False)
+        return 0 if state.first()["state"] == "complete" else 1
     elif args.job == "serving":
         serving.build_serving(spark, args.trips, args.base, args.year, args.month, args.mode)
     elif args.job == "check":

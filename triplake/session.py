@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_own_folder: list[tempfile.TemporaryDirectory] = []
+
 TRIP_TIME_ZONE = "America/New_York"
 
 OPTIONS = {
@@ -50,13 +52,18 @@ def open_session(
 def shared_folder(spark: SparkSession) -> str:
     """A folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a session without that
-    setting (tests, a laptop) gets a local temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``. Only a session on one machine
+    may lack that setting (tests, a laptop); it gets a temporary folder that goes
+    when the process ends. On a cluster other machines would not see that folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return tempfile.mkdtemp(prefix="triplake-")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _own_folder:
+        _own_folder.append(tempfile.TemporaryDirectory(prefix="triplake-"))
+    return _own_folder[0].name
 
 
 def new_scratch(spark: SparkSession, purpose: str) -> str:

@@ -44,29 +44,48 @@ def landing_manifest(rows: DataFrame, file_name: str, streaming_period: str) ->
     )
 
 
+#: Folder below the landing target with the files that were landed; readers of
+#: the months skip names that start so.
+LANDED_FILES = "_landed_files"
+
+
 def land_files(
     spark: SparkSession,
     source: str,
     target: str,
     streaming_period: str,
     skip_periods: set[str] | None = None,
+    only_changed: bool = False,
 ) -> DataFrame:
     """Write monthly files below ``target/year=/month=`` and return the manifest.
 
     Files are grouped by schema, so drift between months stays in the landed
-    files. Months in ``skip_periods`` (already landed) are left alone.
+    files. Months in ``skip_periods`` are left alone, and with ``only_changed``
+    those, too, whose files have the names, sizes and times that they had when
+    they were landed.
     """
     folders.require_period(streaming_period)
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.parquet"
-    ).load(source).select("path")
+    ).load(source).select("path", "length", "modificationTime")
     wanted = listing.withColumn(
         "period", period_of_file(F.element_at(F.split("path", "/"), -1))
     ).filter(F.col("period").isNotNull() & (F.col("period") != F.lit(streaming_period)))
     if skip_periods:
         wanted = wanted.filter(~F.col("period").isin(sorted(skip_periods)))
-    # File names only: one short line per monthly file.
-    period_of = {r.path: r.period for r in wanted.orderBy("path").collect()}
+    # One short line per monthly file, and one per month.
+    found = wanted.orderBy("path").collect()
+    seen: dict[str, list] = defaultdict(list)
+    for r in found:
+        seen[r.period].append(f"{r.path} {r.length} {r.modificationTime.isoformat()}")
+    known_path = f"{target.rstrip('/')}/{LANDED_FILES}"
+    known = {}
+    if folders.exists(spark, known_path):
+        known = {r.period: list(r.files) for r in spark.read.parquet(known_path).collect()}
+    period_of = {
+        r.path: r.period for r in found
+        if not only_changed or known.get(r.period) != seen[r.period]
+    }
     manifests, landed = [], set()
     for group in _by_schema(spark, list(period_of)).values():
         # A month whose files differ in schema meets two groups: the first
@@ -82,6 +101,11 @@ def land_files(
                 _write_landed(rows, target, streaming_period, mode)
                 manifests.append(landing_manifest(rows, "source_file", streaming_period))
         landed |= {period_of[p] for p in group}
+    if manifests:
+        state = spark.createDataFrame(
+            sorted({**known, **seen}.items()), "period string, files array<string>"
+        )
+        state.coalesce(1).write.mode("overwrite").parquet(known_path)
     if not manifests:
         return spark.createDataFrame(
             [], "source_period string, row_count bigint, source_files bigint"

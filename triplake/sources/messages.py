@@ -45,15 +45,13 @@ def eof_messages(rows: DataFrame, period: str) -> DataFrame:
     )
 
 
-def first_rows(rows: DataFrame, limit: int) -> DataFrame:
-    """The first rows of a scan in file and row order, without sorting rows.
+def with_position(rows: DataFrame, name: str) -> DataFrame:
+    """Add the position of each row in file and row order, without sorting rows.
 
     ``rows`` must come straight from Parquet files. Only the row counts per file
-    are brought together (one short row per file); each row is then kept or
-    dropped by its own position, so a large limit needs no single task.
+    are brought together (one short row per file); a row's position is its own
+    place in its file behind the rows of earlier files.
     """
-    if limit <= 0:
-        raise ValueError("limit must be positive")
     placed = rows.withColumns(
         {"_file": F.col("_metadata.file_path"), "_index": F.col("_metadata.row_index")}
     )
@@ -64,20 +62,36 @@ def first_rows(rows: DataFrame, limit: int) -> DataFrame:
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
     )
     located = lookup_join(placed, starts, "_file", "_start_file", "inner")
-    kept = located.filter(F.col("_start") + F.col("_index") < limit)
-    return kept.drop("_file", "_index", "_start")
+    position = (F.col("_start") + F.col("_index")).alias(name)
+    return located.select(*rows.columns, position)
+
+
+def first_rows(rows: DataFrame, limit: int) -> DataFrame:
+    """The first rows of a scan in file and row order; see with_position."""
+    if limit <= 0:
+        raise ValueError("limit must be positive")
+    return with_position(rows, "_position").filter(F.col("_position") < limit).drop("_position")
 
 
 def send(messages: DataFrame, bootstrap_servers: str, topic: str) -> None:
     """Publish to Kafka; needs the Kafka connector on the class path.
 
-    Messages of one period share a key. Spreading them over partitions is left
-    to the broker's partitioner unless a ``partition`` column is given.
+    Returns once the brokers have acknowledged every message. A ``partition``
+    column, if there is one, says where each message goes.
     """
+    kafka = [c for c in ("key", "value", "partition") if c in messages.columns]
     (
-        messages.write.format("kafka")
+        messages.select(*kafka).write.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("kafka.acks", "all")
         .option("topic", topic)
         .save()
     )
+
+
+def store(messages: DataFrame, folder: str, topic: str) -> None:
+    """Append messages as the replay source reads them."""
+    messages.select(
+        "key", "value", F.lit(topic).alias("topic"), F.col("partition").cast("int"),
+        F.col("offset").cast("bigint"), F.current_timestamp().alias("timestamp"),
+    ).write.mode("append").parquet(folder)

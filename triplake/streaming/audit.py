@@ -27,24 +27,42 @@ def offset_audit(bronze: DataFrame) -> DataFrame:
     )
 
 
-def completion(audit: DataFrame, source_rows: int) -> DataFrame:
+def completion(
+    audit: DataFrame, source_rows: int, progress: DataFrame | None = None
+) -> DataFrame:
     """One row comparing what was stored with the rows that were sent.
 
-    A complete stream holds every row once. The control row occupies one more
-    offset, so at most one gap (or none, when it came last) may remain.
+    A complete stream holds every row once. With ``progress`` (the last batch of
+    the checkpoint), that batch must also end behind all rows and the control row,
+    and be committed.
     """
     stored = F.coalesce(F.sum("row_count"), F.lit(0))
     repeats = F.coalesce(F.sum("duplicates"), F.lit(0))
+    counted = audit.agg(stored.alias("stored_rows"), repeats.alias("duplicates"))
+    expected = F.lit(source_rows + 1).cast("bigint")
+    done = F.lit(True)
+    if progress is not None:
+        counted = counted.withColumns(
+            {
+                "end_offset": progress.agg(F.max("end_offset")).scalar(),
+                "committed": F.coalesce(
+                    progress.agg(F.bool_or("committed")).scalar(), F.lit(False)
+                ),
+            }
+        )
+        done = F.coalesce(F.col("end_offset") == expected, F.lit(False)) & F.col("committed")
     state = (
         F.when((F.col("duplicates") > 0) | (F.col("stored_rows") > source_rows), "overshoot")
-        .when(F.col("stored_rows") == source_rows, "complete")
+        .when((F.col("stored_rows") == source_rows) & done, "complete")
         .otherwise("incomplete")
     )
-    return audit.agg(stored.alias("stored_rows"), repeats.alias("duplicates")).select(
+    more = [] if progress is None else ["end_offset", "committed"]
+    return counted.select(
         "stored_rows",
         F.lit(source_rows).cast("bigint").alias("expected_rows"),
-        F.lit(source_rows + 1).cast("bigint").alias("expected_messages"),
+        expected.alias("expected_messages"),
         "duplicates",
+        *more,
         state.alias("state"),
     )
 
