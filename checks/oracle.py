@@ -686,7 +686,7 @@ ORACLE = {
         *TRAIN_TEST,
     ),
     "encoded_boosting": _features(
-        """SELECT count(*) AS predicted, true AS beats_the_mean, true AS many_trees FROM test""",
+        """SELECT count(*) AS predicted, true AS beats_the_mean, true AS has_trees FROM test""",
         *TRAIN_TEST,
     ),
     "batch_score": _events(
