@@ -12,7 +12,6 @@ is met or a round gains nothing.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd

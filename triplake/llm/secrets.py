@@ -147,11 +147,10 @@ def scan(
     get the same spans; NULL and empty texts get none; nothing is capped.
     """
     repository = repository_col or id_col
-    digests = dict(zip(("_d1", "_d2"), text_digest(F.col(text_col))))
     picked = df.select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
         F.col(repository).alias("_repository"), F.col(owner_col).alias("_owner"),
-    ).withColumns({k: v for k, v in zip(digests, text_digest(F.col("_text")))})
+    ).withColumns(dict(zip(("_d1", "_d2"), text_digest(F.col("_text")))))
     found = candidates(picked, "_text").drop("_text")
     # Few bytes a document; both the counts and the spans are taken from it.
     found = stored(found, "secret-candidates")
