@@ -281,8 +281,11 @@ def test_similar_sets_share_a_signature(size, changes, kind, seed):
     alike = 100 * both >= percent * (len(one) + len(two) - both)
     if alike and not np.array_equal(one, two):
         assert np.intersect1d(signatures.of(np.sort(one)), signatures.of(two)).size
-    apart = np.bitwise_count(jaccard.sketch(one) ^ jaccard.sketch(two)).sum()
-    assert apart <= len(one) + len(two) - 2 * both
+    difference = len(one) + len(two) - 2 * both
+    assert np.bitwise_count(jaccard.sketch(one, 512) ^ jaccard.sketch(two, 512)).sum() <= difference
+    assert jaccard.sketches_apart(jaccard.wide_sketch(one), jaccard.wide_sketch(two)) <= difference
+    if alike:
+        assert difference <= jaccard.most_apart(len(one), len(two), percent)
 
 
 def test_edge_rows_of_similar_sets(spark):

@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from triplake.llm.common import OUT_ROWS, per_row, python_ready, stored, to_rows
 
-#: Bits of the sketch that rules out pairs before their whole sets are compared.
-SKETCH_BITS = 512
+#: Bits of the sketch that rules out pairs within a signature before they are made.
+SKETCH_BITS = 1024
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -232,17 +232,37 @@ def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
-    """For each of SKETCH_BITS cells, whether an odd number of elements is in it.
+def sketch(found: np.ndarray, bits: int) -> np.ndarray:
+    """For each of so many cells, whether an odd number of elements is in it.
 
     An element that one set has and another lacks changes one bit, so the bits in
     which two sketches differ never number more than the sets' difference.
     """
-    cells = _mixed(found + _STEP) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)
-    odd = np.bincount(cells.astype(np.int64), minlength=SKETCH_BITS) & 1
+    cells = _mixed(found + _STEP) & np.uint64(bits - 1)
+    odd = np.bincount(cells.astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+def wide_sketch(found: np.ndarray) -> np.ndarray:
+    """A sketch with about two to four cells an element."""
+    return sketch(found, 1 << max(6, (2 * len(found)).bit_length()))
+
+
+def sketches_apart(one: np.ndarray, two: np.ndarray) -> int:
+    """Bits in which two sketches differ; the longer is folded to the shorter,
+    whose cells are those of the longer taken together."""
+    while len(one) > len(two):
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    while len(two) > len(one):
+        two = two[: len(two) // 2] ^ two[len(two) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
+def most_apart(size_one, size_two, percent: int):
+    """The largest difference of two sets of these sizes that are similar."""
+    return (size_one + size_two) * (100 - percent) // (100 + percent)
+
+
 def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs within a signature whose nodes are in different groups, as far as
     sizes and sketches allow them to be similar.
@@ -270,7 +290,7 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 before = int(np.searchsorted(groups, groups[i]))
                 if not before:
                     continue
-                most = (sizes[:before] + sizes[i]) * (100 - percent) // (100 + percent)
+                most = most_apart(sizes[:before], sizes[i], percent)
                 apart = np.bitwise_count(sketches[:before] ^ sketches[i]).sum(axis=1)
                 close = nodes[:before][apart <= most]
                 if len(close):
@@ -281,29 +301,54 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                     )
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are similar enough, by their whole sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("in_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("in_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "in_a", "in_b")
+def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns of both nodes beside each pair, first all of a, then all of b."""
+    out = pairs
+    for side in ("a", "b"):
+        own = sets.select(
+            F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]
+        )
+        out = out.join(own, side)
+    return out.select("a", "b", *[f"{c}_{side}" for side in ("a", "b") for c in columns])
+
+
+def _kept(batches: Iterator[pa.RecordBatch], test) -> Iterator[pa.RecordBatch]:
+    """The pairs of which a test of the other columns' values holds."""
+    for batch in batches:
+        kept = pa.array(
+            [test(*[c[i] for c in batch.columns[2:]]) for i in range(batch.num_rows)], pa.bool_()
+        )
+        yield batch.select([0, 1]).filter(kept)
+
+
+def _similar(
+    pairs: DataFrame, marks: DataFrame, texts: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """The pairs that are similar enough: by sketches, then by their whole sets."""
     python_ready(pairs.sparkSession)
 
-    def verify(batches):
-        for batch in batches:
-            kept = []
-            for i in range(batch.num_rows):
-                one = batch.column(2)[i].values.to_numpy()
-                two = batch.column(3)[i].values.to_numpy()
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * both >= percent * (len(one) + len(two) - both) and both:
-                    kept.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(kept, pa.int64())),
-                 batch.column(1).take(pa.array(kept, pa.int64()))],
-                names=["a", "b"],
-            )
-
-    return joined.mapInArrow(verify, _PAIRS).distinct()
+    def possible(size_a, sketch_a, size_b, sketch_b) -> bool:
+        one, two = (np.frombuffer(s.as_buffer(), np.uint64) for s in (sketch_a, sketch_b))
+        most = most_apart(size_a.as_py(), size_b.as_py(), percent)
+        return sketches_apart(one, two) <= most
+
+    def similar(elements_a, elements_b) -> bool:
+        one, two = elements_a.values.to_numpy(), elements_b.values.to_numpy()
+        both = len(np.intersect1d(one, two, assume_unique=True))
+        return both > 0 and 100 * both >= percent * (len(one) + len(two) - both)
+
+    close = stored(
+        _both(pairs, marks, ["size", "wide"])
+        .mapInArrow(lambda batches: _kept(batches, possible), _PAIRS).distinct(),
+        "possible-pairs",
+    )
+    nodes = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
+    nodes = stored(nodes, "possible-nodes")
+    sets = stored(_elements(texts.join(nodes, "id", "left_semi"), words), "shingle-elements")
+    return (
+        _both(close, sets, ["elements"])
+        .mapInArrow(lambda batches: _kept(batches, similar), _PAIRS).distinct()
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -389,12 +434,12 @@ def link(
         "star-pairs",
     )
     wanted = stored(shared.select(F.col("node").alias("id")).distinct(), "shared-nodes")
-    sets = stored(_elements(texts.join(wanted, "id", "left_semi"), words), "shingle-elements")
-    edges = stored(_similar(pairs, sets, percent), "similar-pairs")
+    marks = stored(_marks(texts.join(wanted, "id", "left_semi"), words), "set-sketches")
+    edges = stored(_similar(pairs, marks, texts, words, percent), "similar-pairs")
     groups = components(edges)
     # What the stars did not bring together is compared directly.
     placed = stored(
-        sets.select("node", "size", "sketch").join(groups, "node", "left").select(
+        marks.select("node", "size", "sketch").join(groups, "node", "left").select(
             "node", F.coalesce("group", "node").alias("group"), "size", "sketch"
         ),
         "placed-nodes",
@@ -405,7 +450,10 @@ def link(
         .mapInArrow(lambda batches: _across(_runs(batches), percent), _PAIRS).distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
-    more = stored(_similar(stored(across, "cross-pairs"), sets, percent), "similar-cross-pairs")
+    more = stored(
+        _similar(stored(across, "cross-pairs"), marks, texts, words, percent),
+        "similar-cross-pairs",
+    )
     if not more.isEmpty():
         groups = components(edges.union(more))
     named = stored(
@@ -422,13 +470,28 @@ def link(
 
 
 def _elements(df: DataFrame, words: int) -> DataFrame:
-    """node, its set, the size of it and its sketch."""
+    """node and its set."""
     fields = T.StructType(
         [
             T.StructField("node", T.LongType()),
             T.StructField("elements", T.ArrayType(T.LongType(), False)),
-            T.StructField("size", T.LongType()),
-            T.StructField("sketch", T.BinaryType()),
+        ]
+    )
+
+    def start():
+        return lambda rows: [
+            (node, np.sort(shingles(text, words).view(np.int64))) for node, text in rows
+        ]
+
+    return to_rows(df, ["id", "text"], fields, start)
+
+
+def _marks(df: DataFrame, words: int) -> DataFrame:
+    """node, the size of its set, and two sketches of it."""
+    fields = T.StructType(
+        [
+            T.StructField("node", T.LongType()), T.StructField("size", T.LongType()),
+            T.StructField("sketch", T.BinaryType()), T.StructField("wide", T.BinaryType()),
         ]
     )
 
@@ -436,7 +499,10 @@ def _elements(df: DataFrame, words: int) -> DataFrame:
         def compute(rows):
             for node, text in rows:
                 found = shingles(text, words)
-                yield node, np.sort(found.view(np.int64)), len(found), sketch(found).tobytes()
+                yield (
+                    node, len(found), sketch(found, SKETCH_BITS).tobytes(),
+                    wide_sketch(found).tobytes(),
+                )
 
         return compute
 
