@@ -10,6 +10,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -298,6 +299,44 @@ def test_edge_rows_of_similar_sets(spark):
     assert jaccard.link(df.limit(0)).count() == 0
 
 
+def test_large_signatures_are_cut_into_units(spark):
+    # Key 1: a large group and an outlier; 2: one group; 3: large and small groups; 4: two nodes.
+    group_of = {n: 0 if n < 100 else 500 if n < 160 else n // 3 * 3 for n in range(200)}
+    members = {1: [*range(100), 199], 2: list(range(100)), 3: list(range(200)), 4: [5, 150]}
+    shared = spark.createDataFrame([(k, n, 0) for k, ns in members.items() for n in ns], "key long, node long, first long")
+    placed = spark.createDataFrame(list(group_of.items()), "node long, group long")
+    units = collections.defaultdict(lambda: ([], []))
+    for r in jaccard.cross_units(shared, placed, 16).collect():
+        assert r["group"] == group_of[r["node"]]
+        units[r["key"], r["unit"]][r["side"]].append(r["node"])
+    got = collections.Counter()
+    for (key, _), (left, right) in units.items():
+        assert len(left) + len(right) <= 4 * 16
+        met = itertools.product(left, right) if right else itertools.combinations(left, 2)
+        got.update((key, min(p), max(p)) for p in met if group_of[p[0]] != group_of[p[1]])
+    assert got == collections.Counter(
+        (k, *p) for k, ns in members.items() for p in itertools.combinations(ns, 2)
+        if group_of[p[0]] != group_of[p[1]]
+    )
+    assert jaccard.cross_units(shared.filter("key = 2"), placed, 16) is None
+
+
+@pytest.mark.parametrize("rows_a_batch", [1, 4, 100])
+def test_units_are_compared_over_batches(rows_a_batch):
+    rows = [  # key, unit, side, group, node
+        (1, 7, 0, 0, 1), (1, 7, 0, 0, 2), (1, 7, 0, 5, 5),
+        (1, 9, 0, 0, 3), (1, 9, 0, 5, 6), (1, 9, 1, 0, 4), (1, 9, 1, 5, 7),
+        (2, 9, 0, 3, 8), (2, 9, 0, 4, 9),
+    ]
+    names = ["key", "unit", "side", "group", "node", "size", "sketch"]
+    batches = [
+        pa.RecordBatch.from_pylist([dict(zip(names, (*r, 50, bytes(128)))) for r in rows[i : i + rows_a_batch]])
+        for i in range(0, len(rows), rows_a_batch)
+    ]
+    got = [tuple(p.values()) for b in jaccard._across(iter(batches), 80) for p in b.to_pylist()]
+    assert sorted(got) == [(1, 5), (2, 5), (3, 7), (4, 6), (8, 9)]
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150)]
     df = spark.createDataFrame(edges, "a long, b long")

@@ -32,6 +32,8 @@ from triplake.llm.common import OUT_ROWS, per_row, python_ready, stored, to_rows
 
 #: Bits of the sketch that rules out pairs within a signature before they are made.
 SKETCH_BITS = 1024
+#: Nodes of a signature that make a block; blocks are compared two at a time.
+BLOCK_NODES = 4096
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -169,67 +171,87 @@ def keyed_by_signature(df: DataFrame, words: int, signatures: Signatures) -> Dat
     return df.select("id", "text").mapInArrow(run, _KEYED)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the rows of signatures that more than one node has.
+def shared_signatures(keyed: DataFrame) -> DataFrame:
+    """key, node, first: the rows of signatures that several nodes have, beside
+    the smallest node of each.
 
-    Rows come sorted by signature, then node. A run that reaches the end of a
-    batch is held back until the next one; only its first and last node matter
-    for whether it is kept, so a long run passes on piece by piece.
+    First and last node of a signature are combined before they are shuffled, and
+    the rows meet them in a join of written tables, which can split a signature
+    that a large part of the nodes has.
     """
-    held: pa.RecordBatch | None = None
-    shared: int | None = None  # signature already known to have several nodes
-    for batch in batches:
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        keys = batch.column(0).to_numpy()
-        nodes = batch.column(1).to_numpy()
-        if not len(keys):
-            continue
-        cut = int(np.searchsorted(keys, keys[-1]))
-        first = keys[cut] == shared if shared is not None else False
-        if cut == 0 and (first or nodes[0] != nodes[-1]):
-            # The whole batch is one run that is kept.
-            shared, held = int(keys[0]), None
-            yield batch
-            continue
-        done, held = batch.slice(0, cut), batch.slice(cut)
-        if cut:
-            yield from _several(done, shared)
-        if shared is not None and int(keys[-1]) != shared:
-            shared = None
-    if held is not None:
-        yield from _several(held, shared)
-
-
-def _several(batch: pa.RecordBatch, shared: int | None) -> Iterator[pa.RecordBatch]:
-    keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    end = np.concatenate([begin[1:], [len(keys)]])
-    kept = (nodes[begin] != nodes[end - 1]) | (
-        (keys[begin] == shared) if shared is not None else False
+    keyed = stored(keyed, "keyed-nodes")
+    several = stored(
+        keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+        .filter("first < last").select("key", "first"),
+        "several-nodes",
     )
-    mask = np.repeat(kept, end - begin)
-    if mask.any():
-        yield batch.filter(pa.array(mask))
+    return stored(keyed.join(several, "key").select("key", "node", "first"), "shared-signatures")
 
 
-def _star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each node of a signature beside the first node of that signature."""
-    key = first = None
-    for batch in batches:
-        keys, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(keys):
-            continue
-        begin = np.concatenate([[True], keys[1:] != keys[:-1]])
-        leader = nodes[np.maximum.accumulate(np.where(begin, np.arange(len(keys)), 0))]
-        if key is not None and keys[0] == key:
-            leader = np.where(np.cumsum(begin) == 1, first, leader)
-        key, first = keys[-1], leader[-1]
-        real = leader != nodes
-        pairs = np.unique(np.stack([leader[real], nodes[real]]), axis=1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"]
-        )
+def cross_units(shared: DataFrame, placed: DataFrame, block: int) -> DataFrame | None:
+    """key, unit, side, group, node: what has to be compared within signatures
+    whose nodes are in several groups, cut into units of about two blocks at most.
+
+    ``placed`` has the group of each node. Groups of over ``block`` nodes have
+    blocks of their own, the others of a signature share some. A unit is two
+    blocks (sides 0 and 1) that are not of the same group, or a shared block
+    (side 0) that is compared with itself. None when no signature has two groups.
+    """
+    rows = stored(
+        shared.select("key", "node").join(placed.select("node", "group").distinct(), "node")
+        .select("key", "group", "node"),
+        "grouped-signatures",
+    )
+    several = stored(
+        rows.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+        .filter("low < high").select("key"),
+        "several-groups",
+    )
+    if several.isEmpty():
+        return None
+    rows = stored(rows.join(several, "key"), "mixed-signatures")
+    large = F.col("n") > block
+    sizes = stored(
+        rows.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+        .select("key", "group", "n", large.alias("alone"),
+                F.when(large, F.col("group")).otherwise(F.lit(0)).alias("owner")),
+        "group-sizes",
+    )
+    blocks = stored(
+        sizes.groupBy("key", "alone", "owner")
+        .agg(F.ceil(F.sum("n") / block).cast("int").alias("parts")),
+        "group-blocks",
+    )
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    each = blocks.withColumn("part", part).select(
+        "key", F.struct("alone", "owner", "part").alias("b")
+    )
+    left, right = each.withColumnRenamed("b", "l"), each.withColumnRenamed("b", "r")
+    pairs = left.join(right, "key").filter(
+        "l <= r and not (l.alone and r.alone and l.owner = r.owner)"
+    )
+    one, two = (
+        F.struct(F.lit(side).alias("side"), F.col(b).alias("b")) for side, b in ((0, "l"), (1, "r"))
+    )
+    sides = F.when(F.col("l") == F.col("r"), F.array(one)).otherwise(F.array(one, two))
+    units = stored(
+        pairs.select("key", F.xxhash64("l", "r").alias("unit"), F.explode(sides).alias("s"))
+        .select("key", "unit", "s.side", "s.b.alone", "s.b.owner", "s.b.part"),
+        "cross-units",
+    )
+    owners = stored(
+        sizes.drop("n").join(blocks, ["key", "alone", "owner"])
+        .select("key", "group", "alone", "owner", "parts"),
+        "group-owners",
+    )
+    cut = stored(
+        rows.join(owners, ["key", "group"])
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts"),
+        "cut-groups",
+    )
+    return cut.join(units, ["key", "alone", "owner", "part"]).select(
+        "key", "unit", "side", "group", "node"
+    )
 
 
 def sketch(found: np.ndarray, bits: int) -> np.ndarray:
@@ -264,41 +286,52 @@ def most_apart(size_one, size_two, percent: int):
 
 
 def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs within a signature whose nodes are in different groups, as far as
-    sizes and sketches allow them to be similar.
+    """Pairs within a unit whose nodes are in different groups, as far as sizes
+    and sketches allow them to be similar.
 
-    Rows come sorted by signature, group, node. A node meets the nodes of the
-    groups before its own, which sit in arrays that end with the signature.
+    Rows come sorted by key, unit, side and group; the rows of a unit, which has
+    two blocks at most, sit in arrays until it ends.
     """
-    key, met = None, None
+    held: list[list[np.ndarray]] = []
+    unit = None
     for batch in batches:
-        all_keys = batch.column(0).to_numpy()
-        rows = [batch.column(i).to_numpy() for i in (1, 2, 3)]
-        words = b"".join(batch.column(4).to_pylist())
-        rows.append(np.frombuffer(words, np.uint64).reshape(len(all_keys), -1))
-        edges = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]]))
-        for begin, end in zip(edges, [*edges[1:], len(all_keys)]):
-            new = [r[begin:end] for r in rows]
-            if all_keys[begin] != key:
-                key, met = all_keys[begin], new
-            else:
-                met = [np.concatenate([m, n]) for m, n in zip(met, new)]
-            groups, nodes, sizes, sketches = met
-            if groups[0] == groups[-1]:
-                continue
-            for i in range(len(nodes) - (end - begin), len(nodes)):
-                before = int(np.searchsorted(groups, groups[i]))
-                if not before:
-                    continue
-                most = most_apart(sizes[:before], sizes[i], percent)
-                apart = np.bitwise_count(sketches[:before] ^ sketches[i]).sum(axis=1)
-                close = nodes[:before][apart <= most]
-                if len(close):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(close, nodes[i])),
-                         pa.array(np.maximum(close, nodes[i]))],
-                        names=["a", "b"],
-                    )
+        if not batch.num_rows:
+            continue
+        names = [batch.column(i).to_numpy() for i in (0, 1)]
+        rows = [batch.column(i).to_numpy() for i in (2, 3, 4, 5)]
+        words = b"".join(batch.column(6).to_pylist())
+        rows.append(np.frombuffer(words, np.uint64).reshape(batch.num_rows, -1))
+        new = np.any([n[1:] != n[:-1] for n in names], axis=0)
+        edges = [0, *(np.flatnonzero(new) + 1), batch.num_rows]
+        for begin, end in zip(edges, edges[1:]):
+            name = (names[0][begin], names[1][begin])
+            if name != unit:
+                yield from _compared(held, percent)
+                unit, held = name, []
+            held.append([r[begin:end] for r in rows])
+    yield from _compared(held, percent)
+
+
+def _compared(held: list[list[np.ndarray]], percent: int) -> Iterator[pa.RecordBatch]:
+    """The possible pairs of one unit: of both its sides, or else of its only one."""
+    if not held:
+        return
+    sides, groups, nodes, sizes, sketches = map(np.concatenate, zip(*held))
+    lefts = int(np.searchsorted(sides, 1))
+    alone = lefts == len(sides)
+    for i in range(0 if alone else lefts, len(sides)):
+        # A node meets those of smaller groups, or the other side.
+        before = int(np.searchsorted(groups[:lefts], groups[i])) if alone else lefts
+        if not before:
+            continue
+        most = most_apart(sizes[:before], sizes[i], percent)
+        apart = np.bitwise_count(sketches[:before] ^ sketches[i]).sum(axis=1)
+        close = nodes[:before][(apart <= most) & (groups[:before] != groups[i])]
+        if len(close):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(close, nodes[i])), pa.array(np.maximum(close, nodes[i]))],
+                names=["a", "b"],
+            )
 
 
 def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
@@ -424,13 +457,10 @@ def link(
     keyed = keyed_by_signature(
         texts.filter(F.col("id").isNotNull()).join(copies, "id", "left_anti"), words, signatures
     )
-    shared = stored(
-        keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_runs, _KEYED),
-        "shared-signatures",
-    )
+    shared = shared_signatures(keyed)
     pairs = stored(
-        shared.repartition("key").sortWithinPartitions("key", "node")
-        .mapInArrow(_star, _PAIRS).distinct(),
+        shared.filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b"))
+        .distinct(),
         "star-pairs",
     )
     wanted = stored(shared.select(F.col("node").alias("id")).distinct(), "shared-nodes")
@@ -444,18 +474,21 @@ def link(
         ),
         "placed-nodes",
     )
-    across = (
-        shared.join(placed, "node").select("key", "group", "node", "size", "sketch")
-        .repartition("key").sortWithinPartitions("key", "group", "node")
-        .mapInArrow(lambda batches: _across(_runs(batches), percent), _PAIRS).distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    more = stored(
-        _similar(stored(across, "cross-pairs"), marks, texts, words, percent),
-        "similar-cross-pairs",
-    )
-    if not more.isEmpty():
-        groups = components(edges.union(more))
+    units = cross_units(shared, placed, BLOCK_NODES)
+    if units is not None:
+        across = (
+            units.join(placed.select("node", "size", "sketch"), "node")
+            .select("key", "unit", "side", "group", "node", "size", "sketch")
+            .repartition("key", "unit").sortWithinPartitions("key", "unit", "side", "group", "node")
+            .mapInArrow(lambda batches: _across(batches, percent), _PAIRS).distinct()
+            .join(pairs, ["a", "b"], "left_anti")
+        )
+        more = stored(
+            _similar(stored(across, "cross-pairs"), marks, texts, words, percent),
+            "similar-cross-pairs",
+        )
+        if not more.isEmpty():
+            groups = components(edges.union(more))
     named = stored(
         nodes.join(groups, "node", "left").select(
             "d1", "d2", F.coalesce("group", "node").alias("component")
