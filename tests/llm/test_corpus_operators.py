@@ -129,6 +129,18 @@ def test_copies_of_an_article_are_no_template(spark):
     }
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark):
+    box = "<div><p>Read more of this section</p></div>"
+    rows = [
+        (i, f"http://large.example/{i}", f"<body>{box if i < 6 else ''}<p>Text number {i} of this host, which is its own.</p></body>")
+        for i in range(60)
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["text"] for r in html.extract(df).collect()} == {
+        f"Text number {i} of this host, which is its own." for i in range(60)
+    }
+
+
 # ---- lines
 
 

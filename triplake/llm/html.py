@@ -21,10 +21,8 @@ from pyspark.sql import types as T
 
 from triplake.llm.common import per_row, stored, text_digest, unused
 
-#: A template subtree stands on at least so many different pages of its host ...
+#: A template subtree stands on at least so many different pages of its host.
 TEMPLATE_PAGES = 5
-#: ... and on this share of them.
-TEMPLATE_SHARE = 0.2
 
 # Kinds of elements.
 VOID = frozenset(
@@ -320,19 +318,11 @@ def template_subtrees(pages: DataFrame) -> DataFrame:
     the same longest block count once, so copies of an article do not make it a
     template. Counting falls together before it is shuffled.
     """
-    each = (
+    return (
         pages.filter(F.col("host") != "").select("host", "main", F.explode("subtrees").alias("digest"))
         .groupBy("host", "digest", "main").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("host", "digest").agg(F.count(F.lit(1)).alias("pages"))
         .filter(F.col("pages") >= TEMPLATE_PAGES)
-    )
-    hosts = (
-        pages.filter(F.col("host") != "").groupBy("host", "main").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
-    )
-    return (
-        each.join(hosts, "host")
-        .filter(F.col("pages") >= TEMPLATE_SHARE * F.col("all_pages"))
         .select("host", "digest")
     )
 
