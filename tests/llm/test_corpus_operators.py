@@ -141,6 +141,24 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark):
     }
 
 
+def test_slugs_and_wrapping_forms_keep_their_text():
+    inner = (
+        "<div class='entry-header'>Title</div><h2 id='social-impact'>Social impact</h2>"
+        "<section id='related-work'><p class='share-price'>Price</p></section>"
+        "<div class='advert'>Buy</div><div class='comments'>Says</div>"
+    )
+    kept = "Title\n\nSocial impact\n\nPrice"
+    article = f"<article>{inner}</article>"
+    for page in (article, f"<form><nav>Menu</nav>{article}</form>"):
+        assert html.main_text(page, set())[0] == kept
+    plain = "<h2 id='discussion'>Discussion</h2><p>The text of a page in a form.</p>"
+    page = f"<body><nav>Menu</nav><form id='aspnetForm'>{plain}<select><option>One</select></form></body>"
+    assert html.main_text(page, set())[0] == "Discussion\n\nThe text of a page in a form."
+    assert html.main_text(f"<body>{plain}<form>Your mail</form></body>", set())[0] == (
+        "Discussion\n\nThe text of a page in a form."
+    )
+
+
 # ---- lines
 
 

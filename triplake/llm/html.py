@@ -67,6 +67,13 @@ GONE_NAMES = frozenset(
     "discussion share sharing social related recommended breadcrumb breadcrumbs pagination "
     "pager widget skip copyright".split()
 )
+#: Of these, the kinds that are clear within an article too.
+CLEAR_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsored comment comments "
+    "commentlist disqus newsletter".split()
+)
+#: Elements whose ids and classes are often made from a heading.
+SLUGGED = frozenset("p h1 h2 h3 h4 h5 h6 dd dt blockquote pre figcaption caption section".split())
 
 _TAG = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -158,33 +165,45 @@ def parse(page: str) -> Element:
     return root
 
 
-def _named_gone(node: Element) -> bool:
+def _named_gone(node: Element, in_main: bool) -> bool:
+    """Whether role, style or names say that an element goes.
+
+    Outside the article a part of a class or id is enough. Within it, and for
+    text blocks and sections, all parts of a class must be such words, and ids do
+    not matter; within it only clear kinds count.
+    """
     if node.attributes.get("role", "").lower() in GONE_ROLES:
         return True
     if "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true":
         return True
     if "display:none" in node.attributes.get("style", "").replace(" ", "").lower():
         return True
-    names = f"{node.attributes.get('class', '')} {node.attributes.get('id', '')}".split()
-    return any(
-        part.lower() in GONE_NAMES
-        for name in names if not name.lower().startswith(_KEPT_NAMES)
-        for part in _NAME_PARTS.findall(name)
-    )
+    wanted = CLEAR_NAMES if in_main else GONE_NAMES
+    whole = in_main or node.tag in SLUGGED
+    names = node.attributes.get("class", "").split()
+    if not whole:
+        names += node.attributes.get("id", "").split()
+    for name in names:
+        if name.lower().startswith(_KEPT_NAMES):
+            continue
+        found = [part.lower() in wanted for part in _NAME_PARTS.findall(name)]
+        if found and (all(found) if whole else any(found)):
+            return True
+    return False
 
 
 def is_boilerplate(node: Element, in_main: bool) -> bool:
     """Whether an element goes by its kind or name. What holds the article stays,
     and so does the heading of an article."""
-    if node.tag in GONE:
-        return True
     if node.holds_main or node.tag in ("html", "body", "#root"):
         return False
+    if node.tag in GONE:
+        return True
     if node.tag == "header":
         return not in_main
     if not node.attributes:
         return False
-    return _named_gone(node)
+    return _named_gone(node, in_main)
 
 
 def _mark(root: Element) -> list[Element]:
@@ -196,14 +215,33 @@ def _mark(root: Element) -> list[Element]:
         stack += [c for c in reversed(node.children) if isinstance(c, Element)]
     for node in order:
         main = node.tag in ("article", "main") or node.attributes.get("role") == "main"
-        if main and not (node.attributes and _named_gone(node)):
-            up = node
-            while up is not None and not up.holds_main:
-                up.holds_main = True
-                up = up.parent
+        if main and not (node.attributes and _named_gone(node, True)):
+            _holds(node)
+    if not root.holds_main and any(n.tag == "form" for n in order):
+        for node in _wrapping_forms(order):
+            _holds(node)
     return order
 
 
+def _holds(node: Element | None) -> None:
+    while node is not None and not node.holds_main:
+        node.holds_main = True
+        node = node.parent
+
+
+def _wrapping_forms(order: list[Element]) -> list[Element]:
+    """Forms around more than half of a page's text, as some servers write them."""
+    sizes: dict[Element, int] = {}
+    for node in reversed(order):
+        if node.tag in GONE and node.tag != "form":
+            sizes[node] = 0
+            continue
+        sizes[node] = sum(
+            sizes[c] if isinstance(c, Element) else len("".join(c.split())) for c in node.children
+        )
+    return [n for n in order if n.tag == "form" and 2 * sizes[n] > sizes[order[0]]]
+
+
 def _hash(order: list[Element]) -> None:
     """Digest of each subtree: tag, class, words and children; spacing aside."""
     for node in reversed(order):
