@@ -158,6 +158,24 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert secrets.scan(docs.limit(0)).count() == 0
 
 
+def test_short_random_values_look_random():
+    rng = np.random.default_rng(3)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for alphabet, size in [("0123456789abcdef", 12), ("0123456789abcdef", 16), (base62, 12), (base62, 16)]:
+        values = ["".join(rng.choice(list(alphabet), size)) for _ in range(2000)]
+        values = [v for v in values if any(c.isdigit() for c in v) and any(c.isalpha() for c in v)]
+        assert np.mean([secrets.looks_random(v) for v in values]) > 0.98
+
+
+def test_named_values_are_live_unless_words_or_placeholders(spark):
+    live = ["qzxkvwpjtrmb", "GXkqTZwvLpRd", "837261940572", "a1b9c3f04e77", "hunter2hunter2"]
+    plain = ["your_token_here", "changeme1234", "aaaaaaaaaaaa", "123456789012", "configuration.value", "xxxxxxxxxxxx"]
+    rows = [(i, f"password = {v}", f"o{i}") for i, v in enumerate(live + plain)] + [(99, f"bare {live[0]} here", "o0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: [s["standing"] for s in r["spans"] if s["kind"] in (0, 3)] for r in secrets.scan(docs).collect()}
+    assert got == {**{i: ["live" if i < len(live) else "plain"] for i in range(len(rows) - 1)}, 99: ["live"]}
+
+
 def test_fingerprints_of_edited_texts(spark):
     rng = np.random.default_rng(5)
     words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(500)]

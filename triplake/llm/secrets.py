@@ -3,7 +3,8 @@
 Every text is searched for credential-shaped values. Each value is hashed, and
 the hashes are counted over the whole corpus by distinct repositories and
 owners. A value that many owners have is a copied example; one that few
-owners have, and that looks random, is taken to be live. Live values are then also
+owners have is taken to be live, unless it is words or a placeholder; without a
+name in front it has to look random. Live values are then also
 marked where they stand bare, without a name in front.
 """
 
@@ -35,15 +36,34 @@ KINDS = ("assign", "access", "hex", "live")
 # looking for long runs finds the same and skips the letters of ordinary words.
 _LONG_ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{16,}")
-#: Values that stand bare: long runs of letters and digits, with both in them.
-_BARE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Values that may stand bare.
+_BARE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 _NAME = re.compile(r"pass|secret|token|api", re.IGNORECASE | re.ASCII)
 
 #: Owners up to which a value counts as belonging to them (a copied document may
 #: bring a second one).
 LIVE_OWNERS = 2
-#: Bits of entropy a character that a live-looking value has at least.
-LIVE_ENTROPY = 3.0
+#: Share of the entropy that its length and alphabet allow that a random-looking
+#: value has at least.
+LIVE_SHARE = 0.68
+#: Characters from which bare values are taken to be random by themselves.
+LEAST_BARE = 20
+#: Parts that make a value a placeholder.
+PLACEHOLDERS = frozenset(
+    "your my example sample dummy placeholder changeme change replace insert todo test foo bar "
+    "xxx none null undefined redacted secret password passwd token".split()
+)
+#: After the first letter, those that follow it in words (letter pairs of at least
+#: four different words of Python's manual).
+_FOLLOWERS = (
+    "abcdfgiklmnprstuvwxy babceijloprstuy cacehiklmorstuy dabdeilorsuvy "
+    "eabcdefghilmnopqrstuvwxy faefilortuy gaceghilnorstu haeimorstu iabcdefgklmnoprstvxz "
+    "jeu kaeisw lacdefgilopstuvy mabeimopsuy nacdefghilmnopstuvy oabcdefgiklmnoprstuvwx "
+    "pacdehiloprstuy qu rabcdefgiklmnoprstuvwy sacefhiklmnopstuwy tabcdefhilmoprstuy "
+    "uabcdefgilmnoprst vaeio waehinors xaceioptx yceimnopstw zaei"
+)
+_WORD_PAIRS = frozenset(row[0] + b for row in _FOLLOWERS.split() for b in row[1:])
+_LETTERS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 _CANDIDATE = T.StructType(
     [
@@ -56,13 +76,48 @@ _CANDIDATE = T.StructType(
 )
 
 
+def _entropy(value: str) -> float:
+    size = len(value)
+    return -sum(n / size * math.log2(n / size) for n in Counter(value).values())
+
+
+def _mixed_enough(value: str) -> bool:
+    """Whether a value has the share of the entropy that its length and alphabet
+    (hex, digits, letters of one case, others) allow."""
+    if HEX.fullmatch(value):
+        alphabet = 16
+    elif value.isdigit():
+        alphabet = 10
+    elif value.isalnum() and (value.islower() or value.isupper()):
+        alphabet = 36
+    else:
+        alphabet = 64
+    return _entropy(value) >= LIVE_SHARE * math.log2(min(len(value), alphabet))
+
+
 def looks_random(value: str) -> bool:
-    """Letters and digits both, and no character far more often than others."""
+    """Letters and digits both, and about as mixed as its length allows."""
     if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
         return False
-    counts, size = Counter(value), len(value)
-    entropy = -sum(n / size * math.log2(n / size) for n in counts.values())
-    return entropy >= LIVE_ENTROPY
+    return _mixed_enough(value)
+
+
+def is_placeholder(value: str) -> bool:
+    """Words, names made of words, placeholders, and repeated or counting signs."""
+    parts = [p.lower() for p in _LETTERS.findall(value)]
+    if any(p in PLACEHOLDERS or p.startswith("xxx") for p in parts):
+        return True
+    steps = {ord(b) - ord(a) for a, b in zip(value, value[1:])}
+    if value.isdigit():
+        steps = {step % 10 for step in steps}
+    if steps <= {0, 1} or steps <= {0, -1} or steps == {9} or not _mixed_enough(value):
+        return True
+    if any(c.isdigit() for c in value):
+        return False
+    # Words: runs of letters with pairs and vowels as words have them.
+    return sum(map(len, parts)) >= 3 * len(parts) and all(
+        any(c in "aeiouy" for c in p) or len(p) < 3 for p in parts
+    ) and all(p[i : i + 2] in _WORD_PAIRS for p in parts for i in range(len(p) - 1))
 
 
 def _hashed(value: str) -> int:
@@ -84,14 +139,25 @@ def find(text: str | None) -> list[dict]:
     spans += [(m.start(), 2, m.end(), m[0]) for m in _LONG_HEX.finditer(text)]
     base = list(spans)
     for m in _BARE.finditer(text):
-        if looks_random(m[0]) and not any(b < m.end() and m.start() < e for b, _, e, _ in base):
+        if is_placeholder(m[0]) and not looks_random(m[0]):
+            continue
+        if not any(b < m.end() and m.start() < e for b, _, e, _ in base):
             spans.append((m.start(), 3, m.end(), m[0]))
     return [
-        {"kind": k, "start": b, "end": e, "value": _hashed(v), "random": looks_random(v)}
+        {"kind": k, "start": b, "end": e, "value": _hashed(v), "random": _may_be_live(k, v)}
         for b, k, e, v in sorted(spans)
     ]
 
 
+def _may_be_live(kind: int, value: str) -> bool:
+    """Whether a value of few owners is live. Named values and access keys are
+    unless they are words or placeholders; a short bare value is not by itself,
+    only where the same value has a name elsewhere."""
+    if kind < 2:
+        return not is_placeholder(value)
+    return (kind == 2 or len(value) >= LEAST_BARE) and looks_random(value)
+
+
 def candidates(
     df: DataFrame, text_col: str = "text", out_col: str = "candidates"
 ) -> DataFrame:
