@@ -225,6 +225,13 @@ def test_length_histogram(spark, texts):
     assert token_counts.histogram(texts.limit(0)).count() == 0
 
 
+def test_limits_below_the_shortest_document(spark):
+    docs = spark.createDataFrame([("Hello world, it's 12 o'clock.",), ("ab " * 40,)], "text string")
+    sizes = [len(library_ids(t)) for (t,) in docs.collect()]
+    got = token_counts.at_limit(token_counts.histogram(docs), 2).first()
+    assert tuple(got) == (2, 2, 4, sum(sizes) - 4) and min(sizes) > 2
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=8))
 def test_bound_and_best_fit(lengths):

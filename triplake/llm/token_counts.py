@@ -80,14 +80,21 @@ def histogram(df: DataFrame, text_col: str = "text", path: str | None = None) ->
 
 def at_limit(table: DataFrame, limit: int) -> DataFrame:
     """Totals when every document is cut at any limit, occurring or not: the row
-    of the largest length up to the limit, carried to the limit itself."""
+    of the largest length up to the limit, carried to the limit itself. A limit
+    below the shortest length cuts every document; an empty table gives NULLs."""
     below = table.filter(F.col("n_tokens") <= limit)
-    at = below.agg(F.max_by(F.struct("*"), "n_tokens").alias("r")).select("r.*")
-    more = F.col("docs_over") * (F.lit(limit) - F.col("n_tokens"))
-    return at.select(
-        F.lit(limit).cast("long").alias("limit"), "docs_over",
-        (F.col("truncated_tokens") + more).alias("truncated_tokens"),
-        (F.col("lost_tokens") - more).alias("lost_tokens"),
+    at = below.agg(F.max_by(F.struct("*"), "n_tokens").alias("r"))
+    every = table.agg(
+        F.max("total_docs").alias("total_docs"), F.max("total_tokens").alias("total_tokens")
+    )
+    more = F.col("r.docs_over") * (F.lit(limit) - F.col("r.n_tokens"))
+    # Below the shortest length every document is cut.
+    cut = F.col("total_docs") * F.lit(max(limit, 0))
+    return at.crossJoin(every).select(
+        F.lit(limit).cast("long").alias("limit"),
+        F.coalesce("r.docs_over", "total_docs").alias("docs_over"),
+        F.coalesce(F.col("r.truncated_tokens") + more, cut).alias("truncated_tokens"),
+        F.coalesce(F.col("r.lost_tokens") - more, F.col("total_tokens") - cut).alias("lost_tokens"),
     )
 
 
