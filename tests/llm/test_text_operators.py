@@ -295,6 +295,16 @@ def test_every_piece_has_its_place(spark, texts, partition_pieces):
     assert packing.pack(texts.limit(0)).count() == 0
 
 
+def test_repeated_rows_are_spread_over_partitions(spark):
+    docs = spark.createDataFrame([(None, None)] * 640, "doc_id long, text string")
+    packed = packing.pack(docs, capacity=64, partition_pieces=64)
+    assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    rows = packed.collect()
+    parts = collections.Counter(r["sequence_id"] >> 24 for r in rows)
+    assert len(rows) == 640 and max(parts.values()) < 3 * 64
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 640
+
+
 def test_digest_columns(spark, texts):
     row = bpe.encode(texts).filter("doc_id = 5").select(
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)

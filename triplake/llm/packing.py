@@ -42,6 +42,10 @@ _PIECE = T.StructType(
 )
 
 
+#: A piece with the number of its stored row, by which it is dealt to partitions.
+_DEALT = T.StructType([*_PIECE.fields, T.StructField("row", T.LongType(), False)])
+
+
 def cut(size: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """Start and end of the pieces; what does not fill one comes first."""
     rest = size % capacity
@@ -131,7 +135,7 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 _PACKED = T.StructType(
     [
-        *_PIECE.fields,
+        *_DEALT.fields,
         T.StructField("sequence_id", T.LongType(), False),
         T.StructField("offset", T.LongType(), False),
         T.StructField("open", T.BooleanType(), False),
@@ -150,13 +154,14 @@ def _pack(table: DataFrame, parts: int, round_: int, capacity: int) -> DataFrame
         bins, offsets, free = best_fit(lengths, capacity)
         certified = len(free) == lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         opened = free >= capacity * OPEN_SHARE if certified else free > 0
-        out = part[[f.name for f in _PIECE.fields]].copy()
+        out = part[[f.name for f in _DEALT.fields]].copy()
         out["sequence_id"] = (round_ * parts_limit + number) * bins_limit + bins
         out["offset"] = offsets
         out["open"] = opened[bins]
         return out
 
-    salt = F.xxhash64(F.lit(round_), "doc_id", "piece", "start", "ids_crc32")
+    # Rows alike in all columns have numbers of their own, so they spread too.
+    salt = F.xxhash64(F.lit(round_), "row")
     packed = (
         table.withColumn("part", F.pmod(salt, F.lit(parts)).cast("int"))
         .groupBy("part").applyInPandas(run, _PACKED)
@@ -182,7 +187,8 @@ def pack(
     packed once each. Every piece is in one sequence, none is dropped. Ids are
     whole numbers; a NULL id stays NULL.
     """
-    table = stored(pieces(df, id_col, text_col, capacity, path), "pieces")
+    table = pieces(df, id_col, text_col, capacity, path)
+    table = stored(table.withColumn("row", F.monotonically_increasing_id()), "pieces")
     count = table.count()
     packed = _pack(table, max(1, -(-count // partition_pieces)), 0, capacity)
     out, round_ = packed.filter(~F.col("open")), 0
@@ -196,10 +202,10 @@ def pack(
         if bins <= lower_bound(counts, capacity):
             break
         round_ += 1
-        pieces_left = packed.select([f.name for f in _PIECE.fields])
+        pieces_left = packed.select([f.name for f in _DEALT.fields])
         again = _pack(pieces_left, -(-int(counts.sum()) // partition_pieces), round_, capacity)
         if _bins(again) >= bins:
             break
         out = out.union(again.filter(~F.col("open")))
         packed = again
-    return out.union(packed).drop("open").withColumnRenamed("doc_id", id_col)
+    return out.union(packed).drop("open", "row").withColumnRenamed("doc_id", id_col)
