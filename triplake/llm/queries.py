@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.llm import (
-    bpe, fingerprints, html, jaccard, lines, packing, quality, secrets, token_counts, warc,
+    bpe, decontaminate, fingerprints, html, jaccard, lines, packing, quality, secrets,
+    token_counts, warc,
 )
-from triplake.llm.common import documents, labels, pages
+from triplake.llm.common import benchmark, documents, labels, pages
 from triplake.session import new_scratch
 
 
@@ -98,6 +99,18 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(documents(spark, sf_dir), words=3, percent=90)
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside windows of benchmark items, and the items."""
+    found = decontaminate.find(documents(spark, sf_dir), benchmark(spark, sf_dir))
+    n_hit = F.size("hit_words").cast("long")
+    return found.select(
+        "doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -109,4 +122,5 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_lines": op9_lines,
     "op10_jaccard": op10_jaccard,
+    "op11_decontaminate": op11_decontaminate,
 }

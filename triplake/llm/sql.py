@@ -52,4 +52,40 @@ FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id
 GROUP BY d.doc_id, d.text
 """
 
-ORACLE: dict[str, str] = {"op9_lines": OP9_LINES}
+OP11_DECONTAMINATE = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+items AS (
+  SELECT item_id, w, least(len(w), 10) AS span FROM item_words WHERE len(w) > 0),
+places AS (
+  SELECT item_id, w, span, unnest(range(len(w) - span + 1)) AS i FROM items),
+windows AS (
+  SELECT DISTINCT item_id, span, array_to_string(w[i + 1 : i + span], ' ') AS win FROM places),
+spans AS (SELECT DISTINCT span FROM items),
+tried AS (
+  SELECT doc_id, w, span, unnest(range(len(w) - span + 1)) AS i
+  FROM doc_words, spans WHERE len(w) >= span),
+found AS (
+  SELECT t.doc_id, t.i, t.span, x.item_id FROM (
+    SELECT doc_id, i, span, array_to_string(w[i + 1 : i + span], ' ') AS win FROM tried) t
+  JOIN windows x ON t.span = x.span AND t.win = x.win),
+hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (
+    SELECT doc_id, unnest(range(i, i + span)) AS place FROM found) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+    SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL)
+  GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(d.w), 0)::BIGINT AS n_words,
+  coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(l.n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(l.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op9_lines": OP9_LINES, "op11_decontaminate": OP11_DECONTAMINATE}
