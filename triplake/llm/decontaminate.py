@@ -50,6 +50,10 @@ def _gram_hashes(count: int, span: int) -> Column:
     )
 
 
+def _print_of(span: int):
+    return lambda x, i: F.struct(x.alias("key"), F.lit(span).alias("span"), i.alias("at"))
+
+
 def _with_prints(df: DataFrame, spans: list[int], window: int, gram: int) -> DataFrame:
     """Explode rows with an array ``words`` into their kept hashes: key, span, at.
 
@@ -77,17 +81,12 @@ def _with_prints(df: DataFrame, spans: list[int], window: int, gram: int) -> Dat
                 grams,
                 lambda x, i: F.when(
                     F.greatest(*[F.get("least", i - j) for j in range(run)]) == x,
-                    F.struct(x.alias("key"), F.lit(window).alias("span"), i.alias("at")),
+                    _print_of(window)(x, i),
                 ),
             )
             marked = F.filter(marked, lambda p: p.isNotNull())
         else:
-            marked = F.transform(
-                grams,
-                lambda x, i, span=span: F.struct(
-                    x.alias("key"), F.lit(span).alias("span"), i.alias("at")
-                ),
-            )
+            marked = F.transform(grams, _print_of(span))
         none = F.array().cast("array<struct<key:bigint,span:int,at:int>>")
         arrays.append(F.coalesce(marked, none))
     return df.select(*kept, F.explode(F.concat(*arrays)).alias("p")).select(
@@ -124,32 +123,32 @@ def _occurrences(texts: DataFrame, windows: DataFrame, window: int, gram: int) -
     """d1, d2, hit_words, found: of texts with places to extend (``spots``), the
     words inside occurring windows and the digests of these windows."""
 
+    # A place is one number, at and span together: sets of numbers are hashed,
+    # where Spark compares each two structs of an array.
+    def packed(at: Column, span: Column) -> Column:
+        return at.cast("long") * (window + 1) + span
+
     def around(p: Column) -> Column:
         first = F.greatest(p["at"] - (window - gram), F.lit(0))
         last = F.least(p["at"], F.col("n") - window)
         return F.when(
             p["span"] == window,
-            F.transform(
-                F.sequence(first, last),
-                lambda i: F.struct(i.alias("at"), p["span"].alias("span")),
-            ),
-        ).otherwise(F.array(F.struct(p["at"].alias("at"), p["span"].alias("span"))))
+            F.transform(F.sequence(first, last), lambda i: packed(i, p["span"])),
+        ).otherwise(F.array(packed(p["at"], p["span"])))
+
+    def digested(place: Column) -> Column:
+        span = (place % (window + 1)).cast("int")
+        at = F.floor(place / (window + 1)).cast("int")
+        text = F.array_join(F.slice("words", at + 1, span), " ")
+        return F.struct(
+            at.alias("at"), span.alias("span"),
+            *[d.alias(f"w{i}") for i, d in enumerate(text_digest(text), 1)],
+        )
 
     tried = F.array_distinct(F.flatten(F.transform("spots", around)))
-    digested = F.transform(
-        "tried",
-        lambda p: F.struct(
-            p["at"].alias("at"), p["span"].alias("span"),
-            *[
-                d.alias(f"w{i}") for i, d in enumerate(
-                    text_digest(F.array_join(F.slice("words", p["at"] + 1, p["span"]), " ")), 1
-                )
-            ],
-        ),
-    )
     met = (
         texts.withColumn("n", F.size("words")).withColumn("tried", tried)
-        .select("d1", "d2", F.explode(digested).alias("t"))
+        .select("d1", "d2", F.explode(F.transform("tried", digested)).alias("t"))
         .select("d1", "d2", "t.at", "t.span", "t.w1", "t.w2")
     )
     windows = windows.select("w1", "w2").distinct()
