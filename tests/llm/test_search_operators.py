@@ -8,7 +8,8 @@ import re
 import numpy as np
 import pytest
 
-from triplake.llm import decontaminate
+from __spark_entry__ import queries
+from triplake.llm import decontaminate, whitening
 
 DATA = "/root/testdata/sf0.001"
 
@@ -88,3 +89,90 @@ def test_no_python_in_the_plan(spark):
     bench = spark.read.parquet(f"{DATA}/benchmark.parquet")
     plan = decontaminate.find(docs, bench)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# ---- whitening
+
+
+def plain_whitening(vectors, count=16):
+    """Eigenvalues and vectors by the library, sums and deviations in whole numbers."""
+    x = [tuple(int(np.floor(float(c) * 64)) + 1_000_000 for c in v) for v in vectors]
+    fit = sorted(set(x))
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    offsets = np.array([[n * c - s for c, s in zip(row, sums)] for row in fit], float) / n
+    values, loads = np.linalg.eigh(offsets.T @ offsets / n)
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(row, sums)) for row in x]
+    own = np.array([[n * c - s for c, s in zip(row, sums)] for row in x], float) / n
+    order = np.argsort(-values)[:count]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        white = own @ loads[:, order] / np.sqrt(values[order])
+    return n, deviations, white, values[order] / values.sum()
+
+
+def check_whitening(rows, vectors, components):
+    n, deviations, white, explained = plain_whitening(vectors)
+    by_row = {}
+    for r in rows:
+        by_row.setdefault(r["vec_id"], {})[r["component"]] = r
+    assert len(rows) == len(vectors) * components and len(by_row) == len(vectors)
+    signs = [np.sign(white[:, c] @ [by_row[i][c + 1]["whitened"] for i in range(len(vectors))])
+             for c in range(components)]
+    for i, found in by_row.items():
+        assert sorted(found) == list(range(1, components + 1))
+        for c, r in found.items():
+            assert (r["n"], r["deviation"]) == (n, deviations[i])
+            assert r["whitened"] == pytest.approx(signs[c - 1] * white[i, c - 1], abs=1e-7)
+            assert r["explained"] == pytest.approx(explained[c - 1], rel=1e-9)
+            assert r["identity_error"] <= 1e-9
+
+
+@pytest.mark.parametrize("spread", ["plain", "alike", "graded", "low"])
+def test_spectrum_of_symmetric_matrices(spread):
+    rng = np.random.default_rng(3)
+    q, _ = np.linalg.qr(rng.normal(size=(40, 40)))
+    values = {
+        "plain": rng.random(40), "alike": np.repeat(rng.random(8), 5),
+        "graded": 10.0 ** -np.arange(40), "low": np.r_[np.zeros(30), rng.random(10)],
+    }[spread]
+    a = q * values @ q.T
+    a = (a + a.T) / 2
+    found, vectors = whitening.spectrum(a)
+    assert np.allclose(found, np.sort(values)[::-1], atol=1e-14)
+    assert np.linalg.norm(a @ vectors - vectors * found) < 1e-13
+    assert np.linalg.norm(vectors.T @ vectors - np.eye(40)) < 1e-13
+
+
+def test_registered_whitening(spark):
+    rows = spark.read.parquet(f"{DATA}/embeddings.parquet").orderBy("vec_id").collect()
+    assert [r["vec_id"] for r in rows] == list(range(len(rows)))
+    got = queries()["op13_whitening"](spark, DATA).collect()
+    check_whitening(got, [r["embedding"] for r in rows], 16)
+
+
+def test_whitening_of_edge_rows(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(60, 5)).tolist()
+    vectors += [vectors[0], vectors[0], [300.0, -300.0, 1e4, 0.0, 1.0]]
+    bad = [None, [], [1.0, 2.0], [1.0, None, 0.0, 0.0, 0.0], [float("nan")] * 5,
+           [float("inf"), 0.0, 0.0, 0.0, 0.0], [1e30, 0.0, 0.0, 0.0, 0.0]]
+    rows = [(i, v, "x", i) for i, v in enumerate(vectors)]
+    rows += [(1000 + i, v, "x", 0) for i, v in enumerate(bad)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, Whitened string, grid int")
+    out = whitening.whiten(df)
+    assert out.columns == ["vec_id", "grid", "whitened", "deviation", "n", "explained", "identity_error"]
+    found = out.collect()
+    assert all(r["vec_id"] == r["grid"] for r in found)
+    each = [
+        {"vec_id": r["vec_id"], "component": c + 1, "n": r["n"], "deviation": r["deviation"],
+         "whitened": r["whitened"][c], "explained": r["explained"][c],
+         "identity_error": r["identity_error"]}
+        for r in found for c in range(5)
+    ]
+    check_whitening(each, vectors, 5)
+    assert whitening.whiten(df.limit(0)).count() == 0
+    same = whitening.whiten(spark.createDataFrame([(None, [1.0, 2.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<float>"))
+    assert [tuple(r)[1:] for r in same.collect()] == [([None, None], 0, 1, [None, None], 0.0)] * 2
+    flat = spark.createDataFrame([(i, [float(i), 2.0, -float(i)]) for i in range(9)], "vec_id long, embedding array<float>")
+    row = whitening.whiten(flat).first()
+    assert row["whitened"][1:] == [None, None] and row["explained"][0] == pytest.approx(1)
+    assert row["explained"][1:] == pytest.approx([0, 0], abs=1e-15)

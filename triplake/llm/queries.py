@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from triplake.llm import (
     bpe, decontaminate, fingerprints, html, jaccard, lines, packing, quality, secrets,
-    token_counts, warc,
+    token_counts, warc, whitening,
 )
-from triplake.llm.common import benchmark, documents, labels, pages
+from triplake.llm.common import benchmark, documents, embeddings, labels, pages
 from triplake.session import new_scratch
 
 
@@ -111,6 +111,16 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first components of each embedding, one row for each of them."""
+    white = whitening.whiten(embeddings(spark, sf_dir).select("vec_id", "embedding"))
+    return white.select("*", F.posexplode("whitened").alias("at", "entry")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation",
+        F.col("entry").alias("whitened"), F.get("explained", F.col("at")).alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -123,4 +133,5 @@ QUERIES = {
     "op9_lines": op9_lines,
     "op10_jaccard": op10_jaccard,
     "op11_decontaminate": op11_decontaminate,
+    "op13_whitening": op13_whitening,
 }
