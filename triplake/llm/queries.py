@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.llm import (
-    bpe, decontaminate, fingerprints, html, jaccard, lines, packing, quality, secrets,
-    token_counts, warc, whitening,
+    bpe, decontaminate, fingerprints, html, jaccard, lines, negatives, packing, quality,
+    secrets, token_counts, warc, whitening,
 )
 from triplake.llm.common import benchmark, documents, embeddings, labels, pages
 from triplake.session import new_scratch
@@ -111,6 +111,13 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the positives of every hundredth embedding."""
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    vectors = embeddings(spark, sf_dir).withColumn("label", F.coalesce(other, "label"))
+    return negatives.mine(vectors, every=100)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first components of each embedding, one row for each of them."""
     white = whitening.whiten(embeddings(spark, sf_dir).select("vec_id", "embedding"))
@@ -133,5 +140,6 @@ QUERIES = {
     "op9_lines": op9_lines,
     "op10_jaccard": op10_jaccard,
     "op11_decontaminate": op11_decontaminate,
+    "op12_negatives": op12_negatives,
     "op13_whitening": op13_whitening,
 }

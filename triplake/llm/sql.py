@@ -88,4 +88,31 @@ SELECT d.doc_id, coalesce(len(d.w), 0)::BIGINT AS n_words,
 FROM doc_words d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN listed l ON d.doc_id = l.doc_id
 """
 
-ORACLE: dict[str, str] = {"op9_lines": OP9_LINES, "op11_decontaminate": OP11_DECONTAMINATE}
+OP12_NEGATIVES = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike,
+    list_sum(list_transform(list_zip(a.x, r.x), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+ranked AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS place
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.alike
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, place::INTEGER AS "rank", negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op9_lines": OP9_LINES,
+    "op11_decontaminate": OP11_DECONTAMINATE,
+    "op12_negatives": OP12_NEGATIVES,
+}

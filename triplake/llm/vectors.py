@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from triplake.llm.common import other_columns, python_ready
 
-#: Grid values lie below this size, so that they fit an int.
+#: Grid values lie below this size at most, so that they fit an int.
 GRID_END = 1 << 28
 
 
@@ -22,17 +22,18 @@ def rows_of(column: pa.Array) -> np.ndarray:
 
 
 def on_grid(
-    df: DataFrame, vector_col: str, grid_col: str, scale: int, offset: int = 0
+    df: DataFrame, vector_col: str, grid_col: str, scale: int, offset: int = 0,
+    grid_end: int = GRID_END,
 ) -> DataFrame:
     """The vector replaced by ``grid_col``: floor(scale * entry) + offset of each entry.
 
     Rows whose vector is NULL or empty, or has an entry that is NULL, not finite
-    or off the grid (``GRID_END``), go; so do vectors of another length than most
+    or off the grid (``grid_end``), go; so do vectors of another length than most
     rows that are left have (of equally frequent lengths the largest).
     """
     kept = other_columns(df, [vector_col])
     entries = F.col(f"`{vector_col}`")
-    end = GRID_END - abs(offset) - 1
+    end = grid_end - abs(offset) - 1
     fits = F.forall(
         entries, lambda c: F.coalesce(F.abs(c.cast("double")) * scale < end, F.lit(False))
     )
