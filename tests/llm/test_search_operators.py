@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from __spark_entry__ import queries
-from triplake.llm import decontaminate, whitening
+from triplake.llm import decontaminate, negatives, whitening
 
 DATA = "/root/testdata/sf0.001"
 
@@ -176,3 +176,83 @@ def test_whitening_of_edge_rows(spark):
     row = whitening.whiten(flat).first()
     assert row["whitened"][1:] == [None, None] and row["explained"][0] == pytest.approx(1)
     assert row["explained"][1:] == pytest.approx([0, 0], abs=1e-15)
+
+
+# ---- hard negatives
+
+
+def plain_negatives(rows, every, positives=5, negatives=10, scale=256):
+    own = {}
+    for i, label, v in rows:
+        if i is None or label is None or not v or any(c is None or not np.isfinite(c) for c in v):
+            continue
+        x = [int(np.floor(float(c) * scale)) for c in v]
+        own[i] = min(own.get(i, (label, x)), (label, x))
+    out = []
+    for a, (label, x) in own.items():
+        if a % every:
+            continue
+        ranked = sorted((-sum(p * q for p, q in zip(x, y)), i, other)
+                        for i, (other, y) in own.items() if i != a)
+        for p, i, _ in [r for r in ranked if r[2] == label][:positives]:
+            fits = [r for r in ranked if r[2] != label and 30 * -p <= 100 * -r[0] <= 90 * -p]
+            out += [(a, i, k, r[1], -p, -r[0]) for k, r in enumerate(fits[:negatives], 1)]
+    return sorted(out)
+
+
+def test_negatives_of_anchors(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(6, 6)) * 3
+    rows = [(i, int(rng.integers(3)), (centres[i % 6] + rng.normal(size=6) / 2).tolist()) for i in range(400)]
+    rows += [(400 + i, i % 2, centres[1].tolist()) for i in range(60)]  # many ties
+    rows += [(0, 0, rows[0][2]), (0, 0, rows[0][2]), (20, 2, [0.0] * 6), (21, 0, [0.0] * 6),
+             (-20, 1, (-centres[0]).tolist()), (500, 1, [1000.0] * 6), (501, 2, [-900.0, 5.0, 0, 0, 0, 0])]
+    rows += [(None, 1, [1.0] * 6), (600, None, [1.0] * 6), (620, 1, None), (640, 1, [1.0, None, 0, 0, 0, 0]),
+             (660, 1, [float("inf")] + [0.0] * 5), (680, 1, [float("nan")] * 6), (700, 1, []), (720, 1, [1.0])]
+    rows = [(i, l, None if v is None else [None if c is None else float(c) for c in v]) for i, l, v in rows]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, label int, embedding array<double>, known string, bound int")
+    want = plain_negatives([r for r in rows if r[2] is None or len(r[2]) != 1], 20)
+    assert len(want) > 300
+    for slab, part, clusters in ((1 << 15, 1 << 12, 8), (100, 3, 4)):
+        monkeypatch.setattr(negatives, "SLAB_ROWS", slab)
+        monkeypatch.setattr(negatives, "PART_ANCHORS", part)
+        monkeypatch.setattr(negatives, "CLUSTERS", clusters)
+        assert sorted(tuple(r) for r in negatives.mine(df, every=20).collect()) == want
+    assert negatives.mine(df.limit(0)).count() == 0
+    assert negatives.mine(df.filter("vec_id = 1")).count() == 0
+
+
+def test_walks_end_where_the_bound_certifies():
+    rng = np.random.default_rng(9)
+    x = np.floor(256 * np.concatenate([rng.normal(size=(500, 8)) / 9 + c for c in np.eye(8)])).astype(np.int64)
+    labels, ids = np.arange(len(x)) % 2, np.arange(len(x))
+    chosen = np.arange(0, 500, 50)
+    centres = negatives.centres_of(x[chosen], 1)
+    widths = negatives.angles(x[chosen], centres).max(axis=0)
+    bound = negatives.bounds(x, centres, widths)[:, 0]
+    order = np.argsort(-bound)
+    goals = [(i, -negatives._MOST, negatives._MOST) for i in range(len(chosen))]
+    walk, seen = negatives.Walk(x[chosen], ids[chosen], labels[chosen], goals, 5, same=True), 0
+    for begin in range(0, len(order), 50):
+        at = order[begin : begin + 50]
+        if walk.stop(bound[at[0]]):
+            break
+        walk.see(x[at], ids[at], labels[at])
+        seen += len(at)
+    assert seen < len(x) / 2
+    for g, a in enumerate(chosen):
+        fits = [i for i in ids if i != a and labels[i] == labels[a]]
+        best = sorted((-int(x[a] @ x[i]), int(i)) for i in fits)[:5]
+        assert [(-s, i) for n, s, i in walk.best.tolist() if n == g] == best
+
+
+def test_bound_holds_for_every_pair():
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(size=(200, 5)) * 100, np.zeros((2, 5)), np.tile(rng.normal(size=(1, 5)) * 50, (3, 1))])
+    centres = negatives.centres_of(x[:40], 3)
+    apart = negatives.angles(x, centres)
+    cluster = np.argmin(apart, axis=1)
+    widths = np.array([apart[cluster == k, k].max(initial=0) for k in range(len(centres))])
+    bound = negatives.bounds(x, centres, widths)
+    most = np.linalg.norm(x, axis=1)[:, None] * bound[:, cluster].T
+    assert (x @ x.T <= most + 1e-6).all()
