@@ -134,7 +134,7 @@ def events_stream(spark: SparkSession, sf_dir: str, unit: str = "month") -> Data
 
 def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as rows of monthly files, with source period and file name."""
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = _spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax",
     )

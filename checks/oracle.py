@@ -354,6 +354,27 @@ def _text(name: str) -> str:
     return f"CAST({name} AS VARCHAR)"
 
 
+#: Columns of the order files as text.
+ORDER_TEXTS = {
+    "l_orderkey": _text("l_orderkey"),
+    "VendorID": _text("vendor_id"),
+    "tpep_pickup_datetime": _time_text("pickup_datetime"),
+    "tpep_dropoff_datetime": _time_text("dropoff_datetime"),
+    "passenger_count": _text("passenger_count"),
+    "trip_distance": _double_text("trip_distance"),
+    "RatecodeID": _text("rate_code_id"),
+    "PULocationID": _text("pickup_location_id"),
+    "DOLocationID": _text("dropoff_location_id"),
+    "payment_type": _text("payment_type"),
+    "fare_amount": _double_text("fare_amount"),
+    "extra": _double_text("extra"),
+    "tip_amount": _double_text("tip_amount"),
+    "total_amount": _double_text("total_amount"),
+    "source_period": "source_year_month",
+    "file_name": "file_name",
+}
+
+
 def _scores(select: str) -> str:
     return _day_trips(
         select,
@@ -543,24 +564,15 @@ ORACLE = {
     "fingerprint": _with(
         FILE_ORDERS,
         select=f"""SELECT source_year_month AS source_period, count(*) AS row_count,
-        CAST(sum({_row_hash({
-            "l_orderkey": _text("l_orderkey"),
-            "VendorID": _text("vendor_id"),
-            "tpep_pickup_datetime": _time_text("pickup_datetime"),
-            "tpep_dropoff_datetime": _time_text("dropoff_datetime"),
-            "passenger_count": _text("passenger_count"),
-            "trip_distance": _double_text("trip_distance"),
-            "RatecodeID": _text("rate_code_id"),
-            "PULocationID": _text("pickup_location_id"),
-            "DOLocationID": _text("dropoff_location_id"),
-            "payment_type": _text("payment_type"),
-            "fare_amount": _double_text("fare_amount"),
-            "extra": _double_text("extra"),
-            "tip_amount": _double_text("tip_amount"),
-            "total_amount": _double_text("total_amount"),
-            "source_period": "source_year_month",
-            "file_name": "file_name",
-        })}) AS VARCHAR) AS fingerprint FROM file_orders GROUP BY 1""",
+        CAST(sum({_row_hash(ORDER_TEXTS)}) AS VARCHAR) AS fingerprint FROM file_orders GROUP BY 1""",
+    ),
+    "fingerprint_incremental": _with(
+        FILE_ORDERS,
+        """kept_orders AS (
+          SELECT * REPLACE (CASE WHEN rate_code_id % 3 = 1 THEN extra + 0.01::DOUBLE ELSE extra END
+            AS extra) FROM file_orders WHERE rate_code_id % 3 <> 2)""",
+        select=f"""SELECT source_year_month AS source_period, count(*) AS row_count,
+        CAST(sum({_row_hash(ORDER_TEXTS)}) AS VARCHAR) AS fingerprint FROM kept_orders GROUP BY 1""",
     ),
     "fingerprint_typed": _with(
         FILE_ORDERS,
@@ -587,6 +599,43 @@ ORACLE = {
         SELECT period, status, CASE WHEN status <> 'rebuilt' THEN NULL
             WHEN NOT present THEN 'output missing' WHEN parent_rebuilt THEN 'parent rebuilt'
             ELSE 'input changed' END AS reason FROM decided""",
+    "rebuild_cascade": f"""WITH rows AS (
+          SELECT strftime(ts, '%Y-%m-%d') AS period, day(ts) AS day,
+            dayofweek(ts) + 1 AS weekday, * FROM events),
+        hashed AS (SELECT *, {_row_hash({
+            "event_id": _text("event_id"), "ts": _time_text("ts"), "user_id": _text("user_id"),
+            "event_type": "event_type", "value": _double_text("value"), "props": "props",
+            "period": "period"})} AS h FROM rows),
+        days AS (SELECT period, any_value(day) AS day, any_value(weekday) AS weekday,
+            CAST(sum(h) AS VARCHAR) AS now,
+            CAST(sum(h) FILTER (WHERE day <= 24 AND (day > 10 OR event_type <> 'error')) AS VARCHAR)
+              AS before
+          FROM hashed GROUP BY period),
+        trips AS (SELECT *,
+            sha256(concat_ws(chr(10), 'trips', now, 'rules 1')) AS desired,
+            CASE WHEN before IS NOT NULL THEN sha256(concat_ws(chr(10), 'trips', before, 'rules 1')) END
+              AS previous, day >= 4 AND weekday <> 2 AS present FROM days),
+        trips_plan AS (SELECT *, CASE WHEN present AND previous IS NOT DISTINCT FROM desired
+              THEN 'unchanged' WHEN present AND previous IS NULL THEN 'bootstrapped'
+              ELSE 'rebuilt' END AS status FROM trips),
+        serving AS (SELECT period, status AS parent, day >= 3 AS present,
+            sha256(concat_ws(chr(10), 'serving', desired, 'rules 2')) AS desired,
+            CASE WHEN previous IS NOT NULL THEN sha256(concat_ws(chr(10), 'serving', previous,
+              CASE WHEN weekday = 1 THEN 'rules 1' ELSE 'rules 2' END)) END AS previous
+          FROM trips_plan),
+        serving_plan AS (SELECT *, CASE WHEN present AND previous IS NOT DISTINCT FROM desired
+              THEN 'unchanged' WHEN present AND previous IS NULL AND parent <> 'rebuilt'
+              THEN 'bootstrapped' ELSE 'rebuilt' END AS status FROM serving)
+        SELECT 'trips' AS stage, period, status, CASE WHEN status <> 'rebuilt' THEN NULL
+            WHEN NOT present THEN 'output missing' ELSE 'input changed' END AS reason FROM trips_plan
+        UNION ALL
+        SELECT 'serving', period, status, CASE WHEN status <> 'rebuilt' THEN NULL
+            WHEN NOT present THEN 'output missing' WHEN parent = 'rebuilt' THEN 'parent rebuilt'
+            ELSE 'input changed' END FROM serving_plan
+        UNION ALL
+        SELECT unnest(['trips', 'serving']), '1999-01-01', 'removed', 'no input'
+        UNION ALL
+        SELECT 'model', '*', 'rebuilt', 'output missing'""",
     "overview_kpis": _trips(
         """SELECT CAST(sum(trip_count) AS BIGINT) AS total_trips,
         round(CAST(sum(CAST(total_revenue AS DECIMAL(18,4))) AS DOUBLE), 6) AS total_revenue,

@@ -27,9 +27,10 @@ from triplake.operators import (
     regression,
     scoring,
 )
+from triplake.operators.manifest import StageSpec
 from triplake.plans import serving
 from triplake.session import new_scratch
-from triplake.sources import bronze, messages, tables
+from triplake.sources import bronze, folders, messages, tables
 from triplake.streaming import audit, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -386,6 +387,80 @@ def rebuild_plan(spark, sf):
     return manifest.rebuild_plan(current, saved, outputs, parents)
 
 
+@query
+def fingerprint_incremental(spark, sf):
+    """Fingerprints from the states of files, of which one group was replaced, one
+    removed and one added since the states were first taken."""
+    rows = fx.order_files(spark, sf)
+    root = new_scratch(spark, "order-files")
+
+    def write(part: int, part_rows: DataFrame) -> None:
+        part_rows.write.mode("overwrite").parquet(f"{root}/part={part}")
+
+    def states(known: DataFrame) -> DataFrame:
+        listing = tables.stored(folders.list_files(spark, root, "orders"), "order-listing")
+        changed = [r.file for r in manifest.changed_files(listing, known).collect()]
+        path = F.col("_metadata.file_path")
+        found = spark.read.schema(rows.schema).parquet(root).filter(path.isin(changed))
+        fresh = manifest.file_fingerprints(
+            found.withColumn("_file", path).drop("part"), "_file", "source_period", portable=True
+        )
+        return tables.stored(manifest.refreshed_files(known, listing, fresh), "order-states")
+
+    group = F.col("RatecodeID") % 3
+    for part in range(3):
+        write(part, rows.filter((group == part) & (F.col("RatecodeID") != 6)))
+    known = states(spark.createDataFrame(
+        [], "source string, file string, size bigint, modified timestamp, period string, "
+        "row_count bigint, hash_sum decimal(38,0)",
+    ))
+    write(1, rows.filter(group == 1).withColumn("extra", F.col("extra") + 0.01))
+    folders.delete(spark, f"{root}/part=2")
+    write(9, rows.filter("RatecodeID = 6"))
+    return manifest.fingerprints_of_files(states(known)).withColumnRenamed(
+        "period", "source_period"
+    )
+
+
+@query
+def rebuild_cascade(spark, sf):
+    """Trips by day, serving tables by day and one model, of which the last run had
+    other early days, and for Sundays other rules of the serving tables. A day of
+    which events are no longer there was built then, too."""
+    events = fx.table(spark, sf, "events")
+    rows = events.select(
+        period_text(F.col("ts"), "day").alias("period"), F.dayofmonth("ts").alias("day"),
+        F.dayofweek("ts").alias("weekday"), *events.columns,
+    )
+    whole = ("period", *events.columns)
+    trips, tables_, model = (
+        StageSpec("trips", None, "rules 1"), StageSpec("serving", "trips", "rules 2"),
+        StageSpec("model", "serving", "seed 42", whole=True),
+    )
+    sources = manifest.fingerprints(rows.select(*whole), "period", portable=True)
+    known = rows.filter("day <= 24 AND (day > 10 OR event_type != 'error')")
+    days = rows.groupBy("period").agg(F.first("day").alias("day"), F.first("weekday").alias("weekday"))
+    sunday = days.filter("weekday = 1").select("period")
+    before = manifest.stage_fingerprints(
+        manifest.fingerprints(known.select(*whole), "period", portable=True), trips
+    )
+    served = manifest.stage_fingerprints(before, tables_).join(sunday, "period", "left_anti")
+    older = manifest.stage_fingerprints(before, tables_._replace(settings="rules 1")).join(
+        sunday, "period", "left_semi"
+    )
+    gone = spark.createDataFrame([("1999-01-01", "0")], "period string, fingerprint string")
+    saved = (
+        before.union(gone).select(F.lit("trips").alias("stage"), "*")
+        .union(served.union(older).union(gone).select(F.lit("serving").alias("stage"), "*"))
+    )
+    outputs = (
+        days.filter("day >= 4 AND weekday != 2").select(F.lit("trips").alias("stage"), "period")
+        .union(days.filter("day >= 3").select(F.lit("serving").alias("stage"), "period"))
+        .union(gone.select(F.lit("serving").alias("stage"), "period"))
+    )
+    return manifest.cascade(sources, [trips, tables_, model], saved, outputs)
+
+
 # ---------------------------------------------------------------- dashboard
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from triplake.functions import exact
 from triplake.operators import cleaning, dashboard, enrich, manifest, metrics, quality
 from triplake.operators.canonical import batch_to_canonical
-from triplake.plans import trips as trip_plans
+from triplake.plans import rebuild as trip_plans
 from triplake.plans.trips import gather_sources, trip_table
 from triplake.sources import bronze, folders, messages, tables
 from triplake.sources.zones import read_zones

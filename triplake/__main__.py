@@ -6,7 +6,7 @@ import argparse
 import sys
 
 from triplake.operators import quality
-from triplake.plans import duration, serving, stream, trips
+from triplake.plans import duration, rebuild, serving, stream, trips
 from triplake.session import open_session
 from triplake.sources import bronze, folders, messages
 from triplake.sources.tables import read_trips
@@ -45,13 +45,17 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     job.add_argument("--rebalance", action="store_true")
 
-    job = jobs.add_parser("rebuild", help="rebuild the periods of the trip table that changed")
+    job = jobs.add_parser("rebuild", help="bring the trips, and what is made of them, up to date")
     job.add_argument("--batch-root")
     job.add_argument("--stream-root")
     job.add_argument("--zones", required=True)
     job.add_argument("--target", required=True)
     job.add_argument("--manifest", required=True)
     job.add_argument("--rebalance", action="store_true")
+    job.add_argument("--serving", help="also these serving tables")
+    job.add_argument("--dataset", help="also this model dataset")
+    job.add_argument("--test-month", type=folders.require_period, help="of the dataset")
+    job.add_argument("--model", help="also the model on target encodings")
 
     job = jobs.add_parser("send", help="send the rows of a month as messages")
     job.add_argument("--source", required=True)
@@ -170,10 +174,20 @@ def _run(spark, args) -> int:
             args.rebalance,
         )
     elif args.job == "rebuild":
-        trips.rebuild_trips(
-            spark, args.batch_root, args.stream_root, args.zones, args.target, args.manifest,
-            args.rebalance,
-        ).orderBy("period").show(1000, truncate=False)
+        if args.dataset and not args.test_month or args.model and not args.dataset:
+            raise SystemExit("a dataset needs --test-month, a model needs --dataset")
+        stages = [rebuild.trip_stage(
+            spark, args.batch_root, args.stream_root, args.zones, args.target, args.rebalance
+        )]
+        if args.serving:
+            stages.append(rebuild.serving_stage(spark, args.target, args.serving))
+        if args.dataset:
+            stages.append(rebuild.dataset_stage(spark, args.target, args.dataset, args.test_month))
+        if args.model:
+            stages.append(rebuild.model_stage(spark, args.dataset, args.model))
+        rebuild.rebuild(
+            spark, args.batch_root, args.stream_root, stages, args.manifest
+        ).show(10_000, truncate=False)
     elif args.job == "send":
         if (args.folder is None) == (args.bootstrap_servers is None):
             raise SystemExit("give either --bootstrap-servers or --folder")

@@ -34,8 +34,13 @@ def _lineage(source: str, period: Column, partition: Column, offset: Column, tim
     ]
 
 
-def batch_to_canonical(df: DataFrame, period: Column | str, wall_clock: bool = False) -> DataFrame:
-    """Project one file layout to the canonical columns; absent ones become NULL."""
+def batch_to_canonical(
+    df: DataFrame, period: Column | str, wall_clock: bool = False, beside: tuple[Column, ...] = ()
+) -> DataFrame:
+    """Project one file layout to the canonical columns; absent ones become NULL.
+
+    Columns in ``beside`` are carried along behind them.
+    """
     types = {f.name: f.dataType for f in df.schema}
 
     def convert(field: TripField) -> Column:
@@ -47,7 +52,7 @@ def batch_to_canonical(df: DataFrame, period: Column | str, wall_clock: bool = F
     columns = [convert(field).alias(field.name) for field in TRIP_FIELDS]
     period = F.lit(period) if isinstance(period, str) else period
     missing = F.lit(None)
-    return df.select(*columns, *_lineage("batch", period, missing, missing, missing))
+    return df.select(*columns, *_lineage("batch", period, missing, missing, missing), *beside)
 
 
 def _with_payload(df: DataFrame) -> DataFrame:
@@ -67,8 +72,13 @@ def _with_payload(df: DataFrame) -> DataFrame:
     return df.select("*", F.inline(F.array(payload)))
 
 
-def messages_to_canonical(df: DataFrame, wall_clock: bool = False) -> DataFrame:
-    """Stored messages (raw JSON and Kafka columns) in the canonical layout."""
+def messages_to_canonical(
+    df: DataFrame, wall_clock: bool = False, beside: tuple[Column, ...] = ()
+) -> DataFrame:
+    """Stored messages (raw JSON and Kafka columns) in the canonical layout.
+
+    Columns in ``beside`` are carried along behind it.
+    """
     readers = {
         "long": text_to_long,
         "double": text_to_double,
@@ -92,4 +102,4 @@ def messages_to_canonical(df: DataFrame, wall_clock: bool = False) -> DataFrame:
         F.col("kafka_offset"),
         F.col("kafka_timestamp"),
     )
-    return _with_payload(df).select(*columns, *lineage)
+    return _with_payload(df).select(*columns, *lineage, *beside)

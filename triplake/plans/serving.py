@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from triplake.functions.timeparts import two_digits
 from triplake.operators.metrics import serving_table, serving_tables
 from triplake.operators.quality import all_pass, reconcile
 from triplake.sources.tables import read_trips, write_periods, write_whole
 
+#: Raised when the tables below come out differently, so that they are rebuilt.
+RULES = "1"
+
+
 def build_serving(
     spark: SparkSession,
     trips_path: str,
@@ -30,6 +36,16 @@ def build_serving(
         )
 
 
+def serving_of_periods(
+    spark: SparkSession, trips_path: str, periods: list[str]
+) -> dict[str, DataFrame]:
+    """Each table for some periods; only their partitions of the trips are read."""
+    trips = read_trips(spark, trips_path)
+    period = F.concat_ws("-", F.col("pickup_year").cast("string"), two_digits(F.col("pickup_month")))
+    trips = trips.filter(period.isin(periods))
+    return {name: serving_table(trips, name) for name in serving_tables()}
+
+
 def read_serving(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{base.rstrip('/')}/{name}") for name in serving_tables()}
 

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from triplake.operators.cleaning import keep_usable, with_calendar
 from triplake.operators.enrich import with_zones
-from triplake.operators.manifest import fingerprints, rebuild_plan
 from triplake.schemas import TRIP_TABLE_COLUMNS
 from triplake.sources.bronze import read_messages, read_months, union_all
-from triplake.sources.folders import exists, require_period
-from triplake.sources.tables import stored, write_periods
+from triplake.sources.folders import require_period
+from triplake.sources.tables import write_periods
 from triplake.sources.zones import read_zones
 
+#: Raised when the rules below give other rows, so that stored periods are rebuilt.
+RULES = "1"
+
 
 def trip_table(canonical: DataFrame, zones: DataFrame, period_unit: str = "month") -> DataFrame:
     """Canonical rows to the trip table: one narrow stage, no shuffle."""
@@ -27,8 +28,10 @@ def gather_sources(
     stream_root: str | None,
     months: set[str] | None = None,
     wall_clock: bool = False,
+    stream_months: set[str] | None = None,
 ) -> DataFrame:
-    """Union of the sources that are given and present."""
+    """Union of the sources that are given and present; ``months`` restricts the
+    landed files, ``stream_months`` the stored messages."""
     if batch_root is None and stream_root is None:
         raise ValueError("batch and stream cannot both be skipped")
     for month in months or ():
@@ -37,7 +40,7 @@ def gather_sources(
     if batch_root is not None:
         found.append(read_months(spark, batch_root, months, wall_clock))
     if stream_root is not None:
-        found.append(read_messages(spark, stream_root, wall_clock))
+        found.append(read_messages(spark, stream_root, wall_clock, periods=stream_months))
     rows = union_all([frame for frame in found if frame is not None])
     if rows is None:
         raise FileNotFoundError("no batch month and no stored message was found")
@@ -60,50 +63,3 @@ def build_trips(
     canonical = gather_sources(spark, batch_root, stream_root, months, wall_clock)
     trips = trip_table(canonical, read_zones(spark, zone_file))
     write_periods(trips, target, mode, rebalance)
-
-
-def rebuild_trips(
-    spark: SparkSession,
-    batch_root: str | None,
-    stream_root: str | None,
-    zone_file: str,
-    target: str,
-    manifest: str,
-    rebalance: bool = False,
-    wall_clock: bool = False,
-) -> DataFrame:
-    """Build only the periods whose input changed since the stored manifest.
-
-    Returns the plan, one row for each period: ``unchanged``, ``bootstrapped``
-    (output adopted as it is) or ``rebuilt``, with a reason. The manifest is
-    replaced after the trips are written, so a failed run is repeated.
-    """
-    canonical = gather_sources(spark, batch_root, stream_root, None, wall_clock)
-    current = stored(
-        fingerprints(canonical, "source_year_month").withColumnRenamed(
-            "source_year_month", "period"
-        ).filter(F.col("period").isNotNull()),
-        "source-fingerprints",
-    )
-    no_periods = spark.createDataFrame([], "period string, fingerprint string")
-    saved = no_periods
-    if exists(spark, manifest):
-        saved = stored(spark.read.parquet(manifest), "saved-fingerprints")
-    outputs = no_periods.select("period")
-    if exists(spark, target):
-        month = F.lpad(F.col("pickup_month").cast("string"), 2, "0")
-        outputs = spark.read.parquet(target).select(
-            F.concat_ws("-", "pickup_year", month).alias("period")
-        ).distinct()
-    parents = no_periods.select("period", F.lit(None).cast("string").alias("parent_status"))
-    # A period none of whose rows is usable leaves no output; it is settled once
-    # its fingerprint is saved.
-    settled = saved.select("period").union(outputs).distinct()
-    plan = stored(rebuild_plan(current, saved, settled, parents), "rebuild-plan")
-    wanted = plan.filter("status = 'rebuilt'").select(F.col("period").alias("source_year_month"))
-    if not wanted.isEmpty():
-        rows = canonical.join(F.broadcast(wanted), "source_year_month", "left_semi")
-        trips = trip_table(rows, read_zones(spark, zone_file))
-        write_periods(trips, target, "overwrite", rebalance)
-    current.coalesce(1).write.mode("overwrite").parquet(manifest)
-    return plan

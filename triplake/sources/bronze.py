@@ -162,6 +162,8 @@ def _month_groups(
         try:
             add(month, merging.parquet(month).schema)
         except (Py4JJavaError, PySparkException) as error:
+            if "UNABLE_TO_INFER_SCHEMA" in str(error):
+                continue  # a folder whose files were removed
             if "CANNOT_MERGE_SCHEMAS" not in str(error):
                 raise
             files = spark.read.format("binaryFile").option(
@@ -177,31 +179,61 @@ def read_months(
     root: str,
     wanted: set[str] | None = None,
     wall_clock: bool = False,
+    files: list[str] | None = None,
+    file_column: str | None = None,
 ) -> DataFrame | None:
     """All landed months in the canonical layout; None when none is found.
 
     One scan per distinct schema instead of one per month: the plan grows with
-    the number of drifts, not with the number of months.
+    the number of drifts, not with the number of months. With ``files`` only
+    these are read; ``file_column`` names a column for each row's file.
     """
     months = folders.period_folders(spark, root, wanted)
     frames = []
     for schema, paths in _month_groups(spark, [path for _, path in months]):
         rows = spark.read.schema(schema).option("basePath", root).parquet(*paths)
-        period = F.concat_ws("-", F.col("year").cast("string"), two_digits(F.col("month")))
-        frames.append(batch_to_canonical(rows, period, wall_clock))
+        rows, beside = _of_files(rows, files, file_column)
+        frames.append(batch_to_canonical(rows, _folder_period(), wall_clock, beside))
     return union_all(frames)
 
 
+def _folder_period() -> Column:
+    return F.concat_ws("-", F.col("year").cast("string"), two_digits(F.col("month")))
+
+
+def _of_files(
+    rows: DataFrame, files: list[str] | None, file_column: str | None
+) -> tuple[DataFrame, tuple[Column, ...]]:
+    """A scan of some files only (others are not opened), and the column that
+    names each row's file."""
+    path = F.col("_metadata.file_path")
+    if files is not None:
+        rows = rows.filter(path.isin(files))
+    return rows, () if file_column is None else (path.alias(file_column),)
+
+
 def read_messages(
-    spark: SparkSession, root: str, wall_clock: bool = False
+    spark: SparkSession,
+    root: str,
+    wall_clock: bool = False,
+    files: list[str] | None = None,
+    file_column: str | None = None,
+    periods: set[str] | None = None,
 ) -> DataFrame | None:
-    """Stored messages in the canonical layout; None when the folder is absent."""
+    """Stored messages in the canonical layout; None when the folder is absent.
+
+    ``files`` and ``file_column`` are as for ``read_months``; ``periods`` keeps
+    the folders of these months.
+    """
     if not folders.exists(spark, root):
         return None
     rows = spark.read.parquet(root)
     if "raw_json" not in rows.columns:
         raise ValueError(f"{root} has no raw_json column")
-    return messages_to_canonical(rows, wall_clock)
+    if periods is not None:
+        rows = rows.filter(_folder_period().isin(sorted(periods)))
+    rows, beside = _of_files(rows, files, file_column)
+    return messages_to_canonical(rows, wall_clock, beside)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame | None:
