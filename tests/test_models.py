@@ -159,6 +159,41 @@ def test_scoring_keeps_rejected_rows_with_a_reason(spark):
     assert all((r.prediction is not None) == r.valid for r in rows.values())
 
 
+def test_boosting_waits_for_a_smaller_error():
+    falling = [1 / (i + 1) for i in range(30)]
+    assert models.stopping_point(falling) == (30, False)
+    # Rises for a few trees and falls again.
+    bump = [5.0, 4.0, 4.5, 4.6, 4.7, 3.0, 3.5]
+    assert models.stopping_point(bump, patience=4) == (6, False)
+    assert models.stopping_point(bump, patience=2) == (2, True)
+    assert models.stopping_point([2.0] * 21) == (1, True)
+    assert models.stopping_point([3.0, 1.0] + [2.0] * 19) == (2, False)
+    assert models.stopping_point([3.0, 1.0] + [2.0] * 20 + [0.0]) == (2, True)
+
+
+def test_boosting_ends_at_the_smallest_held_out_error(spark, monkeypatch):
+    noisy = random_dataset(spark, 600).withColumn(
+        "label", F.col("label") + 40 * F.abs(F.hash("row_id") % 100) / 100
+    )
+    fits = []
+    grow = models.GBTRegressor
+
+    def spy(**settings):
+        fits.append(settings["maxIter"])
+        return grow(**settings)
+
+    monkeypatch.setattr(models, "GBTRegressor", spy)
+    monkeypatch.setattr(models, "FIRST_TREES", 4)
+    monkeypatch.setattr(models, "PATIENCE", 3)
+    monkeypatch.setattr(models.stopping_point, "__defaults__", (3,))
+    fitted = models.fit_encoded_boosting(noisy, "row_id", iterations=40)
+    # Attempts double until the error has not fallen for three trees.
+    assert fits[:2] == [4, 8] and fits[-1] == fitted.trees < 40
+    assert fitted.trees + 3 <= max(fits)
+    one = models.fit_encoded_boosting(noisy.limit(3), "row_id", iterations=2)
+    assert one.trees <= 2
+
+
 def test_encoded_boosting_goes_on_while_it_learns(spark, tmp_path):
     base = random_dataset(spark, 3000).withColumn(
         "label", 3 * F.col("trip_distance") + F.sin(F.col("pickup_hour")) * 9 + F.col("dropoff_location_id")

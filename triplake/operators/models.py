@@ -169,33 +169,65 @@ class EncodedModel(NamedTuple):
         return cls(PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/encodings"))
 
 
+#: Trees without a smaller held-out error after which boosting has ended.
+PATIENCE = 20
+#: Trees of the first attempt; while the error still falls, attempts double.
+FIRST_TREES = 32
+
+
+def stopping_point(errors: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """How many trees have the smallest held-out error, looking ``patience`` trees
+    beyond it at most, and whether so many were seen in vain."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def fit_encoded_boosting(
     train: DataFrame, key: str, iterations: int = 250, seed: int = 42
 ) -> EncodedModel:
     """Boosting on target-encoded categories.
 
-    Training rows are encoded out of fold. A tenth of them, by key, is held out
-    to stop early, at the first tree that does not help; the portable model waits
-    20 trees longer. Spark trees have a depth limit where the portable model has a
-    leaf limit (31 leaves, about depth 5), and no L2 penalty on leaves.
+    Training rows are encoded out of fold. A tenth of them, by key, is held out:
+    trees are added until ``PATIENCE`` of them have brought no smaller error on
+    it, and the model has the trees up to the smallest. Spark trees have a depth
+    limit where the portable model has a leaf limit (31 leaves, about depth 5),
+    and no L2 penalty on leaves.
     """
     folded = with_fold(train, key, folds=5, seed=seed)
     table = stored(encoding_table(folded), "encodings")
     encoded = encode(folded, table, out_of_fold=True)
-    held_out = with_fold(encoded.drop("fold"), key, folds=10, seed=seed + 1)
-    ready = held_out.withColumn("is_validation", F.col("fold") == 0)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    regressor = GBTRegressor(
-        labelCol=LABEL, maxIter=iterations, maxDepth=5, maxBins=255, stepSize=0.08,
-        minInstancesPerNode=40, validationIndicatorCol="is_validation", seed=seed,
-        # Training goes on as long as the held-out error falls at all.
-        validationTol=1e-9,
-    )
+    assembler = _assemble(ENCODED)
+    ready = assembler.transform(with_fold(encoded.drop("fold"), key, folds=10, seed=seed + 1))
+    ready = ready.select("features", LABEL, "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    grown, held_out = ready.filter("fold > 0"), ready.filter("fold = 0")
+
+    def boosted(trees: int):
+        return GBTRegressor(
+            labelCol=LABEL, maxIter=trees, maxDepth=5, maxBins=255, stepSize=0.08,
+            minInstancesPerNode=40, seed=seed,
+        ).fit(grown)
+
     try:
-        model = Pipeline(stages=[_assemble(ENCODED), regressor]).fit(ready)
+        # A fit with fewer trees is the beginning of one with more.
+        trees = iterations if held_out.isEmpty() else min(FIRST_TREES, iterations)
+        while True:
+            model = boosted(trees)
+            if trees == iterations and held_out.isEmpty():
+                break
+            errors = model.evaluateEachIteration(held_out, "squared")
+            best, ended = stopping_point(errors)
+            if ended or trees == iterations:
+                model = model if best == trees else boosted(best)
+                break
+            trees = min(2 * trees, iterations)
     finally:
         ready.unpersist()
-    return EncodedModel(model, table)
+    return EncodedModel(PipelineModel(stages=[assembler, model]), table)
 
 
 def predict_encoded(fitted: EncodedModel, df: DataFrame) -> DataFrame:
