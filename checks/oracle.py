@@ -6,6 +6,8 @@ Shared parts are named common table expressions; a query takes those it needs.
 from __future__ import annotations
 
 from checks.queries import (
+    BOOSTED_STEP,
+    BOOSTED_TREES,
     LANDING_STREAM_MONTH,
     MONTH,
     SEED,
@@ -375,6 +377,67 @@ ORDER_TEXTS = {
 }
 
 
+#: The label that models can learn; see the query.
+FARES = "3.0::DOUBLE + 2.5::DOUBLE * trip_distance + 0.2::DOUBLE * pickup_hour"
+
+
+def _best_split(name: str, source: str) -> str:
+    """For each ``side`` of rows the split of trip_distance or pickup_hour that leaves
+    the least variance of r, halfway between two values, and the means beside it."""
+    inputs = " UNION ALL ".join(
+        f"SELECT side, '{c}' AS input, {c}::DOUBLE AS value, count(*) AS n, sum(r) AS s "
+        f"FROM {source} WHERE learns GROUP BY ALL" for c in ("trip_distance", "pickup_hour")
+    )
+    return f"""{name}_cells AS ({inputs}),
+{name}_run AS (SELECT *, sum(n) OVER up AS nl, sum(s) OVER up AS sl,
+    sum(n) OVER every AS nt, sum(s) OVER every AS st, lead(value) OVER up AS beyond
+  FROM {name}_cells WINDOW up AS (PARTITION BY side, input ORDER BY value),
+    every AS (PARTITION BY side, input)),
+{name} AS (SELECT side, input, (value + beyond) / 2 AS threshold, sl / nl AS low,
+    (st - sl) / (nt - nl) AS high
+  FROM {name}_run WHERE beyond IS NOT NULL QUALIFY row_number() OVER (PARTITION BY side
+    ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC) = 1)"""
+
+
+def _goes_low(rows: str, split: str) -> str:
+    value = f"CASE {split}.input WHEN 'trip_distance' THEN {rows}.trip_distance ELSE {rows}.pickup_hour END"
+    return f"{value} <= {split}.threshold"
+
+
+_LEARNING_ROWS = (
+    f"""tree_rows_0 AS (SELECT event_id, trip_distance, pickup_hour, learns, 0 AS side,
+    {FARES} AS label, 0.0::DOUBLE AS prediction, {FARES} AS r FROM learning)"""
+)
+
+
+def _boosted() -> tuple[str, ...]:
+    """Trees of one split, each fitted to what those before leave; ``learning`` has
+    the rows, of which those that learn fit the trees."""
+    parts = [_LEARNING_ROWS]
+    for t in range(BOOSTED_TREES):
+        weight = "1.0::DOUBLE" if t == 0 else f"{BOOSTED_STEP}::DOUBLE"
+        parts += [
+            _best_split(f"split_{t}", f"tree_rows_{t}"),
+            f"""tree_rows_{t + 1} AS (SELECT * REPLACE (2 * (label - prediction) AS r) FROM (
+    SELECT r.* REPLACE (r.prediction + {weight} * CASE WHEN {_goes_low("r", "s")} THEN s.low
+      ELSE s.high END AS prediction) FROM tree_rows_{t} r, split_{t} s))""",
+        ]
+    return tuple(parts)
+
+
+_TWO_LEVELS = (
+    _LEARNING_ROWS,
+    _best_split("top", "tree_rows_0"),
+    f"""tree_rows_1 AS (SELECT r.* REPLACE (CASE WHEN {_goes_low("r", "s")} THEN 1 ELSE 2 END
+    AS side) FROM tree_rows_0 r, top s)""",
+    _best_split("below", "tree_rows_1"),
+    f"""tree_values AS (SELECT r.event_id, r.learns, CASE WHEN {_goes_low("r", "s")} THEN s.low
+    ELSE s.high END AS prediction FROM tree_rows_1 r JOIN below s ON r.side = s.side)""",
+)
+_LEARNING = """learning AS (SELECT *, true AS learns FROM train
+  UNION ALL SELECT *, false AS learns FROM test)"""
+
+
 def _scores(select: str) -> str:
     return _day_trips(
         select,
@@ -738,12 +801,26 @@ ORACLE = {
         """SELECT count(*) AS predicted, true AS beats_the_mean, true AS has_trees FROM test""",
         *TRAIN_TEST,
     ),
-    "batch_score": _events(
-        """SELECT event_id, failed_rule IS NULL AS valid, failed_rule,
-        failed_rule IS NULL AS predicted FROM checked""",
-        "day",
-        PLANNED,
-        CHECKED,
+    "boosted_values": _features(
+        f"""SELECT event_id, round(prediction, 6) AS prediction, true AS as_the_model
+        FROM tree_rows_{BOOSTED_TREES} WHERE NOT learns""",
+        *TRAIN_TEST, _LEARNING, *_boosted(),
+    ),
+    "forest_values": _features(
+        """SELECT event_id, round(prediction, 6) AS prediction, true AS as_the_model
+        FROM tree_values WHERE NOT learns""",
+        *TRAIN_TEST, _LEARNING, *_TWO_LEVELS,
+    ),
+    "batch_score": _features(
+        f"""SELECT c.event_id, c.failed_rule IS NULL AS valid, c.failed_rule,
+        round(p.prediction, 6) AS prediction
+        FROM checked c LEFT JOIN (SELECT * FROM tree_rows_{BOOSTED_TREES} WHERE NOT learns) p
+          ON c.event_id = p.event_id""",
+        *TRAIN_TEST, PLANNED, CHECKED,
+        """learning AS (SELECT event_id, trip_distance, pickup_hour, true AS learns FROM train
+          UNION ALL SELECT event_id, trip_distance, pickup_hour, false FROM checked
+          WHERE failed_rule IS NULL)""",
+        *_boosted(),
     ),
     "label_stats": _features(
         """SELECT min(label) AS min_duration, round(avg(label), 6) AS avg_duration,

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from triplake.__main__ import main
-from triplake.operators import encoding, features, models, regression, scoring
+from triplake.operators import encoding, features, models, regression, scoring, trees
 from triplake.operators.canonical import batch_to_canonical
 from triplake.operators.cleaning import with_calendar
 from triplake.plans import duration
@@ -171,6 +171,46 @@ def test_boosting_waits_for_a_smaller_error():
     assert models.stopping_point([3.0, 1.0] + [2.0] * 20 + [0.0]) == (2, True)
 
 
+@pytest.mark.parametrize("name", ["rf", "gbt"])
+def test_ensembles_as_sql(spark, name):
+    """Spark and DuckDB run the SQL form, also for NULL and unseen categories."""
+    duckdb = pytest.importorskip("duckdb")
+    data = random_dataset(spark, 500)
+    fitted = models.fit_model(data, name)
+    other = data.limit(40).withColumns({
+        "pickup_location_id": F.when(F.col("row_id") % 3 == 0, 99).when(
+            F.col("row_id") % 3 == 1, F.col("pickup_location_id")),
+        "trip_distance": F.col("trip_distance") * 3 - 5,
+    })
+    rows = encoding.with_category_text(data.unionByName(other.withColumn("row_id", F.col("row_id") + 1000)))
+    text = trees.ensemble_sql(fitted)
+    both = fitted.transform(rows).withColumn("by_sql", F.expr(text)).cache()
+    assert both.filter("by_sql is null or abs(by_sql - prediction) > 1e-9").count() == 0
+    assert both.select(F.count_distinct(F.round("by_sql", 6))).first()[0] > 10
+    con = duckdb.connect()
+    inputs = both.drop("features", "prediction", *models.INDEXES).toPandas()
+    con.register("inputs", inputs)
+    found = con.sql(f"SELECT by_sql, {text} AS duck FROM inputs").fetchall()
+    assert len(found) == 540 and all(a == pytest.approx(b, rel=1e-12) for a, b in found)
+    both.unpersist()
+    gone = rows.limit(1).withColumn("trip_distance", F.lit(None).cast("double"))
+    assert gone.select(F.expr(text)).first()[0] is None
+
+
+def test_categories_in_sql():
+    labels = ["a", "b'c"]
+    assert trees._category_test("x", labels, {1}) == "coalesce(x IN ('b''c'), FALSE)"
+    assert trees._category_test("x", labels, {0, 2}) == "coalesce(x NOT IN ('b''c'), TRUE)"
+    assert trees._category_test("x", labels, {0, 1, 2}) == "TRUE"
+    assert trees._category_test("x", labels, set()) == "FALSE"
+
+
+def test_no_sql_for_other_models(spark):
+    fitted = models.fit_model(random_dataset(spark, 60), "linear")
+    with pytest.raises(ValueError, match="no SQL form"):
+        trees.ensemble_sql(fitted)
+
+
 def test_boosting_ends_at_the_smallest_held_out_error(spark, monkeypatch):
     noisy = random_dataset(spark, 600).withColumn(
         "label", F.col("label") + 40 * F.abs(F.hash("row_id") % 100) / 100

@@ -214,13 +214,13 @@ def fit_encoded_boosting(
 
     try:
         # A fit with fewer trees is the beginning of one with more.
-        trees = iterations if held_out.isEmpty() else min(FIRST_TREES, iterations)
+        blind = held_out.isEmpty()
+        trees = iterations if blind or iterations <= 2 * FIRST_TREES else FIRST_TREES
         while True:
             model = boosted(trees)
-            if trees == iterations and held_out.isEmpty():
-                break
-            errors = model.evaluateEachIteration(held_out, "squared")
-            best, ended = stopping_point(errors)
+            best, ended = trees, blind
+            if not blind:
+                best, ended = stopping_point(model.evaluateEachIteration(held_out, "squared"))
             if ended or trees == iterations:
                 model = model if best == trees else boosted(best)
                 break
