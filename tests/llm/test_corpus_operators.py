@@ -159,6 +159,72 @@ def test_slugs_and_wrapping_forms_keep_their_text():
     )
 
 
+WHOLE = "<p>The whole text of this page stands here, all of it in one paragraph.</p>"
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class=layout-sidebar-left", "div class=content-with-sidebar", "section id=social-science",
+    "div id=share-prices", "div class=notice-board", "div class='post menu-open'",
+    "div class=widget-wrap", "div class=page-header", "form id=aspnetForm", "div class=sidebar",
+])
+def test_layouts_keep_their_page(wrapper):
+    tag = wrapper.split()[0]
+    page = f"<body><nav>Menu</nav><{wrapper}>{WHOLE}</{tag}><div class=footer>Ours</div></body>"
+    assert html.main_text(page, set())[0] == WHOLE[3:-4]
+
+
+@pytest.mark.parametrize("inner,stays", [
+    ("div id=comments", False), ("section class=comment-list", False), ("div id=disqus_thread", False),
+    ("div class=share-buttons", False), ("div class=related", False), ("div class=cookie-notice", False),
+    ("div class=sidebar", False), ("div class=ad-slot", False), ("div class=article-footer", False),
+    ("aside", False), ("div style='display: none'", False),
+    ("section id=related-work", True), ("p class=share-price", True), ("div class=entry-header", True),
+    ("h2 id=comments", True), ("section id=discussion", True), ("div class=box", True),
+])
+def test_parts_of_an_article(inner, stays):
+    tag = inner.split()[0]
+    page = f"<article><h1>Head</h1>{WHOLE}<{inner}>Part</{tag}></article><div class=sidebar>x</div>"
+    want = ["Head", WHOLE[3:-4]] + ["Part"] * stays
+    assert html.main_text(page, set())[0].split("\n\n") == want
+
+
+def test_comments_do_not_count_as_the_page():
+    page = f"<body><div class=post>{WHOLE}</div><div class=comments><p>{'long ' * 99}</p></div>"
+    assert html.main_text(page, set())[0] == WHOLE[3:-4]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_generated_sites(spark, seed):
+    """Hosts whose pages are put together from blocks that are known to recur or not."""
+    rng = random.Random(seed)
+    rows, pages = [], []
+    for host in range(4):
+        boxes = [f"<div class=b{k}><span>Box {host} {k}</span></div>" for k in range(6)]
+        for n in range(rng.choice([3, 12, 25])):
+            number, inside = len(pages), rng.random() < 0.5
+            used = [k for k in range(6) if rng.random() < (0.1, 0.2, 0.5, 0.5, 0.9, 1)[k]]
+            parts = [("p", f"Own words {number} {i} " + "and more " * rng.randint(5, 9) + "here.") for i in range(3)]
+            parts += [("box", k) for k in used] + [("p", "Said on every page")] * inside
+            rng.shuffle(parts)
+            body = "".join(boxes[v] if kind == "box" else f"<p>{v}</p>" for kind, v in parts)
+            page = f"<body><nav>Menu</nav>{f'<article>{body}</article><div>Beside</div>' if inside else body}</body>"
+            pages.append((host, parts))
+            rows.append((number, f"http://h{host}.example/{number}", page, "kept"))
+    counts = collections.Counter((h, v) for h, parts in pages for kind, v in set(parts) if kind == "box")
+    want = {
+        i: "\n\n".join(
+            f"Box {h} {v}" if kind == "box" else v for kind, v in parts
+            if kind == "p" or counts[h, v] < html.TEMPLATE_PAGES
+        )
+        for i, (h, parts) in enumerate(pages)
+    }
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, Text string")
+    out = html.extract(df)
+    assert out.columns == ["page_id", "url", "text", "n_template"]
+    assert {r["page_id"]: r["text"] for r in out.collect()} == want
+    assert 0 < sum(n >= html.TEMPLATE_PAGES for n in counts.values()) < len(counts)
+
+
 # ---- lines
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triplake.llm.common import per_row, stored, text_digest, unused
+from triplake.llm.common import other_columns, per_row, stored, text_digest, unused
 
 #: A template subtree stands on at least so many different pages of its host.
 TEMPLATE_PAGES = 5
@@ -59,21 +59,26 @@ GONE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu "
     "menubar toolbar".split()
 )
+#: What an element is called that is no part of an article.
 GONE_NAMES = frozenset(
-    "nav navbar navigation menu menus submenu sidebar footer header masthead topbar toolbar ad "
-    "ads advert adverts advertisement advertising adsense banner cookie cookies consent gdpr "
-    "notice notices popup modal overlay promo promotion sponsor sponsored sponsors newsletter "
-    "subscribe subscription signup login comment comments commentlist respond disqus replies "
-    "discussion share sharing social related recommended breadcrumb breadcrumbs pagination "
-    "pager widget skip copyright".split()
+    "nav navbar navigation menu menus submenu sidebar sidebars footer header masthead topbar "
+    "toolbar ad ads advert adverts advertisement advertising adsense adsbygoogle banner cookie "
+    "cookies consent gdpr notice notices popup modal overlay promo promotion sponsor sponsored "
+    "sponsors newsletter subscribe subscription signup login comment comments commentlist "
+    "respond disqus replies discussion share sharing social related recommended breadcrumb "
+    "breadcrumbs pagination pager widget widgets skip copyright".split()
 )
-#: Of these, the kinds that are clear within an article too.
-CLEAR_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsored comment comments "
-    "commentlist disqus newsletter".split()
+#: Of these, the words that an article uses for parts of its own.
+ARTICLE_NAMES = frozenset("header masthead discussion respond overlay skip copyright".split())
+COMMENT_NAMES = frozenset("comment comments commentlist disqus replies".split())
+#: Words that say nothing of what an element holds, beside those above.
+FILLERS = frozenset(
+    "area article bar block bottom box button buttons col column container content entry feed "
+    "form group holder icons inner item items left link links list main outer page panel post "
+    "posts primary right row secondary section site slot text the this thread top unit wrap "
+    "wrapper".split()
 )
-#: Elements whose ids and classes are often made from a heading.
-SLUGGED = frozenset("p h1 h2 h3 h4 h5 h6 dd dt blockquote pre figcaption caption section".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -83,7 +88,6 @@ _ATTRIBUTE = re.compile(
     r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?"
 )
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_KEPT_NAMES = ("has-", "with-", "no-", "without-", "has_", "with_", "no_")
 
 
 @dataclass(slots=True, eq=False)
@@ -165,36 +169,47 @@ def parse(page: str) -> Element:
     return root
 
 
+def _says(name: str, wanted: frozenset[str]) -> bool:
+    """Whether a whole class or id says that an element is of a wanted kind: it has
+    such a word, and beside it only others of ``GONE_NAMES`` and fillers."""
+    parts = [p.lower() for p in _NAME_PARTS.findall(name) if len(p) > 1]
+    return any(p in wanted for p in parts) and all(p in GONE_NAMES or p in FILLERS for p in parts)
+
+
 def _named_gone(node: Element, in_main: bool) -> bool:
-    """Whether role, style or names say that an element goes.
+    """Whether class or id say that an element goes.
 
-    Outside the article a part of a class or id is enough. Within it, and for
-    text blocks and sections, all parts of a class must be such words, and ids do
-    not matter; within it only clear kinds count.
+    They count as a whole (``comment-list``, not ``share-price``). Ids are often
+    made from headings, so within the article, and for paragraphs and the like,
+    only ids of comments count, and headings' ids never.
     """
-    if node.attributes.get("role", "").lower() in GONE_ROLES:
-        return True
-    if "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true":
-        return True
-    if "display:none" in node.attributes.get("style", "").replace(" ", "").lower():
+    wanted = GONE_NAMES - ARTICLE_NAMES if in_main else GONE_NAMES
+    if any(_says(name, wanted) for name in node.attributes.get("class", "").split()):
         return True
-    wanted = CLEAR_NAMES if in_main else GONE_NAMES
-    whole = in_main or node.tag in SLUGGED
-    names = node.attributes.get("class", "").split()
-    if not whole:
-        names += node.attributes.get("id", "").split()
-    for name in names:
-        if name.lower().startswith(_KEPT_NAMES):
-            continue
-        found = [part.lower() in wanted for part in _NAME_PARTS.findall(name)]
-        if found and (all(found) if whole else any(found)):
-            return True
-    return False
+    if node.tag in HEADINGS:
+        return False
+    wanted = COMMENT_NAMES if in_main or node.tag in TEXT_BLOCK else GONE_NAMES
+    return any(_says(name, wanted) for name in node.attributes.get("id", "").split())
+
+
+def _unseen(node: Element) -> bool:
+    """Whether role or style say that an element is no part of what a page says."""
+    return (
+        node.attributes.get("role", "").lower() in GONE_ROLES
+        or "hidden" in node.attributes
+        or node.attributes.get("aria-hidden") == "true"
+        or "display:none" in node.attributes.get("style", "").replace(" ", "").lower()
+    )
+
+
+def _is_of_comments(node: Element) -> bool:
+    names = node.attributes.get("class", "").split() + node.attributes.get("id", "").split()
+    return any(_says(name, COMMENT_NAMES) for name in names)
 
 
 def is_boilerplate(node: Element, in_main: bool) -> bool:
-    """Whether an element goes by its kind or name. What holds the article stays,
-    and so does the heading of an article."""
+    """Whether an element goes by its kind or name. What holds the article, or most
+    of a page without one, stays, and so does the heading of an article."""
     if node.holds_main or node.tag in ("html", "body", "#root"):
         return False
     if node.tag in GONE:
@@ -203,11 +218,12 @@ def is_boilerplate(node: Element, in_main: bool) -> bool:
         return not in_main
     if not node.attributes:
         return False
-    return _named_gone(node, in_main)
+    return _unseen(node) or _named_gone(node, in_main)
 
 
 def _mark(root: Element) -> list[Element]:
-    """Mark ancestors of articles; returns all elements, parents first."""
+    """Mark articles and all around them; without an article, elements that hold
+    most of the page's text. Returns all elements, parents first."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -215,10 +231,10 @@ def _mark(root: Element) -> list[Element]:
         stack += [c for c in reversed(node.children) if isinstance(c, Element)]
     for node in order:
         main = node.tag in ("article", "main") or node.attributes.get("role") == "main"
-        if main and not (node.attributes and _named_gone(node, True)):
+        if main and not (node.attributes and (_unseen(node) or _named_gone(node, True))):
             _holds(node)
-    if not root.holds_main and any(n.tag == "form" for n in order):
-        for node in _wrapping_forms(order):
+    if not root.holds_main:
+        for node in _wrappers(order):
             _holds(node)
     return order
 
@@ -229,17 +245,25 @@ def _holds(node: Element | None) -> None:
         node = node.parent
 
 
-def _wrapping_forms(order: list[Element]) -> list[Element]:
-    """Forms around more than half of a page's text, as some servers write them."""
+def _wrappers(order: list[Element]) -> list[Element]:
+    """Forms and named elements around more than half of a page's text, which so
+    are its layout; comments may be longer than what they are about."""
+    named = [
+        n for n in order
+        if n.tag == "form" or n.tag not in GONE and n.attributes and _named_gone(n, False)
+    ]
+    if not named:
+        return []
     sizes: dict[Element, int] = {}
     for node in reversed(order):
-        if node.tag in GONE and node.tag != "form":
+        gone = node.tag in GONE and node.tag != "form"
+        if gone or node.attributes and (_unseen(node) or _is_of_comments(node)):
             sizes[node] = 0
             continue
         sizes[node] = sum(
             sizes[c] if isinstance(c, Element) else len("".join(c.split())) for c in node.children
         )
-    return [n for n in order if n.tag == "form" and 2 * sizes[n] > sizes[order[0]]]
+    return [n for n in named if 2 * sizes[n] > sizes[order[0]]]
 
 
 def _hash(order: list[Element]) -> None:
@@ -379,7 +403,7 @@ def extract(
     empty html give an empty text. Other columns stay apart from the html; rows
     alike in id, URL and html get the same text. Nothing else is dropped.
     """
-    rest = [c for c in df.columns if c not in (html_col, text_col, removed_col)]
+    rest = other_columns(df, [html_col, text_col, removed_col])
     row = unused("row", df.columns)
     host = F.lower(
         F.regexp_extract(
