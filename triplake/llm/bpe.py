@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from triplake.llm.common import per_row
+from triplake.llm.common import other_columns, per_row
 from triplake.llm.vocabulary import SPLIT_PATTERN, Vocabulary, default_path, vocabulary
 
 #: New words a worker remembers before those it did not meet again are forgotten.
@@ -269,5 +269,5 @@ def round_trip(
         T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False),
         T.StructField(decoded_col, T.StringType(), False),
     ]
-    keep = [c for c in df.columns if c not in (text_col, ids_col, decoded_col)]
+    keep = other_columns(df, [text_col, ids_col, decoded_col])
     return per_row(df, [text_col], fields, start, keep)
