@@ -12,6 +12,7 @@ from triplake.operators import encoding, features, models, regression, scoring,
 from triplake.operators.canonical import batch_to_canonical
 from triplake.operators.cleaning import with_calendar
 from triplake.plans import duration
+from triplake.sources import tables
 
 
 def random_dataset(spark, n=800):
@@ -171,6 +172,29 @@ def test_boosting_waits_for_a_smaller_error():
     assert models.stopping_point([3.0, 1.0] + [2.0] * 20 + [0.0]) == (2, True)
 
 
+def test_both_ways_to_look_encodings_up(spark, monkeypatch):
+    rows = encoding.with_fold(random_dataset(spark, 300), "row_id", 3)
+    rows = rows.withColumn(
+        "rate_code_id", F.when(F.col("row_id") % 5 > 0, F.col("rate_code_id"))
+    ).withColumn("fold", F.when(F.col("row_id") % 11 > 0, F.col("fold")))
+    table = tables.stored(encoding.encoding_table(rows.filter("row_id < 200")), "test-encodings")
+    for out_of_fold in (True, False):
+        def values():
+            out = encoding.encode(rows, table, out_of_fold=out_of_fold)
+            return out, sorted(out.select("row_id", *models.ENCODED).collect())
+
+        by_map, found = values()
+        plan = by_map._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+        with monkeypatch.context() as patch:
+            patch.setattr(encoding, "MAP_ENTRIES", 0)
+            joined, other = values()
+        assert found == other and len({r[1] for r in found}) > 10
+        assert joined._jdf.queryExecution().executedPlan().toString().count("Join") > 3
+    nothing = encoding.encode(rows, table.limit(0)).first()
+    assert nothing["rate_code_id_te"] is None
+
+
 @pytest.mark.parametrize("name", ["rf", "gbt"])
 def test_ensembles_as_sql(spark, name):
     """Spark and DuckDB run the SQL form, also for NULL and unseen categories."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,6 +110,41 @@ def encoding_table(
     return encoded.unionByName(means)
 
 
+#: Entries of an encoding table up to which it is looked up in memory.
+MAP_ENTRIES = 50_000
+#: Parts of that lookup, so that few entries are searched for a key.
+MAP_BUCKETS = 4096
+
+
+def _key(feature: Column, fold: Column, category: Column) -> Column:
+    """A text for a row of the table; NULL is not the text of any category."""
+    return F.concat(
+        feature, F.lit("|"), F.coalesce(fold.cast("string"), F.lit("*")), F.lit("|"),
+        F.coalesce(F.concat(F.lit("="), category), F.lit("")),
+    )
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(MAP_BUCKETS)).cast("int")
+
+
+def _in_memory(table: DataFrame) -> Callable[[Column], Column]:
+    """Looks a key up in one value that holds the whole table: an array of small
+    maps, so that neither a join nor a shuffle of the data is needed."""
+    entry = F.struct(
+        _key(F.col("feature"), F.col("fold"), F.col("category")).alias("key"), "encoding"
+    )
+    keyed = table.select(entry.alias("entry")).withColumn("bucket", _bucket(F.col("entry.key")))
+    every = table.sparkSession.range(MAP_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    buckets = every.join(keyed, "bucket", "left").groupBy("bucket").agg(
+        F.collect_list("entry").alias("entries")
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("bucket", "entries")))
+    maps = F.transform(in_order, lambda b: F.map_from_entries(b["entries"]))
+    whole = stored(buckets.agg(maps.alias("maps")), "encoding-lookup").scalar()
+    return lambda key: F.get(whole, _bucket(key))[key]
+
+
 def encode(
     df: DataFrame,
     table: DataFrame,
@@ -116,9 +153,27 @@ def encode(
 ) -> DataFrame:
     """Add ``<column>_te``. Training rows use their own fold's encodings.
 
-    ``table`` is best a stored one: it is small (one row per category and fold),
-    and each column takes its lookup from it.
+    ``table`` is best a stored one: it is small (one row per category and fold).
+    Up to ``MAP_ENTRIES`` rows it is looked up in memory; a larger one is joined,
+    once for each column.
     """
+    if table.count() > MAP_ENTRIES:
+        return _encode_by_joins(df, table, columns, out_of_fold)
+    value = _in_memory(table)
+    none = F.lit(None).cast("string")
+    fold = F.col("fold") if out_of_fold else none
+
+    def encoded(column: str) -> Column:
+        own = value(_key(F.lit(column), fold, F.col(column).cast("string")))
+        known = own if not out_of_fold else F.when(F.col("fold").isNotNull(), own)
+        return F.coalesce(known, value(_key(F.lit(column), none, none)))
+
+    return df.withColumns({f"{column}_te": encoded(column) for column in columns})
+
+
+def _encode_by_joins(
+    df: DataFrame, table: DataFrame, columns: tuple[str, ...], out_of_fold: bool
+) -> DataFrame:
     result = df
     for column in columns:
         rows = table.filter(F.col("feature") == column)
