@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,15 +31,44 @@ def python_ready(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
 
 
+#: Lets Spark delete the shuffle files of a query when the query has ended.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame to the folder all executors share and read it back.
 
     This cuts the lineage, lets several later steps read one computation, and
     survives the loss of executors, which a cache or a local checkpoint does not.
+    Nothing reads the shuffles of the write again, so they go with it.
     """
     path = new_scratch(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with _shuffles_cleaned(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete stored tables whose readers have all been stored themselves."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def unused(wanted: str, columns: Iterable[str]) -> str:

@@ -5,9 +5,10 @@ whose Jaccard similarity is at least p have a symmetric difference of at most
 (s + t)(1 - p)/(1 + p) elements. Sizes fall into bands; the join of a band takes
 pairs whose larger set lies in it, so a set takes part in the join of its own
 band and in that of the next. With k the largest difference that a band allows,
-the domain of shingles is cut by a hash into more than k / 2 partitions of three
+the domain of shingles is cut by a hash into more than k / 2 partitions of a few
 parts each. Similar sets differ by one element at most in some partition, and so
-agree in two of its three parts: the signatures are the subsets of two parts.
+agree in all but one of its parts: the signatures are the subsets of so many
+parts. Two parts give the fewest signatures, a third less than three.
 
 Equal sets are one node from the start. Sets that share a signature are tried
 against the first of them, then, unless they are in one group by then, against
@@ -28,7 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from triplake.llm.common import OUT_ROWS, per_row, python_ready, stored, to_rows
+from triplake.llm.common import (
+    OUT_ROWS, drop_stored, per_row, python_ready, stored, to_rows, unused,
+)
 
 #: Bits of the sketch that rules out pairs within a signature before they are made.
 SKETCH_BITS = 1024
@@ -69,7 +72,7 @@ class Signatures:
     ``parts`` is how many parts each partition has; one of them may differ.
     """
 
-    def __init__(self, percent: int, parts: int = 3):
+    def __init__(self, percent: int, parts: int = 2):
         self.percent, self.parts = percent, parts
         self.bands: list[tuple[int, int, int, int]] = []
 
@@ -111,10 +114,11 @@ class Signatures:
             return np.zeros(0, np.uint64)
         cells = partitions * self.parts
         cell = ((found >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
-        # Each part's elements as one number, whatever their order.
-        sums = np.zeros(cells, np.uint64)
-        np.add.at(sums, cell, _mixed(found ^ _STEP))
-        filled = np.bincount(cell.astype(np.int64), minlength=cells) > 0
+        # Each part's elements as one number. Elements come sorted, and so do parts.
+        first = np.flatnonzero(np.diff(cell, prepend=cell[:1] + np.uint64(1)))
+        sums, filled = np.zeros(cells, np.uint64), np.zeros(cells, bool)
+        sums[cell[first]] = np.add.reduceat(_mixed(found ^ _STEP), first)
+        filled[cell[first]] = True
         sums, filled = sums.reshape(partitions, -1), filled.reshape(partitions, -1)
         out, some, place = [], [], np.arange(partitions, dtype=np.uint64)
         for chosen in combinations(range(self.parts), self.parts - 1):
@@ -175,17 +179,19 @@ def shared_signatures(keyed: DataFrame) -> DataFrame:
     """key, node, first: the rows of signatures that several nodes have, beside
     the smallest node of each.
 
-    First and last node of a signature are combined before they are shuffled, and
-    the rows meet them in a join of written tables, which can split a signature
-    that a large part of the nodes has.
+    Nearly all signatures are of one node, and all of them take more room than the
+    texts. So they are never stored but made twice: once to combine the first and
+    last node of each before the shuffle, and once to meet those of several nodes,
+    in a join that can split a signature that a large part of the nodes has.
     """
-    keyed = stored(keyed, "keyed-nodes")
     several = stored(
         keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
         .filter("first < last").select("key", "first"),
         "several-nodes",
     )
-    return stored(keyed.join(several, "key").select("key", "node", "first"), "shared-signatures")
+    shared = stored(keyed.join(several, "key").select("key", "node", "first"), "shared-signatures")
+    drop_stored(several)
+    return shared
 
 
 def cross_units(shared: DataFrame, placed: DataFrame, block: int) -> DataFrame | None:
@@ -208,8 +214,11 @@ def cross_units(shared: DataFrame, placed: DataFrame, block: int) -> DataFrame |
         "several-groups",
     )
     if several.isEmpty():
+        drop_stored(rows, several)
         return None
-    rows = stored(rows.join(several, "key"), "mixed-signatures")
+    mixed = stored(rows.join(several, "key"), "mixed-signatures")
+    drop_stored(rows, several)
+    rows = mixed
     large = F.col("n") > block
     sizes = stored(
         rows.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
@@ -249,6 +258,7 @@ def cross_units(shared: DataFrame, placed: DataFrame, block: int) -> DataFrame |
         .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("parts"),
         "cut-groups",
     )
+    drop_stored(rows, sizes, blocks, owners)
     return cut.join(units, ["key", "alone", "owner", "part"]).select(
         "key", "unit", "side", "group", "node"
     )
@@ -357,7 +367,7 @@ def _kept(batches: Iterator[pa.RecordBatch], test) -> Iterator[pa.RecordBatch]:
 def _similar(
     pairs: DataFrame, marks: DataFrame, texts: DataFrame, words: int, percent: int
 ) -> DataFrame:
-    """The pairs that are similar enough: by sketches, then by their whole sets."""
+    """The pairs that are similar enough, stored: by sketches, then by whole sets."""
     python_ready(pairs.sparkSession)
 
     def possible(size_a, sketch_a, size_b, sketch_b) -> bool:
@@ -378,10 +388,13 @@ def _similar(
     nodes = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
     nodes = stored(nodes, "possible-nodes")
     sets = stored(_elements(texts.join(nodes, "id", "left_semi"), words), "shingle-elements")
-    return (
+    alike = stored(
         _both(close, sets, ["elements"])
-        .mapInArrow(lambda batches: _kept(batches, similar), _PAIRS).distinct()
+        .mapInArrow(lambda batches: _kept(batches, similar), _PAIRS).distinct(),
+        "similar-pairs",
     )
+    drop_stored(close, nodes, sets)
+    return alike
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -408,7 +421,7 @@ def components(edges: DataFrame) -> DataFrame:
         ).first()
         if now == state or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("group"))
-        state = now
+        state, last = now, edges
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = smallest(both).select("u", F.least("u", "m").alias("m"))
         large = stored(
@@ -423,6 +436,7 @@ def components(edges: DataFrame) -> DataFrame:
             small.union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(),
             "component-edges",
         )
+        drop_stored(last, large)
 
 
 def link(
@@ -431,7 +445,7 @@ def link(
     text_col: str = "text",
     words: int = 5,
     percent: int = 80,
-    parts: int = 3,
+    parts: int = 2,
 ) -> DataFrame:
     """id, ``n_shingles`` and ``component_id`` of every row.
 
@@ -465,7 +479,7 @@ def link(
     )
     wanted = stored(shared.select(F.col("node").alias("id")).distinct(), "shared-nodes")
     marks = stored(_marks(texts.join(wanted, "id", "left_semi"), words), "set-sketches")
-    edges = stored(_similar(pairs, marks, texts, words, percent), "similar-pairs")
+    edges = _similar(pairs, marks, texts, words, percent)
     groups = components(edges)
     # What the stars did not bring together is compared directly.
     placed = stored(
@@ -483,10 +497,7 @@ def link(
             .mapInArrow(lambda batches: _across(batches, percent), _PAIRS).distinct()
             .join(pairs, ["a", "b"], "left_anti")
         )
-        more = stored(
-            _similar(stored(across, "cross-pairs"), marks, texts, words, percent),
-            "similar-cross-pairs",
-        )
+        more = _similar(stored(across, "cross-pairs"), marks, texts, words, percent)
         if not more.isEmpty():
             groups = components(edges.union(more))
     named = stored(
@@ -495,6 +506,7 @@ def link(
         ),
         "set-components",
     )
+    drop_stored(nodes, copies, shared, pairs, wanted, marks, edges, placed)
     return own.join(named, ["d1", "d2"], "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("id").isNull(), F.lit(None).cast("long"))
@@ -544,7 +556,7 @@ def _marks(df: DataFrame, words: int) -> DataFrame:
 
 def keep_one(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    words: int = 5, percent: int = 80, parts: int = 3,
+    words: int = 5, percent: int = 80, parts: int = 2,
 ) -> DataFrame:
     """One document of each group, the one with the smallest id; the rest goes.
 
@@ -552,7 +564,8 @@ def keep_one(
     together.
     """
     linked = link(df, id_col, text_col, words, percent, parts)
+    name = unused("gone", df.columns)
     gone = linked.filter(F.col("component_id") < F.col(id_col)).select(
-        F.col(id_col).alias("_gone")
+        F.col(id_col).alias(name)
     ).distinct()
-    return df.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    return df.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")
