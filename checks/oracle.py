@@ -556,9 +556,11 @@ ORACLE = {
         FROM (SELECT * FROM file_events WHERE payment_type IS NOT NULL
               UNION ALL SELECT * FROM file_events WHERE payment_type = 3) GROUP BY 1"""
     ),
-    "stream_completion": """SELECT count(*) AS stored_rows, count(*) AS expected_rows,
+    "stream_completion": """SELECT step, count(*) AS stored_rows, count(*) AS expected_rows,
         count(*) + 1 AS expected_messages, count(*) - count(DISTINCT event_id) AS duplicates,
-        count(*) + 1 AS end_offset, true AS committed, 'complete' AS state FROM events""",
+        count(*) + 1 AS end_offset, step = 'restarted' AS committed,
+        CASE step WHEN 'restarted' THEN 'complete' ELSE 'incomplete' END AS state
+        FROM events, (VALUES ('crashed'), ('restarted')) AS s(step) GROUP BY step""",
     "clean_trips": _trips("SELECT * FROM kept"),
     "time_features": _events(
         f"SELECT {EVENT_KEY}, {CALENDAR} FROM kept", "month", _kept("stream_rows", "month")

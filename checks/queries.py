@@ -193,14 +193,31 @@ def offset_audit_replayed(spark, sf):
 
 @query
 def stream_completion(spark, sf):
-    """Stored rows, and the end that a checkpoint of these messages would have."""
+    """A run whose last batch was planned and not committed, as after a crash, and the
+    run after it, both judged by their checkpoint."""
+    base = new_scratch(spark, "completion")
+    spread = fx.event_messages(spark, sf, "day").withColumn("key", F.lit(STREAM_MONTH).cast("binary"))
+    spread.write.parquet(f"{base}/messages")
     sent = fx.table(spark, sf, "events").count()
-    ends = fx.event_messages(spark, sf).groupBy("partition").agg(F.max("offset").alias("last"))
-    progress = ends.agg(F.sum(F.col("last") + 1).alias("end_offset")).select(
-        F.lit(0).cast("bigint").alias("batch_id"), "end_offset", F.lit(True).alias("committed")
-    )
-    stored = audit.offset_audit(fx.event_bronze(spark, sf))
-    return audit.completion(stored, sent, progress)
+
+    def run() -> None:
+        source = ingest.replay_source(spark, f"{base}/messages", max_files_per_trigger=2)
+        ingest.start_ingest(
+            source, STREAM_MONTH, f"{base}/bronze", f"{base}/checkpoint", until_done=True
+        ).awaitTermination()
+
+    def state(step: str) -> DataFrame:
+        progress = audit.replay_progress(spark, f"{base}/checkpoint")
+        stored = audit.offset_audit(spark.read.parquet(f"{base}/bronze"))
+        found = audit.completion(stored, sent, progress).select(F.lit(step).alias("step"), "*")
+        return tables.stored(found, "completion-state")
+
+    run()
+    last = audit.replay_progress(spark, f"{base}/checkpoint").first().batch_id
+    folders.delete(spark, f"{base}/checkpoint/commits/{last}")
+    crashed = state("crashed")
+    run()
+    return crashed.union(state("restarted"))
 
 
 # ---------------------------------------------------------------- trip table

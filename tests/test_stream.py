@@ -137,3 +137,71 @@ def test_a_month_is_sent_and_complete(spark, file_rows, tmp_path):
     assert nothing.first().state == "incomplete"
     with pytest.raises(ValueError):
         stream.send_month(spark, source, "2024-01", publish, max_rows=0)
+
+
+def test_sending_goes_on_where_it_stopped(spark, file_rows, tmp_path):
+    source, folder, log = (str(tmp_path / n) for n in ("month", "topic", "log"))
+    file_rows(*[{"VendorID": i} for i in range(50)]).repartition(4).write.parquet(source)
+    calls = []
+
+    def publish(rows, fail_at=None, partly=False):
+        calls.append(rows.count())
+        if len(calls) == fail_at:
+            if partly:
+                messages.store(rows.limit(5), folder, "trips")
+            raise RuntimeError("the broker went away")
+        messages.store(rows, folder, "trips")
+
+    def send(fail_at=None, partly=False, **how):
+        calls.clear()
+        return stream.send_month(
+            spark, source, "2024-01", lambda rows: publish(rows, fail_at, partly), log=log,
+            chunk_rows=12, arrived=lambda: spark.read.parquet(folder), **how,
+        )
+
+    with pytest.raises(RuntimeError):
+        send(fail_at=3, partly=True)
+    assert calls == [12, 12, 12]
+    assert send() == 50
+    # What arrived of the third chunk is not sent again.
+    assert calls == [7, 12, 2, 1]
+    assert send() == 50 and calls == []
+    sent = spark.read.schema(MESSAGE_SCHEMA).parquet(folder)
+    assert sent.count() == 51 == sent.select("partition", "offset").distinct().count()
+    ingest.start_ingest(
+        ingest.replay_source(spark, folder), "2024-01", str(tmp_path / "bronze"),
+        str(tmp_path / "cp"), until_done=True,
+    ).awaitTermination()
+    stored = audit.offset_audit(spark.read.parquet(str(tmp_path / "bronze")))
+    progress = audit.replay_progress(spark, str(tmp_path / "cp"))
+    found = audit.completion(stored, 50, progress).first()
+    assert (found.state, found.duplicates, found.end_offset) == ("complete", 0, 51)
+    (tmp_path / "cp" / "commits" / str(progress.first().batch_id)).unlink()
+    gone = audit.replay_progress(spark, str(tmp_path / "cp"))
+    assert audit.completion(stored, 50, gone).first().state == "incomplete"
+    with pytest.raises(ValueError, match="other rows"):
+        send(max_rows=30)
+    assert audit.replay_progress(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_positions_without_sorting_rows_or_files_in_one_task(spark, tmp_path, setting):
+    setting("spark.sql.shuffle.partitions", "4")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    source = str(tmp_path / "rows")
+    spark.range(700).repartition(23).write.parquet(source)
+    rows = spark.read.parquet(source)
+    starts = messages.file_starts(rows)
+    ends = sorted((r._start, r._end) for r in starts.collect())
+    assert [s for s, _ in ends] == [0, *[e for _, e in ends[:-1]]] and ends[-1][1] == 700
+    names = [r._start_file for r in starts.orderBy("_start").collect()]
+    assert names == sorted(names)
+    placed = messages.with_position(rows, "at", starts)
+    assert sorted(r["at"] for r in placed.collect()) == list(range(700))
+    assert "SinglePartition" not in placed._jdf.queryExecution().executedPlan().toString()
+    some = messages.rows_between(rows, 100, 160, starts, "at")
+    assert sorted(some.collect()) == sorted(placed.filter("at >= 100 AND at < 160").collect())
+    found = some._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [found.apply(i) for i in range(found.size())]
+    opened = [x.selectedPartitions().totalNumberOfFiles() for x in scans if "Scan" in x.nodeName() and "id" in x.toString()]
+    assert not opened or min(opened) < 23
+    assert messages.with_position(rows.filter("id < 0"), "at").count() == 0

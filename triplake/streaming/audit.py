@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triplake.schemas import MESSAGE_SCHEMA
 from triplake.sources import folders
 
+_PROGRESS = "batch_id bigint, end_offset bigint, committed boolean"
+
 
 def offset_audit(bronze: DataFrame) -> DataFrame:
     """Rows, offset range, gaps and repeats per Kafka partition.
@@ -72,23 +75,11 @@ def checkpoint_progress(spark: SparkSession, checkpoint: str, topic: str) -> Dat
 
     Reads the small offset and commit logs of the checkpoint.
     """
-
-    def log(name: str) -> DataFrame:
-        lines = spark.read.text(f"{checkpoint}/{name}", recursiveFileLookup=True)
-        return lines.select(
-            "value",
-            F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)$", 1)
-            .try_cast("bigint")
-            .alias("batch_id"),
-        ).filter(F.col("batch_id").isNotNull())
-
     if not folders.exists(spark, f"{checkpoint}/offsets"):
-        return spark.createDataFrame(
-            [], "batch_id bigint, end_offset bigint, committed boolean"
-        )
+        return spark.createDataFrame([], _PROGRESS)
     by_topic = F.from_json("value", "map<string,map<string,bigint>>")
     planned = (
-        log("offsets")
+        _log(spark, f"{checkpoint}/offsets")
         .select("batch_id", F.element_at(by_topic, F.lit(topic)).alias("ends"))
         .filter(F.col("ends").isNotNull())
         .select("batch_id", F.explode("ends").alias("kafka_partition", "end_offset"))
@@ -97,9 +88,50 @@ def checkpoint_progress(spark: SparkSession, checkpoint: str, topic: str) -> Dat
         .orderBy(F.desc("batch_id"))
         .limit(1)
     )
+    return _with_commit(planned, checkpoint)
+
+
+def replay_progress(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The same for a query over stored messages.
+
+    The end is the number of messages in the files that were planned up to the
+    last batch, which the source's own log names.
+    """
+    if not folders.exists(spark, f"{checkpoint}/sources/0"):
+        return spark.createDataFrame([], _PROGRESS)
+    files = spark.read.text(f"{checkpoint}/sources/0", recursiveFileLookup=True).select(
+        F.from_json("value", "path string, batchId bigint").alias("f")
+    ).select("f.path", "f.batchId").filter(F.col("path").isNotNull()).distinct()
+    # A short name for each file.
+    planned = files.collect()
+    if not planned:
+        return spark.createDataFrame([], _PROGRESS)
+    messages = spark.read.schema(MESSAGE_SCHEMA).parquet(*[r.path for r in planned])
+    batches = _log(spark, f"{checkpoint}/offsets").agg(F.max("batch_id").alias("batch_id"))
+    ends = messages.agg(F.count(F.lit(1))).scalar()
+    return _with_commit(
+        batches.filter(F.col("batch_id").isNotNull()).withColumn("end_offset", ends), checkpoint
+    )
+
+
+def _log(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a checkpoint log with the number of their batch."""
+    lines = spark.read.text(folder, recursiveFileLookup=True)
+    return lines.select(
+        "value",
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)$", 1)
+        .try_cast("bigint")
+        .alias("batch_id"),
+    ).filter(F.col("batch_id").isNotNull())
+
+
+def _with_commit(planned: DataFrame, checkpoint: str) -> DataFrame:
+    spark = planned.sparkSession
     if not folders.exists(spark, f"{checkpoint}/commits"):
         return planned.withColumn("committed", F.lit(False))
-    commits = log("commits").select("batch_id", F.lit(True).alias("seen")).distinct()
+    commits = _log(spark, f"{checkpoint}/commits").select(
+        "batch_id", F.lit(True).alias("seen")
+    ).distinct()
     return planned.join(commits, "batch_id", "left").select(
         "batch_id", "end_offset", F.coalesce("seen", F.lit(False)).alias("committed")
     )
