@@ -167,15 +167,60 @@ def test_short_random_values_look_random():
         assert np.mean([secrets.looks_random(v) for v in values]) > 0.98
 
 
-def test_named_values_are_live_unless_words_or_placeholders(spark):
-    live = ["qzxkvwpjtrmb", "GXkqTZwvLpRd", "837261940572", "a1b9c3f04e77", "hunter2hunter2"]
-    plain = ["your_token_here", "changeme1234", "aaaaaaaaaaaa", "123456789012", "configuration.value", "xxxxxxxxxxxx"]
+def test_named_values_are_live_unless_placeholders(spark):
+    live = ["qzxkvwpjtrmb", "GXkqTZwvLpRd", "837261940572", "a1b9c3f04e77", "hunter2hunter2",
+            "correcthorsebattery", "TigerLilyRose", "SummerHolidays", "letmeinplease"]
+    plain = ["your_token_here", "changeme1234", "aaaaaaaaaaaa", "123456789012", "configuration.value",
+             "xxxxxxxxxxxx", "abcdabcdabcd", "ponmlkjihgfe"]
     rows = [(i, f"password = {v}", f"o{i}") for i, v in enumerate(live + plain)] + [(99, f"bare {live[0]} here", "o0")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r["doc_id"]: [s["standing"] for s in r["spans"] if s["kind"] in (0, 3)] for r in secrets.scan(docs).collect()}
     assert got == {**{i: ["live" if i < len(live) else "plain"] for i in range(len(rows) - 1)}, 99: ["live"]}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ownership_of_random_corpora(spark, seed):
+    """Values of few and of many owners, named or bare, against plain counting."""
+    rng = np.random.default_rng(seed)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    values = ["".join(rng.choice(letters, 14)) for _ in range(12)]
+    values += ["".join(rng.choice(list("0123456789abcdef"), 24)) for _ in range(6)]
+    docs, holders, named = [], collections.defaultdict(set), set()
+    for i in range(120):
+        owner = None if i % 17 == 0 else f"o{int(rng.integers(6)) if i % 2 else i % 3}"
+        parts = []
+        for v in rng.choice(len(values), int(rng.integers(0, 4)), replace=False):
+            name = rng.random() < 0.3 and v % 3 > 0
+            if v % 4 == 0 and owner not in ("o0", "o1"):
+                continue  # values of two owners
+            parts.append(("password: " if name else "") + values[v])
+            holders[v].add(owner)
+            named |= {v} if name else set()
+        docs.append((i, " some words ".join(parts), owner, "x"))
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, spans string")
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secrets.scan(df).collect()}
+    seen = collections.Counter()
+    for i, text, _, _ in docs:
+        want = []
+        for v, value in enumerate(values):
+            at = text.find(value)
+            if at < 0:
+                continue
+            before = at - len("password: ")
+            is_named = before >= 0 and text[before:at] == "password: "
+            random_looking = len(value) == 24
+            standing = "example" if len(holders[v]) > 2 else "live" if v in named or random_looking else "plain"
+            seen[standing] += 1
+            if is_named:
+                want.append((before, 0, at + len(value), standing))
+            if random_looking:
+                want.append((at, 2, at + len(value), standing))
+            elif not is_named and standing == "live":
+                want.append((at, 3, at + len(value), standing))
+        assert got[i] == sorted(want)
+    assert min(seen["example"], seen["live"]) > 3
+
+
 def test_fingerprints_of_edited_texts(spark):
     rng = np.random.default_rng(5)
     words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(500)]

@@ -2,10 +2,10 @@
 
 Every text is searched for credential-shaped values. Each value is hashed, and
 the hashes are counted over the whole corpus by distinct repositories and
-owners. A value that many owners have is a copied example; one that few
-owners have is taken to be live, unless it is words or a placeholder; without a
-name in front it has to look random. Live values are then also
-marked where they stand bare, without a name in front.
+owners. A value that many owners have is a copied example; a named one that few
+owners have is taken to be live, words or not, unless it is a placeholder; without
+a name in front it has to look random. Live values are then also marked where they
+stand bare, and such places count for their owners, too.
 """
 
 from __future__ import annotations
@@ -53,16 +53,7 @@ PLACEHOLDERS = frozenset(
     "your my example sample dummy placeholder changeme change replace insert todo test foo bar "
     "xxx none null undefined redacted secret password passwd token".split()
 )
-#: After the first letter, those that follow it in words (letter pairs of at least
-#: four different words of Python's manual).
-_FOLLOWERS = (
-    "abcdfgiklmnprstuvwxy babceijloprstuy cacehiklmorstuy dabdeilorsuvy "
-    "eabcdefghilmnopqrstuvwxy faefilortuy gaceghilnorstu haeimorstu iabcdefgklmnoprstvxz "
-    "jeu kaeisw lacdefgilopstuvy mabeimopsuy nacdefghilmnopstuvy oabcdefgiklmnoprstuvwx "
-    "pacdehiloprstuy qu rabcdefgiklmnoprstuvwy sacefhiklmnopstuwy tabcdefhilmoprstuy "
-    "uabcdefgilmnoprst vaeio waehinors xaceioptx yceimnopstw zaei"
-)
-_WORD_PAIRS = frozenset(row[0] + b for row in _FOLLOWERS.split() for b in row[1:])
+_REFERENCE = re.compile(r"[A-Za-z_]+(?:\.[A-Za-z_]+)+")
 _LETTERS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 _CANDIDATE = T.StructType(
@@ -103,21 +94,19 @@ def looks_random(value: str) -> bool:
 
 
 def is_placeholder(value: str) -> bool:
-    """Words, names made of words, placeholders, and repeated or counting signs."""
+    """Values made of placeholder words, of few signs, of a short part repeated, or
+    of signs that count up or down, and names of variables (``settings.key``)."""
+    if _REFERENCE.fullmatch(value):
+        return True
     parts = [p.lower() for p in _LETTERS.findall(value)]
     if any(p in PLACEHOLDERS or p.startswith("xxx") for p in parts):
         return True
+    if len(set(value)) <= 3 or any(value == (value[:n] * len(value))[: len(value)] for n in (4, 5, 6)):
+        return True
     steps = {ord(b) - ord(a) for a, b in zip(value, value[1:])}
     if value.isdigit():
         steps = {step % 10 for step in steps}
-    if steps <= {0, 1} or steps <= {0, -1} or steps == {9} or not _mixed_enough(value):
-        return True
-    if any(c.isdigit() for c in value):
-        return False
-    # Words: runs of letters with pairs and vowels as words have them.
-    return sum(map(len, parts)) >= 3 * len(parts) and all(
-        any(c in "aeiouy" for c in p) or len(p) < 3 for p in parts
-    ) and all(p[i : i + 2] in _WORD_PAIRS for p in parts for i in range(len(p) - 1))
+    return steps <= {0, 1} or steps <= {0, -1} or steps == {9}
 
 
 def _hashed(value: str) -> int:
@@ -139,7 +128,7 @@ def find(text: str | None) -> list[dict]:
     spans += [(m.start(), 2, m.end(), m[0]) for m in _LONG_HEX.finditer(text)]
     base = list(spans)
     for m in _BARE.finditer(text):
-        if is_placeholder(m[0]) and not looks_random(m[0]):
+        if is_placeholder(m[0]):
             continue
         if not any(b < m.end() and m.start() < e for b, _, e, _ in base):
             spans.append((m.start(), 3, m.end(), m[0]))
@@ -151,8 +140,8 @@ def find(text: str | None) -> list[dict]:
 
 def _may_be_live(kind: int, value: str) -> bool:
     """Whether a value of few owners is live. Named values and access keys are
-    unless they are words or placeholders; a short bare value is not by itself,
-    only where the same value has a name elsewhere."""
+    unless they are placeholders; a bare value that is short or of words is not by
+    itself, only where the same value has a name elsewhere."""
     if kind < 2:
         return not is_placeholder(value)
     return (kind == 2 or len(value) >= LEAST_BARE) and looks_random(value)
