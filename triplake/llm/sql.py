@@ -111,7 +111,55 @@ SELECT anchor_id, positive_id, place::INTEGER AS "rank", negative_id, positive_s
 FROM ranked WHERE place <= 10
 """
 
+# Five hexadecimal digits of the SHA-1 are four signs of base 32.
+OP5_WARC = """
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS payload FROM pages),
+firsts AS (SELECT payload, min(page_id) AS first FROM payloads GROUP BY payload),
+hashed AS (
+  SELECT p.page_id, p.url, strlen(p.payload) AS payload_bytes, sha1(p.payload) AS digest, f.first
+  FROM payloads p JOIN firsts f ON p.payload = f.payload),
+groups AS (
+  SELECT *, list_transform(range(8),
+    lambda g: CAST('0x' || substr(digest, 5 * g + 1, 5) AS BIGINT)) AS numbers FROM hashed)
+SELECT page_id, url, payload_bytes::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((numbers[i // 4 + 1] // [32768, 1024, 32, 1][i % 4 + 1]) % 32 + 1)::BIGINT, 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM groups
+"""
+
+OP10_JACCARD = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, w, least(len(w), 3) AS k, unnest(range(len(w) - least(len(w), 3) + 1)) AS i
+  FROM words WHERE len(w) > 0),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + k], ' ') || ' ' || k AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles a
+  JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes s ON x = s.doc_id JOIN sizes t ON y = t.doc_id
+  WHERE 100 * common >= 90 * (s.n + t.n - common)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached AS (
+  SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reached r JOIN edges e ON r.y = e.x)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+  least(d.doc_id, coalesce(r.low, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+LEFT JOIN (SELECT x, min(y) AS low FROM reached GROUP BY x) r ON d.doc_id = r.x
+"""
+
 ORACLE: dict[str, str] = {
+    "op5_warc": OP5_WARC,
+    "op10_jaccard": OP10_JACCARD,
     "op9_lines": OP9_LINES,
     "op11_decontaminate": OP11_DECONTAMINATE,
     "op12_negatives": OP12_NEGATIVES,
