@@ -34,6 +34,14 @@ def test_archive_round_trip(records):
     assert data[:4] == bytes.fromhex("5d2a4d18")
 
 
+@pytest.mark.parametrize("records", [
+    [b""] * 12 + [b"x" * 9000], [b"ab"] * 11 + [bytes(range(256))], [b"12345678"] * 9, [b"x" * 7] * 40,
+])
+def test_records_that_nothing_can_be_trained_from(records):
+    data = b"".join(f + warc._NO_RECORD for f in warc.archive_frames(records))
+    assert list(warc.archive_records(data)) == records
+
+
 def test_dictionary_is_used_and_plain_readers_read_on():
     records = [b"WARC/1.1\r\nName: %d\r\n" % i + b"common text of every record " * 4 for i in range(300)]
     frames = list(warc.archive_frames(records))
@@ -78,6 +86,20 @@ def test_pages_come_back_from_archives(spark):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark):
+    rng = random.Random(6)
+    rows = [(i, f"u{i}", "".join(rng.choice("abcdefgh ") for _ in range(rng.choice([10, 300, 9000])))) for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    path = new_scratch(spark, "warc-bytes")
+    warc.write_archives(df, path, archive_records_=30, archive_bytes=20_000)
+    files = spark.read.format("binaryFile").load(path).select("content").collect()
+    sizes = [[len(r) for r in warc.archive_records(bytes(f["content"]))] for f in files]
+    assert sum(map(len, sizes)) == 120 and len(sizes) > 12
+    assert all(len(s) <= 30 and sum(s[:-1]) < 20_000 for s in sizes)
+    back = {r["page_id"]: bytes(r["payload"]) for r in warc.read_archives(spark, path).collect() if r["payload"] is not None}
+    assert all(back[i] == html_.encode() for i, _, html_ in rows if i in back) and len(back) > 100
+
+
 # ---- pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body class="has-sidebar">
@@ -380,7 +402,7 @@ def test_similar_sets_share_a_signature(size, changes, kind, seed):
         assert np.intersect1d(signatures.of(np.sort(one)), signatures.of(two)).size
     difference = len(one) + len(two) - 2 * both
     assert np.bitwise_count(jaccard.sketch(one, 512) ^ jaccard.sketch(two, 512)).sum() <= difference
-    assert jaccard.sketches_apart(jaccard.wide_sketch(one), jaccard.wide_sketch(two)) <= difference
+    assert jaccard.sketches_apart(jaccard.fitting_sketch(one), jaccard.fitting_sketch(two)) <= difference
     if alike:
         assert difference <= jaccard.most_apart(len(one), len(two), percent)
 

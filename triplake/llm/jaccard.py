@@ -8,7 +8,8 @@ band and in that of the next. With k the largest difference that a band allows,
 the domain of shingles is cut by a hash into more than k / 2 partitions of a few
 parts each. Similar sets differ by one element at most in some partition, and so
 agree in all but one of its parts: the signatures are the subsets of so many
-parts. Two parts give the fewest signatures, a third less than three.
+parts. An empty subset says nothing of a set and is no signature, as long as a
+band has spare partitions for the empty ones.
 
 Equal sets are one node from the start. Sets that share a signature are tried
 against the first of them, then, unless they are in one group by then, against
@@ -19,7 +20,9 @@ pair is verified on the whole sets.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -33,8 +36,6 @@ from triplake.llm.common import (
     OUT_ROWS, drop_stored, per_row, python_ready, stored, to_rows, unused,
 )
 
-#: Bits of the sketch that rules out pairs within a signature before they are made.
-SKETCH_BITS = 1024
 #: Nodes of a signature that make a block; blocks are compared two at a time.
 BLOCK_NODES = 4096
 
@@ -72,10 +73,17 @@ class Signatures:
     ``parts`` is how many parts each partition has; one of them may differ.
     """
 
-    def __init__(self, percent: int, parts: int = 2):
+    def __init__(self, percent: int, parts: int = 3):
         self.percent, self.parts = percent, parts
         self.bands: list[tuple[int, int, int, int]] = []
 
+    @property
+    def rounds(self) -> int:
+        """In how many rounds of bands signatures are made, so that those of a round
+        number about half the shingles whatever the percentage."""
+        large = self.band(self.band_of(100_000))
+        return max(1, math.ceil(2 * 2 * self.parts * large[2] / large[1]))
+
     def band(self, number: int) -> tuple[int, int, int, int]:
         """First and last size of a band, partitions, and spare partitions."""
         while len(self.bands) <= number:
@@ -89,24 +97,38 @@ class Signatures:
         if most == 0:
             return first, last, 0, 0  # only equal sets, which are one node already
         needed = most // 2 + 1
-        spare = 1 + needed // 12
+        spare = self._spare(needed, first * self.percent // 100)
         return first, last, needed + spare, spare
 
+    def _spare(self, needed: int, least: int) -> int:
+        """Partitions beyond those needed, so that the smallest sets of a band, which
+        have ``least`` elements, seldom have more with an empty subset. Bands of
+        small sets cannot have as many; of theirs a few sets have more."""
+        for spare in range(1, needed // 2 + 1):
+            partitions = needed + spare
+            subset = least / (partitions * self.parts) * (self.parts - 1)
+            empty = partitions * min(1.0, self.parts * math.exp(-subset))
+            if empty + 2 * math.sqrt(empty) <= spare:
+                return spare
+        return 1 + needed // 4
+
     def band_of(self, size: int) -> int:
         number = 0
         while self.band(number)[1] < size:
             number += 1
         return number
 
-    def of(self, found: np.ndarray) -> np.ndarray:
-        """Signatures of a set for its own band and the next one."""
+    def of(self, found: np.ndarray, rounds: int = 1, number: int = 0) -> np.ndarray:
+        """Signatures of a set for its own band and the next one, as far as these
+        bands are dealt with in a round."""
         if not len(found):
             return np.zeros(0, np.uint64)
         own = self.band_of(len(found))
         nearest = self.band(own + 1)
         # A set too small for any partner in the next band need not join there.
         joins = [own] + [own + 1] * (100 * len(found) >= self.percent * nearest[0])
-        return np.concatenate([self._in_band(found, number) for number in joins])
+        out = [self._in_band(found, band) for band in joins if band % rounds == number]
+        return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
     def _in_band(self, found: np.ndarray, number: int) -> np.ndarray:
         _, _, partitions, spare = self.band(number)
@@ -156,7 +178,9 @@ def sets_of(df: DataFrame, words: int) -> DataFrame:
     return per_row(df, ["text"], fields, start, keep=["id"])
 
 
-def keyed_by_signature(df: DataFrame, words: int, signatures: Signatures) -> DataFrame:
+def keyed_by_signature(
+    df: DataFrame, words: int, signatures: Signatures, rounds: int = 1, number: int = 0
+) -> DataFrame:
     """key, node: a row for each signature of each text, for rows of id and text."""
     python_ready(df.sparkSession)
 
@@ -165,7 +189,7 @@ def keyed_by_signature(df: DataFrame, words: int, signatures: Signatures) -> Dat
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for begin in range(0, batch.num_rows, OUT_ROWS):
                 texts = batch.column(1).slice(begin, OUT_ROWS).to_pylist()
-                found = [signatures.of(shingles(t, words)) for t in texts]
+                found = [signatures.of(shingles(t, words), rounds, number) for t in texts]
                 nodes = np.repeat(ids[begin : begin + len(texts)], [len(f) for f in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(found).view(np.int64)), pa.array(nodes, pa.int64())],
@@ -275,9 +299,17 @@ def sketch(found: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def wide_sketch(found: np.ndarray) -> np.ndarray:
-    """A sketch with about two to four cells an element."""
-    return sketch(found, 1 << max(6, (2 * len(found)).bit_length()))
+def fitting_sketch(found: np.ndarray) -> np.ndarray:
+    """A sketch with one to two cells an element."""
+    return sketch(found, 1 << max(6, len(found).bit_length()))
+
+
+def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Rows of sketches made as short as so many words."""
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
 
 
 def sketches_apart(one: np.ndarray, two: np.ndarray) -> int:
@@ -309,8 +341,9 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             continue
         names = [batch.column(i).to_numpy() for i in (0, 1)]
         rows = [batch.column(i).to_numpy() for i in (2, 3, 4, 5)]
-        words = b"".join(batch.column(6).to_pylist())
-        rows.append(np.frombuffer(words, np.uint64).reshape(batch.num_rows, -1))
+        marks = np.empty(batch.num_rows, object)
+        marks[:] = batch.column(6).to_pylist()
+        rows.append(marks)
         new = np.any([n[1:] != n[:-1] for n in names], axis=0)
         edges = [0, *(np.flatnonzero(new) + 1), batch.num_rows]
         for begin, end in zip(edges, edges[1:]):
@@ -326,7 +359,14 @@ def _compared(held: list[list[np.ndarray]], percent: int) -> Iterator[pa.RecordB
     """The possible pairs of one unit: of both its sides, or else of its only one."""
     if not held:
         return
-    sides, groups, nodes, sizes, sketches = map(np.concatenate, zip(*held))
+    sides, groups, nodes, sizes, marks = map(np.concatenate, zip(*held))
+    lengths = np.array([len(m) for m in marks])
+    # The sets of a signature are of one band, so their sketches are about as long.
+    sketches = np.zeros((len(marks), lengths.min() // 8), np.uint64)
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        rows = np.frombuffer(b"".join(marks[at]), np.uint64).reshape(len(at), -1)
+        sketches[at] = _folded(rows, sketches.shape[1])
     lefts = int(np.searchsorted(sides, 1))
     alone = lefts == len(sides)
     for i in range(0 if alone else lefts, len(sides)):
@@ -381,7 +421,7 @@ def _similar(
         return both > 0 and 100 * both >= percent * (len(one) + len(two) - both)
 
     close = stored(
-        _both(pairs, marks, ["size", "wide"])
+        _both(pairs, marks, ["size", "sketch"])
         .mapInArrow(lambda batches: _kept(batches, possible), _PAIRS).distinct(),
         "possible-pairs",
     )
@@ -445,7 +485,7 @@ def link(
     text_col: str = "text",
     words: int = 5,
     percent: int = 80,
-    parts: int = 2,
+    parts: int = 3,
 ) -> DataFrame:
     """id, ``n_shingles`` and ``component_id`` of every row.
 
@@ -468,10 +508,14 @@ def link(
         own.select("id").join(nodes.select(F.col("node").alias("id")), "id", "left_anti"),
         "set-copies",
     )
-    keyed = keyed_by_signature(
-        texts.filter(F.col("id").isNotNull()).join(copies, "id", "left_anti"), words, signatures
+    singles = stored(
+        texts.filter(F.col("id").isNotNull()).join(copies, "id", "left_anti"), "single-texts"
     )
-    shared = shared_signatures(keyed)
+    rounds = signatures.rounds
+    shared = reduce(DataFrame.union, tables := [
+        shared_signatures(keyed_by_signature(singles, words, signatures, rounds, number))
+        for number in range(rounds)
+    ])
     pairs = stored(
         shared.filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b"))
         .distinct(),
@@ -483,7 +527,7 @@ def link(
     groups = components(edges)
     # What the stars did not bring together is compared directly.
     placed = stored(
-        marks.select("node", "size", "sketch").join(groups, "node", "left").select(
+        marks.join(groups, "node", "left").select(
             "node", F.coalesce("group", "node").alias("group"), "size", "sketch"
         ),
         "placed-nodes",
@@ -506,7 +550,7 @@ def link(
         ),
         "set-components",
     )
-    drop_stored(nodes, copies, shared, pairs, wanted, marks, edges, placed)
+    drop_stored(nodes, copies, singles, *tables, pairs, wanted, marks, edges, placed)
     return own.join(named, ["d1", "d2"], "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("id").isNull(), F.lit(None).cast("long"))
@@ -532,11 +576,11 @@ def _elements(df: DataFrame, words: int) -> DataFrame:
 
 
 def _marks(df: DataFrame, words: int) -> DataFrame:
-    """node, the size of its set, and two sketches of it."""
+    """node, the size of its set, and a sketch of it."""
     fields = T.StructType(
         [
             T.StructField("node", T.LongType()), T.StructField("size", T.LongType()),
-            T.StructField("sketch", T.BinaryType()), T.StructField("wide", T.BinaryType()),
+            T.StructField("sketch", T.BinaryType()),
         ]
     )
 
@@ -544,10 +588,7 @@ def _marks(df: DataFrame, words: int) -> DataFrame:
         def compute(rows):
             for node, text in rows:
                 found = shingles(text, words)
-                yield (
-                    node, len(found), sketch(found, SKETCH_BITS).tobytes(),
-                    wide_sketch(found).tobytes(),
-                )
+                yield node, len(found), fitting_sketch(found).tobytes()
 
         return compute
 
@@ -556,7 +597,7 @@ def _marks(df: DataFrame, words: int) -> DataFrame:
 
 def keep_one(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    words: int = 5, percent: int = 80, parts: int = 2,
+    words: int = 5, percent: int = 80, parts: int = 3,
 ) -> DataFrame:
     """One document of each group, the one with the smallest id; the rest goes.
 

@@ -27,12 +27,18 @@ from pyspark.sql import types as T
 
 from triplake.llm.common import python_ready, stored
 
-#: Records of an archive at most; a task writes as many archives as it needs.
+#: Records of an archive at most, and bytes of them from which it is closed; a task
+#: writes as many archives as it needs and holds one of them.
 ARCHIVE_RECORDS = 4000
+ARCHIVE_BYTES = 64 * 1024 * 1024
 #: Bytes of a dictionary, and of the records it is trained from.
 DICTIONARY_BYTES = 32 * 1024
 TRAINING_BYTES = 4 * 1024 * 1024
+#: Records without which no dictionary is trained.
+LEAST_SAMPLES = 8
 LEVEL = 3
+#: Bytes that go back to Spark in one batch about.
+OUT_BYTES = 8 * 1024 * 1024
 
 # Fixed values of the formats.
 _DICTIONARY_MAGIC = 0x184D2A5D
@@ -81,15 +87,19 @@ def train(records: list[bytes]) -> bytes:
     """A dictionary of these records; too few give their own bytes, or none."""
     samples, size = [], 0
     for r in records:
-        samples.append(r)
-        size += len(r)
+        # The trainer divides by the number of 8-byte words in part of its samples.
+        if len(r) >= 8:
+            samples.append(r)
+            size += len(r)
         if size >= TRAINING_BYTES:
             break
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:
-        # Bytes that are no trained dictionary serve as plain content.
-        return b"".join(samples)[-DICTIONARY_BYTES:] if size >= 64 else b""
+    if len(samples) >= LEAST_SAMPLES:
+        try:
+            return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+        except zstandard.ZstdError:
+            pass  # nothing in common
+    # Bytes that are no trained dictionary serve as plain content.
+    return b"".join(samples)[-DICTIONARY_BYTES:] if size >= 64 else b""
 
 
 def archive_frames(records: list[bytes]) -> Iterator[bytes]:
@@ -161,10 +171,14 @@ def write_archives(
     url_col: str = "url",
     html_col: str = "html",
     archive_records_: int = ARCHIVE_RECORDS,
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
     """Write one record for each page; NULL html is an empty payload.
 
-    Other columns are not archived. An empty table leaves no records.
+    An archive has at most so many records, and is closed with the record that
+    brings it to so many bytes; a page of any size is one record. Other columns
+    are not archived. An empty table leaves no records. A dictionary is trained on
+    the first records of its archive (``TRAINING_BYTES``); all are compressed.
     """
     python_ready(df.sparkSession)
     pages = df.select(
@@ -174,16 +188,18 @@ def write_archives(
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[bytes] = []
+        size = 0
 
         def archive() -> Iterator[pa.RecordBatch]:
-            # The writer starts a file after this many rows, so each archive but
-            # the last of a task has exactly as many.
-            rows: list[bytes] = []
-            for frame in archive_frames(waiting):
+            # The writer starts a file after so many rows, so an archive that was
+            # closed by its bytes is filled up with empty ones.
+            rows, held = [], 0
+            for frame in [*archive_frames(waiting), *[b""] * (archive_records_ - len(waiting))]:
                 rows.append(frame)
-                if len(rows) == 256:
+                held += len(frame)
+                if len(rows) == 256 or held > OUT_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["frame"])
-                    rows = []
+                    rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["frame"])
             waiting.clear()
@@ -191,8 +207,10 @@ def write_archives(
         for batch in batches:
             for i in range(batch.num_rows):
                 waiting.append(record(*(c[i].as_py() for c in batch.columns)))
-                if len(waiting) == archive_records_:
+                size += len(waiting[-1])
+                if len(waiting) == archive_records_ or size >= archive_bytes:
                     yield from archive()
+                    size = 0
         if waiting:
             yield from archive()
 
@@ -230,12 +248,13 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = []
+                rows, held = [], 0
                 for data in archive_records(batch.column(0)[i].as_py()):
                     rows.append(_row(parse(data), with_payload))
-                    if len(rows) == 256:
+                    held += len(data)
+                    if len(rows) == 256 or held > OUT_BYTES:
                         yield _as_batch(rows)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield _as_batch(rows)
 
