@@ -63,6 +63,13 @@ CANONICAL = """vendor_id, pickup_datetime, dropoff_datetime, passenger_count, tr
   fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
   congestion_surcharge, airport_fee, cbd_congestion_fee"""
 
+#: The fields of a message as its JSON names them.
+PAYLOAD_FIELDS = """vendor_id AS "VendorID", pickup_datetime AS tpep_pickup_datetime,
+  dropoff_datetime AS tpep_dropoff_datetime, passenger_count::DOUBLE AS passenger_count,
+  trip_distance, rate_code_id AS "RatecodeID", store_and_fwd_flag,
+  pickup_location_id AS "PULocationID", dropoff_location_id AS "DOLocationID", payment_type,
+  fare_amount, extra, tip_amount, tolls_amount, total_amount, airport_fee"""
+
 CONTROL_ROW = """
 control_row AS (
   SELECT max(source_year_month) AS last_period, count(*) AS rows_sent,
@@ -519,20 +526,21 @@ ORACLE = {
         "day",
     ),
     "stream_decode": _events(
-        """SELECT source_year_month AS year_month, substr(source_year_month, 1, 4) AS year,
+        f"""SELECT source_year_month AS year_month, substr(source_year_month, 1, 4) AS year,
         substr(source_year_month, 6, 2) AS month, 'trips' AS kafka_topic,
         CAST(kafka_partition AS INTEGER) AS kafka_partition, kafka_offset, kafka_timestamp,
-        fare_amount FROM file_events
+        {PAYLOAD_FIELDS}, NULL::BIGINT AS rows_sent FROM file_events
         UNION ALL
         SELECT last_period, substr(last_period, 1, 4), substr(last_period, 6, 2), 'trips', 0,
-        kafka_offset, kafka_timestamp, NULL FROM control_row""",
+        kafka_offset, kafka_timestamp, {", ".join(["NULL"] * 16)}, rows_sent FROM control_row""",
         "day",
         CONTROL_ROW,
     ),
     "stream_accept": _events(
         f"""SELECT source_year_month AS year_month, substr(source_year_month, 1, 4) AS year,
         substr(source_year_month, 6, 2) AS month, 'trips' AS kafka_topic,
-        CAST(kafka_partition AS INTEGER) AS kafka_partition, kafka_offset, kafka_timestamp
+        CAST(kafka_partition AS INTEGER) AS kafka_partition, kafka_offset, kafka_timestamp,
+        {PAYLOAD_FIELDS}, NULL::BIGINT AS rows_sent
         FROM file_events WHERE source_year_month = '{STREAM_DAY}'""",
         "day",
     ),

@@ -70,9 +70,10 @@ def write_periods(
 
 
 def write_whole(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Replace a whole table, optionally in few files, for a compact table."""
+    """Replace a whole table, optionally in so many even files. The rows are dealt
+    to them in turn, so few files do not mean few readers."""
     if files is not None:
-        df = df.coalesce(files)
+        df = df.repartition(files)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
