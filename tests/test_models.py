@@ -365,6 +365,18 @@ def test_all_jobs_end_to_end(spark, file_rows, tmp_path, capsys):
     before = sorted(map(str, spark.read.parquet(str(p / "gold/daily_summary")).collect()))
     job("serving", "--trips", p / "trips", "--base", p / "gold", "--year", 2025, "--month", 11)
     assert sorted(map(str, spark.read.parquet(str(p / "gold/daily_summary")).collect())) == before
+    sources = ("--batch-root", p / "batch", "--stream-root", p / "stream", "--zones", p / "zones.csv")
+    job("rebuild", *sources, "--target", p / "trips", "--manifest", p / "manifest",
+        "--serving", p / "gold")
+    assert "bootstrapped" in capsys.readouterr().out
+    job("rebuild", *sources, "--target", p / "trips", "--manifest", p / "manifest",
+        "--serving", p / "gold")
+    plan = capsys.readouterr().out
+    assert "unchanged" in plan and "rebuilt" not in plan and "bootstrapped" not in plan
+    job("refresh", *sources, "--base", p / "gold2", "--state", p / "gold2-state")
+    assert sorted(map(str, spark.read.parquet(str(p / "gold2/daily_summary")).collect())) == before
+    job("refresh", *sources, "--base", p / "gold2", "--state", p / "gold2-state")
+    assert "periods: none" in capsys.readouterr().out
     job("export", "--base", p / "gold", "--target", p / "out")
     assert spark.read.parquet(str(p / "out/daily_summary")).count() == len(before)
     job("dataset", "--trips", p / "trips", "--base", p / "ml", "--test-month", "2025-12",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from triplake.operators import manifest
 from triplake.operators.manifest import StageSpec
 from triplake.plans import rebuild, serving
+from triplake.plans import trips as trips_plan
 from triplake.sources import bronze, folders
 
 ZONE_FILE = """LocationID,Borough,Zone,service_zone
@@ -210,3 +211,48 @@ def test_cascade_of_three_stages(spark):
     }
     none = manifest.cascade(sources.limit(0), stages, frame([], "stage string, period string, fingerprint string"), frame([], "stage string, period string"))
     assert none.collect() == []
+
+
+def test_serving_tables_follow_late_replaced_and_removed_files(spark, lake, monkeypatch):
+    base, state = str(lake.root / "late"), str(lake.root / "late-state")
+
+    def refresh():
+        return rebuild.refresh_serving(spark, lake.batch, None, str(lake.zones), base, state, True)
+
+    def same_as_a_full_build(n):
+        full, trips = str(lake.root / f"full-{n}"), str(lake.root / f"all-{n}")
+        trips_plan.build_trips(spark, lake.batch, None, str(lake.zones), trips, wall_clock=True)
+        serving.build_serving(spark, trips, full)
+        ours, theirs = (serving.read_serving(spark, path) for path in (base, full))
+        for name, table in theirs.items():
+            columns = sorted(table.columns)
+            found, want = (
+                sorted(map(str, t.select(columns).collect())) for t in (ours[name], table)
+            )
+            assert found == want, name
+        return len(found)
+
+    assert refresh() == list(PERIODS)
+    same_as_a_full_build(1)
+    read = []
+    reader = rebuild.read_months
+    monkeypatch.setattr(rebuild, "read_months", lambda *args: read.append(args[4]) or reader(*args))
+    assert refresh() == [] and not read
+    lake.add("2025-10", "late", trip("2025-10", 12, payment_type=3), trip("2025-10", 30))
+    assert refresh() == ["2025-10"]
+    assert [f.rsplit("/", 1)[1] for f in read.pop()] == ["late.parquet"]
+    same_as_a_full_build(2)
+    # A replaced file leaves the metrics, a removed one takes its period along.
+    lake.add("2025-10", "late", trip("2025-10", 13, fare_amount=99.0))
+    (lake.root / "batch/year=2025/month=09/a.parquet").unlink()
+    assert refresh() == ["2025-09", "2025-10"]
+    same_as_a_full_build(3)
+    lake.zones.write_text(ZONE_FILE.replace("Baisley", "Upper Baisley"))
+    with monkeypatch.context() as patch:
+        def fail(*_):
+            raise RuntimeError("lost")
+        patch.setattr(rebuild, "write_version", fail)
+        with pytest.raises(RuntimeError):
+            refresh()
+    assert refresh() == ["2025-10", "2025-11"]
+    same_as_a_full_build(4)

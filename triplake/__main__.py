@@ -7,6 +7,7 @@ import sys
 
 from triplake.operators import quality
 from triplake.plans import duration, rebuild, serving, stream, trips
+from triplake.schemas import MESSAGE_SCHEMA
 from triplake.session import open_session
 from triplake.sources import bronze, folders, messages
 from triplake.sources.tables import read_trips
@@ -57,6 +58,13 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--test-month", type=folders.require_period, help="of the dataset")
     job.add_argument("--model", help="also the model on target encodings")
 
+    job = jobs.add_parser("refresh", help="serving tables from the metrics of changed files alone")
+    job.add_argument("--batch-root")
+    job.add_argument("--stream-root")
+    job.add_argument("--zones", required=True)
+    job.add_argument("--base", required=True)
+    job.add_argument("--state", required=True)
+
     job = jobs.add_parser("send", help="send the rows of a month as messages")
     job.add_argument("--source", required=True)
     job.add_argument("--month", required=True, type=folders.require_period)
@@ -65,6 +73,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--folder", help="store messages here instead, for a replay")
     job.add_argument("--max-rows", type=int)
     job.add_argument("--partitions", type=int, default=stream.PARTITIONS)
+    job.add_argument("--log", help="folder that says what was sent; a failed run goes on there")
 
     job = jobs.add_parser("complete", help="is the stream of a month complete?")
     job.add_argument("--stream-root", required=True)
@@ -188,6 +197,11 @@ def _run(spark, args) -> int:
         rebuild.rebuild(
             spark, args.batch_root, args.stream_root, stages, args.manifest
         ).show(10_000, truncate=False)
+    elif args.job == "refresh":
+        periods = rebuild.refresh_serving(
+            spark, args.batch_root, args.stream_root, args.zones, args.base, args.state
+        )
+        print("periods:", ", ".join(periods) or "none")
     elif args.job == "send":
         if (args.folder is None) == (args.bootstrap_servers is None):
             raise SystemExit("give either --bootstrap-servers or --folder")
@@ -198,8 +212,13 @@ def _run(spark, args) -> int:
             else:
                 messages.send(rows, args.bootstrap_servers, args.topic)
 
+        def arrived():
+            return spark.read.schema(MESSAGE_SCHEMA).parquet(args.folder)
+
+        known = args.folder is not None and folders.exists(spark, args.folder)
         print("rows sent:", stream.send_month(
-            spark, args.source, args.month, publish, args.max_rows, args.partitions
+            spark, args.source, args.month, publish, args.max_rows, args.partitions,
+            args.log, arrived=arrived if known else None,
         ))
     elif args.job == "complete":
         state = stream.stream_state(

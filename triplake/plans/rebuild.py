@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.functions.hashing import row_hash, set_fingerprint
+from triplake.functions.timeparts import two_digits
 from triplake.operators.manifest import (
     FILE_KEY,
     WHOLE,
@@ -26,7 +27,12 @@ from triplake.operators.manifest import (
     refreshed_files,
     stage_fingerprints,
 )
-from triplake.operators.metrics import serving_tables
+from triplake.operators.metrics import (
+    STATE_KEYS,
+    metric_state,
+    serving_table_from_state,
+    serving_tables,
+)
 from triplake.plans import duration, serving
 from triplake.plans.trips import RULES, gather_sources, trip_table
 from triplake.sources.bronze import read_messages, read_months, union_all
@@ -55,19 +61,28 @@ def _saved(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(version)
 
 
-def source_states(
+def source_listing(
+    spark: SparkSession, batch_root: str | None, stream_root: str | None
+) -> DataFrame:
+    """The files of all sources, stored."""
+    roots = {"batch": batch_root, "stream": stream_root}
+    return stored(
+        union_all([list_files(spark, root, name) for name, root in roots.items() if root]),
+        "source-files",
+    )
+
+
+def changed_rows(
     spark: SparkSession,
     batch_root: str | None,
     stream_root: str | None,
+    listing: DataFrame,
     known: DataFrame,
     wall_clock: bool = False,
-) -> DataFrame:
-    """State of every source file; only files without a known state are read."""
+) -> DataFrame | None:
+    """Canonical rows, with their ``_file``, of listed files that are not known; no
+    other file is opened. None when there is no such file."""
     roots = {"batch": batch_root, "stream": stream_root}
-    listing = stored(
-        union_all([list_files(spark, root, name) for name, root in roots.items() if root]),
-        "source-files",
-    )
     month = _period_of_folders("year", "month")
     # A short line for each changed file; Spark's own listing has them all.
     changed = changed_files(listing, known).select("source", "file", month.alias("month")).collect()
@@ -82,7 +97,19 @@ def source_states(
         else:
             rows = read_messages(spark, root, wall_clock, files, "_file")
         frames.append(rows)
-    rows = union_all([frame for frame in frames if frame is not None])
+    return union_all([frame for frame in frames if frame is not None])
+
+
+def source_states(
+    spark: SparkSession,
+    batch_root: str | None,
+    stream_root: str | None,
+    known: DataFrame,
+    wall_clock: bool = False,
+) -> DataFrame:
+    """State of every source file; only files without a known state are read."""
+    listing = source_listing(spark, batch_root, stream_root)
+    rows = changed_rows(spark, batch_root, stream_root, listing, known, wall_clock)
     if rows is None:
         fresh = spark.createDataFrame([], "file string, period string, row_count bigint, hash_sum decimal(38,0)")
     else:
@@ -314,3 +341,68 @@ def rebuild_trips(
     )
     plan = rebuild(spark, batch_root, stream_root, [stage], manifest, wall_clock)
     return plan.drop("stage")
+
+
+def refresh_serving(
+    spark: SparkSession,
+    batch_root: str | None,
+    stream_root: str | None,
+    zone_file: str,
+    base: str,
+    state: str,
+    wall_clock: bool = False,
+) -> list[str]:
+    """Bring the serving tables up to date from mergeable metrics of each file.
+
+    The state has the metrics of every source file at the finest grain. Only new
+    and replaced files are read, once; those of files that are gone or were
+    replaced leave the state, and the periods that any of them has are rolled up
+    again. Other rules or zones start the state anew. Returns these periods.
+    """
+    root = state.rstrip("/")
+    zones = read_zones(spark, zone_file)
+    lookup = zones.agg(set_fingerprint(row_hash(zones)).alias("f")).first().f
+    rules = f"{RULES} {serving.RULES} {wall_clock} {lookup}"
+    # Rows say by which rules they were made; those by others are not known.
+    files = "source string, file string, size bigint, modified timestamp, rules string"
+    every = _saved(spark, f"{root}/files", files)
+    known = every.filter(F.col("rules") == rules)
+    listing = source_listing(spark, batch_root, stream_root)
+    # All other metrics leave, also those of a run that failed on the way.
+    kept_files = stored(
+        known.join(listing, list(FILE_KEY), "left_semi").select("file"), "kept-files"
+    )
+    is_kept = F.col("_file") == F.col("file")
+    rows = changed_rows(spark, batch_root, stream_root, listing, known, wall_clock)
+    fresh, before = None, None
+    if rows is not None:
+        trips = trip_table(rows, zones, beside=("_file",))
+        fresh = stored(metric_state(trips, (*STATE_KEYS, "_file")), "fresh-metrics")
+    if table_periods(spark, f"{root}/metrics"):
+        before = spark.read.parquet(f"{root}/metrics")
+    year_month = F.concat_ws(
+        "-", F.col("pickup_year").cast("string"), two_digits(F.col("pickup_month"))
+    )
+    leaving = None if before is None else before.join(kept_files, is_kept, "left_anti")
+    touched = union_all([
+        frame.select(year_month.alias("period")) for frame in (fresh, leaving) if frame is not None
+    ])
+    # Months, so there are few.
+    periods = [] if touched is None else sorted(r.period for r in touched.distinct().collect())
+    if periods:
+        parts = []
+        if before is not None:
+            own = before.filter(year_month.isin(periods))
+            parts.append(own.join(kept_files, is_kept, "left_semi"))
+        if fresh is not None:
+            again = fresh.withColumn("pickup_month", F.col("pickup_month").cast("int"))
+            parts.append(again)
+        merged = stored(union_all(parts), "merged-metrics")
+        replace_periods(merged, f"{root}/metrics", periods)
+        for name, spec in serving_tables().items():
+            replace_periods(
+                serving_table_from_state(merged, name), f"{base.rstrip('/')}/{name}", periods,
+                rebalance=True, order=spec.order,
+            )
+    write_version(listing.withColumn("rules", F.lit(rules)).coalesce(1), f"{root}/files")
+    return periods

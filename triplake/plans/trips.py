@@ -16,10 +16,15 @@ from triplake.sources.zones import read_zones
 RULES = "1"
 
 
-def trip_table(canonical: DataFrame, zones: DataFrame, period_unit: str = "month") -> DataFrame:
-    """Canonical rows to the trip table: one narrow stage, no shuffle."""
+def trip_table(
+    canonical: DataFrame, zones: DataFrame, period_unit: str = "month", beside: tuple[str, ...] = ()
+) -> DataFrame:
+    """Canonical rows to the trip table: one narrow stage, no shuffle.
+
+    Columns in ``beside`` are carried along behind it.
+    """
     usable = with_calendar(keep_usable(canonical, period_unit=period_unit))
-    return with_zones(usable, zones).select(*TRIP_TABLE_COLUMNS)
+    return with_zones(usable, zones).select(*TRIP_TABLE_COLUMNS, *beside)
 
 
 def gather_sources(
