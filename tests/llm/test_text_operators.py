@@ -221,12 +221,21 @@ def test_ownership_of_random_corpora(spark, seed):
     assert min(seen["example"], seen["live"]) > 3
 
 
-def test_fingerprints_of_edited_texts(spark):
+@pytest.mark.parametrize("range_rows", [20_000, 5])
+def test_fingerprints_of_edited_texts(spark, range_rows, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", range_rows)
     rng = np.random.default_rng(5)
     words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(500)]
     rows = [(i * 7 % 60, " ".join(rng.choice(words, int(rng.integers(1, 300))))) for i in range(60)]
     rows += [(70, None), (71, ""), (71, ""), (None, "no id"), (3, "tie of three")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # Many rows without id, and of one id, some of them alike.
+    rows += [(None, f"{rng.choice(words)} {i % 25}") for i in range(40)]
+    rows += [(33, f"{rng.choice(words)} {i % 25}") for i in range(40)] + [(33, "é same")] * 3
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, place int, id string")
+    if range_rows == 5:
+        placed, places = fingerprints._in_places(docs.selectExpr("doc_id as id", "text"), 8)
+        most = max(r["count"] for r in placed.groupBy("place").count().collect())
+        assert len(places) > 20 and most <= 20
     got = collections.Counter(
         (r["doc_id"], r["n_chars"], r["edited_text"]) for r in fingerprints.compare_edited(docs).collect()
     )

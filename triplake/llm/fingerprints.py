@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -110,6 +111,55 @@ def containment(inner: dict[str, int], outer: dict[str, int]) -> float:
     return sum([inner[d] for d in inner.keys() & outer.keys()]) / total
 
 
+def _beginning(text: Column) -> Column:
+    """The first seven bytes of a text as a number in the same order; NULL is first."""
+    digits = F.rpad(F.hex(F.substring(text.cast("binary"), 1, 7)), 14, "0")
+    return F.coalesce(F.conv(digits, 16, 10).cast("bigint"), F.lit(-1))
+
+
+def _in_places(source: DataFrame, ranges: int) -> tuple[DataFrame, list[int]]:
+    """Rows of id and text with the ``place`` that they have in the order, and the
+    places that have rows. Cuts are a few numbers for each place."""
+    keyed = source.withColumn("key", F.col("id").cast("double"))
+    probabilities = [i / ranges for i in range(1, ranges)]
+    cuts = keyed.approxQuantile("key", probabilities, 1 / (4 * ranges)) if ranges > 1 else []
+    # An id that many cuts fall on has a range of its own.
+    alone = {math.nextafter(c, math.inf) for c, n in Counter(cuts).items() if n > 1}
+    splits = [-math.inf, *(sorted({*cuts, *alone}) or [0.0]), math.inf]
+    ranged = Bucketizer(
+        splits=splits, inputCol="key", outputCol="range", handleInvalid="keep"
+    ).transform(keyed).withColumn(
+        "range", F.coalesce(F.col("range").cast("int"), F.lit(len(splits)))  # NULL ids last
+    ).drop("key")
+    counts = ranged.groupBy("range").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
+    ).collect()
+    parts = {
+        r.range: math.ceil(r.n / RANGE_ROWS) for r in counts
+        if r.n > 2 * RANGE_ROWS and r.low == r.high
+    }
+    begins: dict[int, list[int]] = {}
+    if parts:
+        most = max(parts.values())
+        found = ranged.filter(F.col("range").isin(sorted(parts))).groupBy("range").agg(
+            F.percentile_approx(
+                _beginning(F.col("text")), [i / most for i in range(1, most)], F.lit(10 * most)
+            ).alias("cuts")
+        )
+        begins = {r.range: sorted(set(r.cuts)) for r in found.collect()}
+    bases, at = [], 0
+    for number in range(len(splits) + 1):
+        bases.append(at)
+        at += 1 + len(begins.get(number, ()))
+    place = F.get(F.lit(bases), F.col("range"))
+    for number, own in begins.items():
+        later = F.size(F.filter(F.lit(own), lambda c: c <= _beginning(F.col("text"))))
+        place = F.when(F.col("range") == number, F.lit(bases[number]) + later).otherwise(place)
+    ranged = ranged.select("id", "text", place.cast("int").alias("place"))
+    places = sorted(r.place for r in ranged.select("place").distinct().collect())
+    return ranged, places
+
+
 def with_following(
     df: DataFrame, start, fields: list[T.StructField], id_col: str, text_col: str
 ) -> DataFrame:
@@ -118,9 +168,11 @@ def with_following(
     ``start`` is called once per task and returns that function; ids are numbers.
 
     Rows are in ascending order of id, then text; NULL ids come last and the
-    last row is followed by the first. Ids are cut into ranges of similar size,
-    the first row of each range is copied to the range before, and each range is
-    then read in order: one shuffle, and no task sees more than its range.
+    last row is followed by the first. Ids are cut into ranges of similar size, and
+    an id (or NULL) with more rows than a range should have is cut again by the
+    beginnings of its texts. The first row of each range is copied to the range
+    before, and each range is then read in order: one shuffle, and no task sees
+    more than its range, unless more rows begin alike.
     """
     spark = df.sparkSession
     python_ready(spark)
@@ -128,43 +180,34 @@ def with_following(
     ranges = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(count / RANGE_ROWS), 1
     )
-    source = df.select(
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")
-    ).withColumn("key", F.col("id").cast("double"))
-    probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = source.approxQuantile("key", probabilities, 1 / (4 * ranges)) if ranges > 1 else []
-    splits = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
-    bucketed = Bucketizer(
-        splits=splits, inputCol="key", outputCol="range", handleInvalid="keep"
-    ).transform(source).withColumn(
-        "range", F.coalesce(F.col("range").cast("int"), F.lit(len(splits)))  # NULL ids last
-    ).drop("key")
-    # One row for each range, as many as there are partitions.
-    firsts = (
-        bucketed.groupBy("range").agg(F.min("id").alias("first")).orderBy("range").collect()
-    )
-    before = [
-        (row["first"], firsts[i - 1]["range"]) for i, row in enumerate(firsts)
-    ]
-    looks = spark.createDataFrame(
-        before, T.StructType([T.StructField("first", df.schema[id_col].dataType),
-                              T.StructField("before", T.IntegerType())])
+    source = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    ranged, places = _in_places(source, ranges)
+    # The place before each, for the copy of its first row.
+    before = [0] * (max(places, default=0) + 1)
+    for i, place in enumerate(places):
+        before[place] = places[i - 1]
+    start_of = (
+        ranged.select("place", F.struct("id", _beginning(F.col("text")).alias("begins")).alias("key"))
+        .groupBy("place").agg(F.min("key").alias("key"))
+        .select(F.col("place").alias("p"), F.col("key.id").alias("i"), F.col("key.begins").alias("b"))
     )
-    placed = (
-        bucketed.join(F.broadcast(looks), F.col("id").eqNullSafe(F.col("first")), "left")
+    # One row for each place, and as many as begin like its first one before the last step.
+    heads = (
+        ranged.join(
+            F.broadcast(start_of),
+            (F.col("place") == F.col("p")) & F.col("id").eqNullSafe(F.col("i"))
+            & (_beginning(F.col("text")) == F.col("b")),
+        )
+        .groupBy("place").agg(F.min(F.struct("id", "text")).alias("row"))
         .select(
-            "id", "text",
-            F.explode(
-                F.when(
-                    F.col("before").isNotNull(),
-                    F.array(F.struct("range", F.lit(0).alias("ahead")),
-                            F.struct(F.col("before").alias("range"), F.lit(1).alias("ahead"))),
-                ).otherwise(F.array(F.struct("range", F.lit(0).alias("ahead"))))
-            ).alias("place"),
+            F.get(F.lit(before), F.col("place")).alias("place"), F.lit(1).alias("ahead"),
+            "row.id", "row.text",
         )
-        .select("place.range", "place.ahead", "id", "text")
-        .repartition(ranges, "range")
-        .sortWithinPartitions("range", "ahead", F.col("id").asc_nulls_last(), "text")
+    )
+    placed = (
+        ranged.select("place", F.lit(0).alias("ahead"), "id", "text").union(heads)
+        .repartitionById(max(len(before), ranges), F.col("place"))
+        .sortWithinPartitions("place", "ahead", F.col("id").asc_nulls_last(), "text")
     )
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), *fields])
     arrow = to_arrow_schema(schema)
