@@ -1,7 +1,10 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes the documents that the one before kept and is written before the
-next one reads it. All but the last return the columns of documents.
+next one reads it. All but the last return the columns of documents, whatever they
+are called. NULL and empty texts pass every stage but the first, which rejects
+what has fewer than 20 words; they get a piece when they reach the last. Repeated
+rows stay or go together, are packed once each, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplake.llm import jaccard, lines, packing, quality, secrets
-from triplake.llm.common import documents, labels, stored
+from triplake.llm.common import documents, labels, stored, unused
 
 
 def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -25,8 +28,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines seen before go, and documents of which no line is left by that."""
-    kept = lines.dedup(docs, exact_col="_exact", near_col="_near")
-    emptied = (F.col("_exact") + F.col("_near") > 0) & (
+    exact, near = unused("exact", docs.columns), unused("near", docs.columns)
+    kept = lines.dedup(docs, exact_col=exact, near_col=near)
+    emptied = (F.col(exact) + F.col(near) > 0) & (
         F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) == ""
     )
     return _with_length(kept.filter(~emptied), docs.columns)
@@ -55,8 +59,8 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Tokenising, shingling and learned rules are beyond SQL; tests hold each stage
-#: against a brute-force version instead.
+#: Tokenising and learned rules are beyond SQL. Tests hold the operators against
+#: brute force, and look at the rows that each stage keeps, masks and packs.
 ORACLE_SQL = None
 
 
