@@ -8,19 +8,24 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from triplake.llm import html, jaccard, lines, quality, warc
+from triplake.llm import html, jaccard, lines, quality, secrets, warc
 from triplake.llm.queries import QUERIES
+from triplake.llm.vocabulary import default_path
 from triplake.session import new_scratch
 
+LIBRARY = Tokenizer.from_file(default_path())
+
 # ---- archives
 
 
@@ -497,13 +502,79 @@ def test_pipeline_stages(spark, sf_small):
             plain = plain_components([(r["doc_id"], r["text"]) for r in before], 5, 80)
             assert kept == {d for d, (_, c) in plain.items() if c == d}
         elif name == "secret_scan":
-            assert kept == {r["doc_id"] for r in before}
+            want = plain_masked([(r["doc_id"], r["text"], r["source"]) for r in before])
+            assert {r["doc_id"]: r["text"] for r in after} == want
         else:
             assert kept == {r["doc_id"] for r in before}
+            check_packed(after, {r["doc_id"]: r["text"] for r in before})
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def plain_masked(docs):
+    """Texts without live values, from owners counted one document after another."""
+    owners, random_looking = collections.defaultdict(set), collections.defaultdict(bool)
+    found = {i: secrets.find(text) for i, text, _ in docs}
+    for i, _, owner in docs:
+        for c in found[i]:
+            owners[c["value"]].add(owner)
+            random_looking[c["value"]] |= c["random"]
+    out = {}
+    for i, text, _ in docs:
+        live = [c for c in found[i] if len(owners[c["value"]]) <= 2 and random_looking[c["value"]]]
+        at, parts = 0, []
+        for c in live:
+            if c["end"] > at:
+                parts += [text[at : max(at, c["start"])], "[secret]"]
+                at = c["end"]
+        out[i] = "".join([*parts, text[at:]])
+    return out
+
+
+def check_packed(pieces, texts):
+    """Pieces hold every document's ids in order, and fill sequences without gaps."""
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for r in pieces:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for i, text in texts.items():
+        ids = [*LIBRARY.encode(text, add_special_tokens=False).ids, 0]
+        own = sorted(by_doc[i], key=lambda r: r["piece"])
+        assert [r["piece"] for r in own] == list(range(len(own)))
+        assert len(own) == 1 or all(r["length"] == 2048 for r in own[1:])
+        at = 0
+        for r in own:
+            part = np.array(ids[at : at + r["length"]], "<u4").tobytes()
+            assert (r["start"], r["ids_crc32"]) == (at, zlib.crc32(part))
+            at += r["length"]
+        assert at == len(ids)
+    for placed in by_sequence.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_pipeline_rows_that_are_odd(spark, sf_small):
+    """NULL, empty and repeated rows, clashing names, and an empty table."""
+    words = " ".join(f"word{i} and" for i in range(40))
+    rows = [(1, words, "en", "s", 0, 9, 8, 7), (1, words, "en", "s", 0, 9, 8, 7), (2, None, None, None, None, 1, 1, 1),
+            (3, "", "en", "s", 0, 1, 1, 1), (None, words + " other", "en", None, 0, 5, 5, 5)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, exact int, gone int, spans int"
+    )
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        out = stage(spark, docs, sf_small).collect()
+        assert stage(spark, docs.limit(0), sf_small).count() == 0
+        if name != "best_fit_packing":
+            assert len({r["doc_id"] for r in out} & {1, 2, 3, None}) == 4
+            assert {r["doc_id"]: (r["exact"], r["gone"], r["spans"]) for r in out}[1] == (9, 8, 7)
+        else:
+            assert sorted(str(r["doc_id"]) for r in out) == ["1", "1", "2", "3", "None"]
+    assert {r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, sf_small).collect()} <= {1, None}
+
+
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries())
     assert "op9_lines" in oracle_sql()
