@@ -460,6 +460,26 @@ def test_units_are_compared_over_batches(rows_a_batch):
     assert sorted(got) == [(1, 5), (2, 5), (3, 7), (4, 6), (8, 9)]
 
 
+def test_closest_pairs_of_two_groups():
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**63, 300, dtype=np.uint64))
+    rows = []
+    for node in range(40):  # near copies, in three groups
+        own = np.delete(base, rng.integers(0, len(base), 1 + node % 12))
+        rows.append((1, 1, 0, node % 3, node, len(own), jaccard.fitting_sketch(own).tobytes()))
+    rows.sort(key=lambda r: r[:5])
+    names = ["key", "unit", "side", "group", "node", "size", "sketch"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows])
+
+    def pairs(nearest):
+        return {tuple(p.values()) for b in jaccard._across(iter([batch]), 80, nearest) for p in b.to_pylist()}
+
+    group = {r[4]: r[3] for r in rows}
+    every, closest = pairs(False), pairs(True)
+    assert len(every) > 400 and closest <= every
+    assert sorted(tuple(sorted((group[a], group[b]))) for a, b in closest) == [(0, 1), (0, 2), (1, 2)]
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150)]
     df = spark.createDataFrame(edges, "a long, b long")

@@ -327,9 +327,12 @@ def most_apart(size_one, size_two, percent: int):
     return (size_one + size_two) * (100 - percent) // (100 + percent)
 
 
-def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _across(
+    batches: Iterator[pa.RecordBatch], percent: int, nearest: bool = False
+) -> Iterator[pa.RecordBatch]:
     """Pairs within a unit whose nodes are in different groups, as far as sizes
-    and sketches allow them to be similar.
+    and sketches allow them to be similar; ``nearest`` gives the closest pair alone
+    for each two groups.
 
     Rows come sorted by key, unit, side and group; the rows of a unit, which has
     two blocks at most, sit in arrays until it ends.
@@ -349,13 +352,15 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         for begin, end in zip(edges, edges[1:]):
             name = (names[0][begin], names[1][begin])
             if name != unit:
-                yield from _compared(held, percent)
+                yield from _compared(held, percent, nearest)
                 unit, held = name, []
             held.append([r[begin:end] for r in rows])
-    yield from _compared(held, percent)
+    yield from _compared(held, percent, nearest)
 
 
-def _compared(held: list[list[np.ndarray]], percent: int) -> Iterator[pa.RecordBatch]:
+def _compared(
+    held: list[list[np.ndarray]], percent: int, nearest: bool
+) -> Iterator[pa.RecordBatch]:
     """The possible pairs of one unit: of both its sides, or else of its only one."""
     if not held:
         return
@@ -369,6 +374,7 @@ def _compared(held: list[list[np.ndarray]], percent: int) -> Iterator[pa.RecordB
         sketches[at] = _folded(rows, sketches.shape[1])
     lefts = int(np.searchsorted(sides, 1))
     alone = lefts == len(sides)
+    closest: dict[tuple[int, int], tuple[int, int, int]] = {}
     for i in range(0 if alone else lefts, len(sides)):
         # A node meets those of smaller groups, or the other side.
         before = int(np.searchsorted(groups[:lefts], groups[i])) if alone else lefts
@@ -376,12 +382,38 @@ def _compared(held: list[list[np.ndarray]], percent: int) -> Iterator[pa.RecordB
             continue
         most = most_apart(sizes[:before], sizes[i], percent)
         apart = np.bitwise_count(sketches[:before] ^ sketches[i]).sum(axis=1)
-        close = nodes[:before][(apart <= most) & (groups[:before] != groups[i])]
-        if len(close):
+        at = np.flatnonzero((apart <= most) & (groups[:before] != groups[i]))
+        if nearest:
+            # Rows come by group, so each group's run is looked at on its own.
+            for run in np.split(at, np.flatnonzero(np.diff(groups[at])) + 1) if len(at) else ():
+                best = run[np.argmin(apart[run])]
+                one, two = sorted((int(groups[best]), int(groups[i])))
+                found = int(apart[best]), *sorted((int(nodes[best]), int(nodes[i])))
+                closest[one, two] = min(found, closest.get((one, two), found))
+        elif len(at):
+            close = nodes[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(close, nodes[i])), pa.array(np.maximum(close, nodes[i]))],
                 names=["a", "b"],
             )
+    if closest:
+        pairs = [pair[1:] for pair in closest.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"]
+        )
+
+
+def _untried(
+    units: DataFrame, placed: DataFrame, percent: int, nearest: bool, tried: DataFrame
+) -> DataFrame:
+    """Pairs of different groups in all units, without those that were tried."""
+    return (
+        units.join(placed.select("node", "size", "sketch"), "node")
+        .select("key", "unit", "side", "group", "node", "size", "sketch")
+        .repartition("key", "unit").sortWithinPartitions("key", "unit", "side", "group", "node")
+        .mapInArrow(lambda batches: _across(batches, percent, nearest), _PAIRS).distinct()
+        .join(tried, ["a", "b"], "left_anti")
+    )
 
 
 def _both(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
@@ -525,32 +557,35 @@ def link(
     marks = stored(_marks(texts.join(wanted, "id", "left_semi"), words), "set-sketches")
     edges = _similar(pairs, marks, texts, words, percent)
     groups = components(edges)
-    # What the stars did not bring together is compared directly.
-    placed = stored(
-        marks.join(groups, "node", "left").select(
-            "node", F.coalesce("group", "node").alias("group"), "size", "sketch"
-        ),
-        "placed-nodes",
-    )
-    units = cross_units(shared, placed, BLOCK_NODES)
-    if units is not None:
-        across = (
-            units.join(placed.select("node", "size", "sketch"), "node")
-            .select("key", "unit", "side", "group", "node", "size", "sketch")
-            .repartition("key", "unit").sortWithinPartitions("key", "unit", "side", "group", "node")
-            .mapInArrow(lambda batches: _across(batches, percent), _PAIRS).distinct()
-            .join(pairs, ["a", "b"], "left_anti")
+    # What the stars did not bring together is compared directly: the closest pair
+    # of each two groups at first, which joins nearly all that belong together, and
+    # then every pair of what is left.
+    tried, found = pairs, [edges]
+    for nearest in (True, False):
+        placed = stored(
+            marks.join(groups, "node", "left").select(
+                "node", F.coalesce("group", "node").alias("group"), "size", "sketch"
+            ),
+            "placed-nodes",
         )
-        more = _similar(stored(across, "cross-pairs"), marks, texts, words, percent)
+        units = cross_units(shared, placed, BLOCK_NODES)
+        if units is None:
+            drop_stored(placed)
+            break
+        across = stored(_untried(units, placed, percent, nearest, tried), "cross-pairs")
+        drop_stored(placed)
+        more = _similar(across, marks, texts, words, percent)
+        tried = tried.union(across)
+        found.append(more)
         if not more.isEmpty():
-            groups = components(edges.union(more))
+            groups = components(reduce(DataFrame.union, found))
     named = stored(
         nodes.join(groups, "node", "left").select(
             "d1", "d2", F.coalesce("group", "node").alias("component")
         ),
         "set-components",
     )
-    drop_stored(nodes, copies, singles, *tables, pairs, wanted, marks, edges, placed)
+    drop_stored(nodes, copies, singles, *tables, pairs, wanted, marks, *found)
     return own.join(named, ["d1", "d2"], "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("id").isNull(), F.lit(None).cast("long"))
