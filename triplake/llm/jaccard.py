@@ -36,6 +36,8 @@ from triplake.llm.common import (
     OUT_ROWS, drop_stored, per_row, python_ready, stored, to_rows, unused,
 )
 
+#: Elements that a subset of a partition should have.
+SUBSET = 6
 #: Nodes of a signature that make a block; blocks are compared two at a time.
 BLOCK_NODES = 4096
 
@@ -70,11 +72,16 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 class Signatures:
     """PartEnum for sets with at least ``percent`` / 100 similarity.
 
-    ``parts`` is how many parts each partition has; one of them may differ.
+    ``parts`` is how many parts each partition has; one of them may differ. More
+    parts make larger subsets, which fewer sets share by chance, and more
+    signatures. By default two are enough where they have ``SUBSET`` elements.
     """
 
-    def __init__(self, percent: int, parts: int = 3):
-        self.percent, self.parts = percent, parts
+    def __init__(self, percent: int, parts: int | None = None):
+        # A partition's elements, for a set of the least size that joins a band.
+        held = percent * percent * (100 + percent) / 10_000 / (100 - percent) if percent < 100 else 1e9
+        self.percent = percent
+        self.parts = parts or (2 if held / 2 >= SUBSET else 3)
         self.bands: list[tuple[int, int, int, int]] = []
 
     @property
@@ -517,7 +524,7 @@ def link(
     text_col: str = "text",
     words: int = 5,
     percent: int = 80,
-    parts: int = 3,
+    parts: int | None = None,
 ) -> DataFrame:
     """id, ``n_shingles`` and ``component_id`` of every row.
 
@@ -632,7 +639,7 @@ def _marks(df: DataFrame, words: int) -> DataFrame:
 
 def keep_one(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    words: int = 5, percent: int = 80, parts: int = 3,
+    words: int = 5, percent: int = 80, parts: int | None = None,
 ) -> DataFrame:
     """One document of each group, the one with the smallest id; the rest goes.
 
