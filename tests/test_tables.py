@@ -258,7 +258,7 @@ def test_rebuild_decisions(spark):
         "e": ("rebuilt", "output missing"),
         "f": ("rebuilt", "output missing"),
         "g": ("bootstrapped", None),
-        "z": ("rebuilt", "output missing"),
+        "z": ("removed", "no input"),
     }
 
 
