@@ -598,3 +598,35 @@ def test_registered():
     assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries())
     assert "op9_lines" in oracle_sql()
+
+
+def test_sets_and_signatures_are_made_for_many_texts_at_once(monkeypatch):
+    rng = random.Random(7)
+    texts = [None, "", " \n", "w1", "w1 w2", "W1 w2 w3", "w1 w2 w3 w1 w2 w3", "\u00e9 \ud800 x y"]
+    texts += [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(200))) for _ in range(300)]
+    for words, percent, parts in ((3, 90, None), (5, 80, None), (1, 60, 3)):
+        signatures = jaccard.Signatures(percent, parts)
+        elements, sizes = jaccard.shingle_sets(texts, words)
+        sets = np.split(elements, np.cumsum(sizes)[:-1])
+        for text, found in zip(texts, sets):
+            split = (text or "").lower().split()
+            width = min(words, len(split))
+            plain = {tuple(split[i : i + width]) for i in range(len(split) - width + 1)} if split else set()
+            assert len(found) == len(plain) and np.array_equal(found, np.unique(found))
+            assert np.array_equal(found, jaccard.shingles(text, words))
+        for number in range(signatures.rounds):
+            keys, places = signatures.of_sets(elements, sizes, signatures.rounds, number)
+            for i, found in enumerate(sets):
+                one = signatures.of(found, signatures.rounds, number)
+                assert sorted(keys[places == i].tolist()) == sorted(one.tolist())
+    # The numpy calls are as many for 40 texts as for 300 of their length.
+    calls = []
+    mixed = jaccard._mixed
+    monkeypatch.setattr(jaccard, "_mixed", lambda x: calls.append(1) or mixed(x))
+    made = []
+    for texts in (["a b c d e f"] * 40, ["a b c d e f"] * 300):
+        calls.clear()
+        assert len(list(jaccard.each_set(texts, 3))) == len(texts)
+        jaccard.Signatures(90).of_sets(*jaccard.shingle_sets(texts, 3))
+        made.append(len(calls))
+    assert made[0] == made[1]

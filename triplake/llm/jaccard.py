@@ -23,7 +23,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ from triplake.llm.common import (
 SUBSET = 6
 #: Nodes of a signature that make a block; blocks are compared two at a time.
 BLOCK_NODES = 4096
+#: Characters of the texts whose sets and signatures a task makes at once.
+PORTION = 1 << 17
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -52,21 +54,74 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles of a text.
+def shingle_sets(texts: list[str | None], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of several texts one after another, and how many elements each has.
 
-    Words are runs of other than the six ASCII spaces, with A-Z in lower case. A
-    text of fewer words is one shingle, one without words has none.
+    A set is the sorted 64-bit hashes of the distinct shingles of a text. Words are
+    runs of other than the six ASCII spaces, with A-Z in lower case. A text of fewer
+    words is one shingle, one without words has none.
     """
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    width = min(words, len(found))
-    out = np.full(len(found) - width + 1, np.uint64(width))
+    found = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    total = int(counts.sum())
+    hashed = np.fromiter(
+        map(xxhash.xxh3_64_intdigest, chain.from_iterable(found)), np.uint64, total
+    )
+    first = np.cumsum(counts) - counts
+    sizes = np.where(counts < words, np.minimum(counts, 1), counts - words + 1)
+    out = np.empty(int(sizes.sum()), np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    # Shingles begin at each word that has enough words of its text behind it.
+    full = np.flatnonzero(counts >= words)
+    begin = _spans(first[full], sizes[full])
+    out[_spans(starts[full], sizes[full])] = _rolled(hashed, begin, words)
+    for width in range(1, words):
+        short = np.flatnonzero(counts == width)
+        out[starts[short]] = _rolled(hashed, first[short], width)
+    for start, size in zip(starts.tolist(), sizes.tolist()):
+        out[start : start + size].sort()
+    new = np.ones(len(out), bool)
+    new[1:] = out[1:] != out[:-1]
+    new[starts[sizes > 0]] = True
+    distinct = np.diff(np.concatenate([[0], np.cumsum(new)])[np.append(starts, len(out))])
+    return out[new], distinct
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size says."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _rolled(hashed: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the shingles of so many words that begin at some words."""
+    out = np.full(len(begin), np.uint64(width))
     for i in range(width):
-        out = _mixed(out * _STEP + hashed[i : i + len(out)])
-    return np.unique(out)
+        out = _mixed(out * _STEP + hashed[begin + i])
+    return out
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """The set of one text."""
+    return shingle_sets([text], words)[0]
+
+
+def _portions(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``PORTION`` characters, whose sets are made at once."""
+    begin = held = 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= PORTION:
+            yield begin, i + 1
+            begin, held = i + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def each_set(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+    """The set of each text in turn."""
+    for begin, end in _portions(texts):
+        elements, sizes = shingle_sets(texts[begin:end], words)
+        yield from np.split(elements, np.cumsum(sizes)[:-1])
 
 
 class Signatures:
@@ -128,30 +183,51 @@ class Signatures:
     def of(self, found: np.ndarray, rounds: int = 1, number: int = 0) -> np.ndarray:
         """Signatures of a set for its own band and the next one, as far as these
         bands are dealt with in a round."""
-        if not len(found):
-            return np.zeros(0, np.uint64)
-        own = self.band_of(len(found))
-        nearest = self.band(own + 1)
+        return self.of_sets(found, np.array([len(found)]), rounds, number)[0]
+
+    def of_sets(
+        self, elements: np.ndarray, sizes: np.ndarray, rounds: int = 1, number: int = 0
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of sets that lie one after another, and whose each is."""
+        keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        if not len(elements):
+            return keys[0], places[0]
+        self.band(self.band_of(int(sizes.max())) + 1)
+        bands = np.array(self.bands)
+        own = np.searchsorted(bands[:, 1], sizes)
         # A set too small for any partner in the next band need not join there.
-        joins = [own] + [own + 1] * (100 * len(found) >= self.percent * nearest[0])
-        out = [self._in_band(found, band) for band in joins if band % rounds == number]
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-    def _in_band(self, found: np.ndarray, number: int) -> np.ndarray:
-        _, _, partitions, spare = self.band(number)
-        if not partitions:
-            return np.zeros(0, np.uint64)
+        reaches = 100 * sizes >= self.percent * bands[own + 1, 0]
+        starts = np.cumsum(sizes) - sizes
+        for joined, wanted in ((own, sizes > 0), (own + 1, (sizes > 0) & reaches)):
+            chosen = wanted & (joined % rounds == number) & (bands[joined, 2] > 0)
+            sets = np.flatnonzero(chosen)
+            if len(sets):
+                held = elements[_spans(starts[sets], sizes[sets])]
+                found, whose = self._in_bands(held, sizes[sets], joined[sets], bands[joined[sets]])
+                keys.append(found)
+                places.append(sets[whose])
+        return np.concatenate(keys), np.concatenate(places)
+
+    def _in_bands(
+        self, elements: np.ndarray, sizes: np.ndarray, numbers: np.ndarray, bands: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of sets in one band each, and whose each is."""
+        partitions, spare = bands[:, 2], bands[:, 3]
         cells = partitions * self.parts
-        cell = ((found >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)
+        total = int(cells.sum())
+        cell = ((elements >> np.uint64(32)) * np.repeat(cells, sizes).astype(np.uint64)) >> np.uint64(32)
+        cell = cell.astype(np.int64) + np.repeat(np.cumsum(cells) - cells, sizes)
         # Each part's elements as one number. Elements come sorted, and so do parts.
-        first = np.flatnonzero(np.diff(cell, prepend=cell[:1] + np.uint64(1)))
-        sums, filled = np.zeros(cells, np.uint64), np.zeros(cells, bool)
-        sums[cell[first]] = np.add.reduceat(_mixed(found ^ _STEP), first)
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        sums, filled = np.zeros(total, np.uint64), np.zeros(total, bool)
+        sums[cell[first]] = np.add.reduceat(_mixed(elements ^ _STEP), first)
         filled[cell[first]] = True
-        sums, filled = sums.reshape(partitions, -1), filled.reshape(partitions, -1)
-        out, some, place = [], [], np.arange(partitions, dtype=np.uint64)
+        sums, filled = sums.reshape(-1, self.parts), filled.reshape(-1, self.parts)
+        whose = np.repeat(np.arange(len(sizes)), partitions)
+        place = _spans(np.zeros(len(sizes), np.int64), partitions) * (1 << 20) + numbers[whose] * 8
+        out, some = [], []
         for chosen in combinations(range(self.parts), self.parts - 1):
-            value = place * np.uint64(1 << 20) + np.uint64(number * 8 + chosen[0] + chosen[-1])
+            value = (place + (chosen[0] + chosen[-1])).astype(np.uint64)
             for part in chosen:
                 value = _mixed(value * _STEP + sums[:, part])
             out.append(value)
@@ -160,9 +236,9 @@ class Signatures:
         # Partitions in which sets agree number more than the spare ones, so a
         # set with few partitions of empty subsets shares a signature that is
         # not of an empty subset. A set with many needs the empty ones too.
-        if np.count_nonzero(~some.all(axis=0)) <= spare:
-            return out[some]
-        return out.ravel()
+        empty = np.bincount(whose, ~some.all(axis=0), len(sizes))
+        some |= (empty > spare)[whose]
+        return out[some], np.broadcast_to(whose, some.shape)[some]
 
 
 _KEYED = T.StructType([T.StructField("key", T.LongType()), T.StructField("node", T.LongType())])
@@ -174,8 +250,7 @@ def sets_of(df: DataFrame, words: int) -> DataFrame:
 
     def start():
         def compute(rows):
-            for (text,) in rows:
-                found = shingles(text, words)
+            for found in each_set([text for (text,) in rows], words):
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 yield len(found), *np.frombuffer(digest, np.int64).tolist()
 
@@ -196,12 +271,14 @@ def keyed_by_signature(
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for begin in range(0, batch.num_rows, OUT_ROWS):
                 texts = batch.column(1).slice(begin, OUT_ROWS).to_pylist()
-                found = [signatures.of(shingles(t, words), rounds, number) for t in texts]
-                nodes = np.repeat(ids[begin : begin + len(texts)], [len(f) for f in found])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).view(np.int64)), pa.array(nodes, pa.int64())],
-                    names=["key", "node"],
-                )
+                for low, high in _portions(texts):
+                    sets = shingle_sets(texts[low:high], words)
+                    keys, places = signatures.of_sets(*sets, rounds, number)
+                    nodes = ids[begin + low + places]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys.view(np.int64)), pa.array(nodes, pa.int64())],
+                        names=["key", "node"],
+                    )
 
     return df.select("id", "text").mapInArrow(run, _KEYED)
 
@@ -610,9 +687,11 @@ def _elements(df: DataFrame, words: int) -> DataFrame:
     )
 
     def start():
-        return lambda rows: [
-            (node, np.sort(shingles(text, words).view(np.int64))) for node, text in rows
-        ]
+        def compute(rows):
+            sets = each_set([text for _, text in rows], words)
+            return [(node, np.sort(found.view(np.int64))) for (node, _), found in zip(rows, sets)]
+
+        return compute
 
     return to_rows(df, ["id", "text"], fields, start)
 
@@ -628,8 +707,7 @@ def _marks(df: DataFrame, words: int) -> DataFrame:
 
     def start():
         def compute(rows):
-            for node, text in rows:
-                found = shingles(text, words)
+            for (node, _), found in zip(rows, each_set([text for _, text in rows], words)):
                 yield node, len(found), fitting_sketch(found).tobytes()
 
         return compute
