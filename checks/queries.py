@@ -377,8 +377,10 @@ def fingerprint(spark, sf):
 def fingerprint_typed(spark, sf):
     """Is the engine's own form the same for another layout, and does it see a
     change of one column, or of one value moved to another column?"""
-    rows = fx.order_files(spark, sf)
+    rows = tables.stored(fx.order_files(spark, sf), "order-rows")
     one = manifest.fingerprints(rows, "source_period")
+    # As many even partitions as the rows need, with the lines of an order apart.
+    laid_out = rows.hint("rebalance", "l_orderkey", "RatecodeID")
 
     def against(other: DataFrame, name: str) -> DataFrame:
         found = manifest.fingerprints(other, "source_period")
@@ -386,7 +388,7 @@ def fingerprint_typed(spark, sf):
 
     moved = rows.withColumns({"extra": F.lit(None).cast("double"), "tip_amount": F.col("extra")})
     return (
-        one.join(against(rows.repartition(5), "again"), "source_period")
+        one.join(against(laid_out, "again"), "source_period")
         .join(against(rows.withColumn("extra", F.col("extra") + 0.01), "changed"), "source_period")
         .join(against(moved, "moved"), "source_period")
         .select(
