@@ -427,10 +427,11 @@ def fingerprint_incremental(spark, sf):
     """Fingerprints from the states of files, of which one group was replaced, one
     removed and one added since the states were first taken."""
     rows = fx.order_files(spark, sf)
-    root = new_scratch(spark, "order-files")
+    base = new_scratch(spark, "order-files")
+    root, later = f"{base}/given=now", f"{base}/given=later"
 
-    def write(part: int, part_rows: DataFrame) -> None:
-        part_rows.write.mode("overwrite").parquet(f"{root}/part={part}")
+    def part_rows(folder: str, part: int) -> DataFrame:
+        return spark.read.schema(rows.schema).parquet(f"{folder}/part={part}")
 
     def states(known: DataFrame) -> DataFrame:
         listing = tables.stored(folders.list_files(spark, root, "orders"), "order-listing")
@@ -442,16 +443,20 @@ def fingerprint_incremental(spark, sf):
         )
         return tables.stored(manifest.refreshed_files(known, listing, fresh), "order-states")
 
+    # The rows are made once; what changes later is written from the files.
+    late = F.col("RatecodeID") == 6
     group = F.col("RatecodeID") % 3
-    for part in range(3):
-        write(part, rows.filter((group == part) & (F.col("RatecodeID") != 6)))
+    rows.filter(late | group.isin(0, 1, 2)).withColumns({
+        "given": F.when(late, "later").otherwise("now"), "part": F.when(late, 9).otherwise(group),
+    }).write.partitionBy("given", "part").parquet(base)
     known = states(spark.createDataFrame(
         [], "source string, file string, size bigint, modified timestamp, period string, "
         "row_count bigint, hash_sum decimal(38,0)",
     ))
-    write(1, rows.filter(group == 1).withColumn("extra", F.col("extra") + 0.01))
-    folders.delete(spark, f"{root}/part=2")
-    write(9, rows.filter("RatecodeID = 6"))
+    part_rows(root, 1).withColumn("extra", F.col("extra") + 0.01).write.parquet(f"{root}/part=4")
+    for part in (1, 2):
+        folders.delete(spark, f"{root}/part={part}")
+    part_rows(later, 9).write.parquet(f"{root}/part=9")
     return manifest.fingerprints_of_files(states(known)).withColumnRenamed(
         "period", "source_period"
     )

@@ -53,3 +53,19 @@ def test_table_of_many_splits_is_not_shuffled(spark, data, setting):
     setting("spark.sql.files.maxPartitionBytes", "64b")
     setting("spark.sql.files.openCostInBytes", "0")
     assert "Exchange" not in plan()
+
+
+def test_incremental_fingerprints_make_the_rows_once(spark, data, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    rows = fx.order_files(spark, data)
+    expected = rows.filter("RatecodeID % 3 != 2 OR RatecodeID = 6").count()
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(fx, "order_files", lambda *_: rows.mapInArrow(counted, rows.schema))
+    found = QUERIES["fingerprint_incremental"](spark, data)
+    assert sum(r.row_count for r in found.collect()) == expected > 100
+    assert made.value == rows.count()
