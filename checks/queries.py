@@ -771,11 +771,13 @@ def best_model(spark, sf):
 
 
 def _fares(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Model rows whose label follows distance and duration, so that models can learn."""
+    """Model rows whose label follows distance and duration, so that models can learn.
+
+    They are stored, since models read them several times."""
     rows = _features(spark, sf).withColumn(
         "label", 3.0 + 2.5 * F.col("trip_distance") + 0.2 * F.col("pickup_hour")
     )
-    return features.split_by_period(rows, TEST_DAY)
+    return features.split_by_period(tables.stored(rows, "fare-rows"), TEST_DAY)
 
 
 @query

@@ -7,6 +7,7 @@ import datetime
 import pytest
 
 from checks import fixtures as fx
+from checks import queries
 from checks.queries import QUERIES
 
 
@@ -69,3 +70,24 @@ def test_incremental_fingerprints_make_the_rows_once(spark, data, monkeypatch):
     found = QUERIES["fingerprint_incremental"](spark, data)
     assert sum(r.row_count for r in found.collect()) == expected > 100
     assert made.value == rows.count()
+
+
+def test_model_rows_are_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    schema = "trip_distance double, pickup_hour int, source_year_month string"
+    days = ("2024-01-10", queries.TEST_DAY, "2024-01-30")
+    rows = spark.createDataFrame([(i / 2, i % 24, days[i % 3]) for i in range(60)], schema)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(queries, "_features", lambda *_: rows.mapInArrow(counted, schema))
+    train, test = queries._fares(spark, "")
+    for part in (train, test, train, test):
+        assert sorted(r.label for r in part.collect()) == sorted(
+            3.0 + 2.5 * r.trip_distance + 0.2 * r.pickup_hour for r in part.collect()
+        )
+        assert part.count() == 20
+    assert made.value == 60
